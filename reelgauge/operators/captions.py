@@ -35,29 +35,33 @@ def with_caption_flags(
 def caption_stats(captions: DataFrame, keys: Sequence[str], text: str = "caption", cap: int = 256) -> DataFrame:
     """Counts, exact duplicates and token percentiles per group.
 
-    Duplicates are found on SHA-256 digests, so whole texts are never shuffled.
+    Duplicates are found on SHA-256 digests, so whole texts are never shuffled. Every
+    figure depends on the text alone, so one fold per distinct text serves them all and
+    texts are read and tokenized once.
     """
     flagged = with_caption_flags(captions, text, cap=cap)
-    digest = F.unhex(F.sha2(F.col(text), 256))
-    slim = flagged.select(*keys, digest.alias("_digest"), "n_tokens", "is_empty", "at_cap", "has_terminal")
-    per_text = slim.groupBy(*keys, "_digest").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("n_tokens").alias("_tokens"),
-        F.count_if("is_empty").alias("_empty"),
-        F.count_if("at_cap").alias("_cap"),
-        F.count_if(F.col("at_cap") & ~F.col("has_terminal")).alias("_cut"),
-    )
+    per_text = flagged.groupBy(
+        *keys,
+        F.unhex(F.sha2(F.col(text), 256)).alias("_digest"),
+        "n_tokens",
+        "is_empty",
+        "at_cap",
+        (F.col("at_cap") & ~F.col("has_terminal")).alias("_cut"),
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    rows_where = lambda flag: F.coalesce(F.sum(F.when(F.col(flag), F.col("_n"))), F.lit(0))
+    total = F.sum("_n")
     summary = per_text.groupBy(*keys).agg(
-        F.sum("_n").alias("n"),
-        F.sum("_empty").alias("n_empty"),
-        F.sum(F.when(F.col("_digest").isNotNull(), F.col("_n") - 1).otherwise(0)).alias("n_duplicates"),
-        ratio(F.sum("_tokens"), F.sum("_n")).alias("tokens_mean"),
-        F.sum("_cap").alias("n_at_cap"),
-        ratio(F.sum("_cap") * 100, F.sum("_n")).alias("at_cap_pct"),
-        F.sum("_cut").alias("n_cut_off"),
+        total.alias("n"),
+        rows_where("is_empty").alias("n_empty"),
+        F.coalesce(F.sum(F.when(F.col("_digest").isNotNull(), F.col("_n") - 1)), F.lit(0)).alias("n_duplicates"),
+        ratio(F.sum(F.col("n_tokens") * F.col("_n")), total).alias("tokens_mean"),
+        rows_where("at_cap").alias("n_at_cap"),
+        ratio(rows_where("at_cap") * 100, total).alias("at_cap_pct"),
+        rows_where("_cut").alias("n_cut_off"),
     )
     levels = {"tokens_p50": 0.5, "tokens_p75": 0.75, "tokens_p90": 0.9, "tokens_p95": 0.95}
-    return attach(summary, nearest_rank(slim, "n_tokens", list(keys), levels), list(keys))
+    ranked = nearest_rank(per_text, "n_tokens", list(keys), levels, few_values=True, weight="_n")
+    return attach(summary, ranked, list(keys))
 
 
 def caption_gate(captions: DataFrame, text: str = "caption", tokens: str | None = None, cap: int = 256) -> DataFrame:

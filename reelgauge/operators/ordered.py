@@ -3,8 +3,9 @@
 A plain window partitioned by the series key sends a whole series to one task.
 Here every series is cut into blocks by a ``block`` column that never decreases
 along the order (a time bucket, a file split). Each block is folded to one summary row
-with map-side combine, a window over the few summaries carries values from block
-to block, and the rows themselves are only windowed inside their own block.
+with map-side combine, and a window over the few summaries carries values from block
+to block. The carried value then enters its block as one extra row in front of the
+others, so the rows need one shuffle by (series, block) and no join.
 """
 
 from __future__ import annotations
@@ -18,20 +19,34 @@ from pyspark.sql import functions as F
 from reelgauge.session import ensure_checkpoint_dir
 
 _TAG_BITS = 33  # monotonically_increasing_id: partition above, row position below
+SMALL_ROWS = 20_000
 
 
 def time_block(ts: Column, seconds: int = 3600) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
+def sized(small: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A side expected to be small, as a local table when it proves to have few rows.
+
+    At most ``max_rows`` + 1 rows are fetched. A local table has a known size, so Spark
+    broadcasts it and the other side stays where it is. A larger side is returned as it
+    came and joins by shuffle.
+    """
+    rows = small.limit(max_rows + 1).collect()
+    return small if len(rows) > max_rows else small.sparkSession.createDataFrame(rows, small.schema)
+
+
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` so that null keys meet each other."""
+    if not keys:
+        raise ValueError("attach needs at least one key")
     renamed = small.select(
         *[F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)],
         *[name for name in small.columns if name not in keys],
     )
-    condition = F.lit(True)
-    for i, key in enumerate(keys):
+    condition = F.col(keys[0]).eqNullSafe(F.col("_k0"))
+    for i, key in enumerate(keys[1:], 1):
         condition = condition & F.col(key).eqNullSafe(F.col(f"_k{i}"))
     return df.join(renamed, condition, how).drop(*[f"_k{i}" for i in range(len(keys))])
 
@@ -40,8 +55,18 @@ def _before(keys: Sequence[str], block: str):
     return W.partitionBy(*keys).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
 
 
-def _inside(keys: Sequence[str], block: str, order: Sequence[str]):
-    return W.partitionBy(*keys, block).orderBy(*order)
+def _with_carried(df: DataFrame, carried: DataFrame) -> DataFrame:
+    """Data rows and one carried row per block, which sorts first (``_seq`` 0)."""
+    rows = df.withColumn("_seq", F.lit(1))
+    return rows.unionByName(carried.withColumn("_seq", F.lit(0)), allowMissingColumns=True)
+
+
+def _in_block(keys: Sequence[str], block: str, order: Sequence[str]):
+    return W.partitionBy(*keys, block).orderBy("_seq", *order)
+
+
+def _data_rows(df: DataFrame) -> DataFrame:
+    return df.where(F.col("_seq") == 1).drop("_seq")
 
 
 def running_sum(
@@ -49,13 +74,11 @@ def running_sum(
 ) -> DataFrame:
     """Cumulative sum of ``value`` along each series, current row included."""
     sums = df.groupBy(*keys, block).agg(F.sum(value).alias("_block_sum"))
-    starts = sums.select(
-        *keys, block, F.coalesce(F.sum("_block_sum").over(_before(keys, block)), F.lit(0)).alias("_start")
-    )
-    inside = _inside(keys, block, order).rowsBetween(W.unboundedPreceding, 0)
-    local = df.withColumn(out, F.sum(value).over(inside))
-    joined = attach(local, starts, [*keys, block])
-    return joined.withColumn(out, F.coalesce(F.col(out), F.lit(0)) + F.col("_start")).drop("_start")
+    carried = sums.select(*keys, block, F.sum("_block_sum").over(_before(keys, block)).alias("_carried"))
+    both = _with_carried(df, carried)
+    amount = F.coalesce(F.when(F.col("_seq") == 1, F.col(value)).otherwise(F.col("_carried")), F.lit(0))
+    total = F.sum(amount).over(_in_block(keys, block, order).rowsBetween(W.unboundedPreceding, 0))
+    return _data_rows(both.withColumn(out, total)).drop("_carried")
 
 
 def row_index(
@@ -71,18 +94,13 @@ def carry_forward(
 ) -> DataFrame:
     """Replace each null in ``values`` by the latest earlier non-null of its series."""
     at = F.struct(*order)
-    lasts = df.groupBy(*keys, block).agg(
-        *[F.max_by(v, F.when(F.col(v).isNotNull(), at)).alias(f"_last_{v}") for v in values]
-    )
+    lasts = df.groupBy(*keys, block).agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), at)).alias(v) for v in values])
     carried = lasts.select(
-        *keys, block,
-        *[F.last(f"_last_{v}", ignorenulls=True).over(_before(keys, block)).alias(f"_in_{v}") for v in values],
+        *keys, block, *[F.last(v, ignorenulls=True).over(_before(keys, block)).alias(v) for v in values]
     )
-    inside = _inside(keys, block, order).rowsBetween(W.unboundedPreceding, 0)
-    local = df.withColumns({v: F.last(v, ignorenulls=True).over(inside) for v in values})
-    joined = attach(local, carried, [*keys, block])
-    filled = joined.withColumns({v: F.coalesce(F.col(v), F.col(f"_in_{v}")) for v in values})
-    return filled.drop(*[f"_in_{v}" for v in values])
+    upto = _in_block(keys, block, order).rowsBetween(W.unboundedPreceding, 0)
+    both = _with_carried(df, carried)
+    return _data_rows(both.withColumns({v: F.last(v, ignorenulls=True).over(upto) for v in values}))
 
 
 def previous_value(
@@ -91,10 +109,9 @@ def previous_value(
     """``value`` of the row before, as struct(value); null on the first row of a series."""
     boxed = F.struct(F.col(value).alias("value"))
     lasts = df.groupBy(*keys, block).agg(F.max_by(boxed, F.struct(*order)).alias("_box"))
-    carried = lasts.select(*keys, block, F.lag("_box").over(W.partitionBy(*keys).orderBy(block)).alias("_in"))
-    local = df.withColumn(out, F.lag(boxed).over(_inside(keys, block, order)))
-    joined = attach(local, carried, [*keys, block])
-    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_in"))).drop("_in")
+    carried = lasts.select(*keys, block, F.lag("_box").over(W.partitionBy(*keys).orderBy(block)).alias("_box"))
+    both = _with_carried(df.withColumn("_box", boxed), carried)
+    return _data_rows(both.withColumn(out, F.lag("_box").over(_in_block(keys, block, order)))).drop("_box")
 
 
 def global_position(df: DataFrame, order: Sequence[Column | str], out: str = "position") -> DataFrame:
@@ -117,4 +134,6 @@ def global_position(df: DataFrame, order: Sequence[Column | str], out: str = "po
         "_part", F.coalesce(F.sum("_rows").over(_before([], "_part")), F.lit(0)).alias("_offset")
     )
     local = F.col("_tag").bitwiseAND((1 << _TAG_BITS) - 1)
-    return tagged.join(offsets, "_part").withColumn(out, local + F.col("_offset")).drop("_part", "_tag", "_offset")
+    # One row per shuffle partition: the hint is safe whatever the table holds.
+    placed = tagged.join(F.broadcast(offsets), "_part")
+    return placed.withColumn(out, local + F.col("_offset")).drop("_part", "_tag", "_offset")

@@ -1,8 +1,8 @@
 """Exact order statistics that never sort one group in one task.
 
-Values are first counted per distinct value (map-side combine folds repeats), then
-per logarithmic block of the value. Block totals locate the block that holds a
-wanted rank, and only the distinct values of that block are ordered.
+Values fall into logarithmic blocks, a coarse non-decreasing function of the value.
+Block totals (map-side combine leaves a few rows per group) locate the block that holds
+a wanted rank, and only the distinct values of that block are ordered.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reelgauge.operators.ordered import attach
+from reelgauge.operators.ordered import attach, sized
 
 _BLOCKS_PER_OCTAVE = 64
 
@@ -42,21 +42,27 @@ def values_at(
     value: str,
     keys: Sequence[str],
     ranks: Mapping[str, Callable[[Column], Column]],
+    few_values: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group with the value at each named 0-based rank.
 
     Each rank is a function of the group's count of non-null values. Groups with
     no value at all do not appear.
+
+    By default the input is read twice: once for block totals, once keeping only the
+    rows of the wanted blocks, so no pass shuffles all values. The wanted blocks are
+    broadcast when they prove to be few. With ``few_values`` (counters, small integers)
+    rows are folded to one per distinct value first and the input is read once. A
+    ``weight`` column says how many rows each row stands for.
     """
     keys = list(keys)
-    counted = (
-        df.select(*keys, F.col(value).alias("_value"))
-        .where(F.col("_value").isNotNull())
-        .groupBy(*keys, "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_block", _block(F.col("_value")))
-    )
-    blocks = counted.groupBy(*keys, "_block").agg(F.sum("_n").alias("_block_n"))
+    count = F.col(weight) if weight else F.lit(1).cast("bigint")
+    rows = df.select(*keys, F.col(value).alias("_value"), count.alias("_n")).where(F.col("_value").isNotNull())
+    if few_values:
+        rows = rows.groupBy(*keys, "_value").agg(F.sum("_n").alias("_n"))
+    rows = rows.withColumn("_block", _block(F.col("_value")))
+    blocks = rows.groupBy(*keys, "_block").agg(F.sum("_n").alias("_block_n"))
     upto = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, 0)
     located = blocks.select(
         *keys,
@@ -71,19 +77,22 @@ def values_at(
             for name, rank in ranks.items()
         ]
     )
-    targets = located.select(*keys, "_block", "_block_n", "_start", F.explode(wanted).alias("_want")).where(
-        (F.col("_want.rank") >= F.col("_start")) & (F.col("_want.rank") < F.col("_start") + F.col("_block_n"))
-    )
-    targets = targets.select(
-        *keys, "_block", F.col("_want.name").alias("_name"), (F.col("_want.rank") - F.col("_start")).alias("_rest")
+    rest = F.col("_want.rank") - F.col("_start")
+    targets = (
+        located.select(*keys, "_block", "_block_n", "_start", F.explode(wanted).alias("_want"))
+        .where((rest >= 0) & (rest < F.col("_block_n")))
+        .groupBy(*keys, "_block")
+        .agg(F.collect_list(F.struct(F.col("_want.name").alias("name"), rest.alias("rest"))).alias("_wants"))
     )
-    hit = attach(counted, targets, [*keys, "_block"], how="inner")
-    inside = W.partitionBy(*keys, "_name").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
-    chosen = hit.withColumn("_end", F.sum("_n").over(inside)).where(
-        (F.col("_rest") < F.col("_end")) & (F.col("_rest") >= F.col("_end") - F.col("_n"))
+    hit = attach(rows, targets if few_values else sized(targets), [*keys, "_block"], how="inner")
+    folded = hit.groupBy(*keys, "_block", "_value").agg(F.sum("_n").alias("_n"), F.first("_wants").alias("_wants"))
+    inside = W.partitionBy(*keys, "_block").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
+    ended = folded.withColumn("_end", F.sum("_n").over(inside)).select(
+        *keys, "_value", "_n", "_end", F.explode("_wants").alias("_want")
     )
+    chosen = ended.where((F.col("_want.rest") < F.col("_end")) & (F.col("_want.rest") >= F.col("_end") - F.col("_n")))
     return chosen.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in ranks]
+        *[F.max(F.when(F.col("_want.name") == name, F.col("_value"))).alias(name) for name in ranks]
     )
 
 
@@ -93,30 +102,31 @@ def nearest_rank(
     keys: Sequence[str],
     percentiles: Mapping[str, float],
     empty_zero: bool = False,
+    few_values: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Nearest-rank percentiles per group, e.g. ``{"p50": 0.5, "p90": 0.9}``.
 
     A group without values is absent, or 0 in every column with ``empty_zero``.
     """
     ranks = {name: (lambda total, p=p: nearest_rank_index(total, p)) for name, p in percentiles.items()}
-    found = values_at(df, value, keys, ranks)
+    found = values_at(df, value, keys, ranks, few_values, weight)
     if not empty_zero:
         return found
-    every = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-    filled = attach(every, found, keys)
-    kind = df.schema[value].dataType
-    return filled.withColumns({name: F.coalesce(F.col(name), F.lit(0).cast(kind)) for name in percentiles})
+    zero = F.lit(0).cast(df.schema[value].dataType)
+    if not keys:
+        return found.agg(*[F.coalesce(F.max(name), zero).alias(name) for name in percentiles])
+    filled = attach(df.select(*keys).distinct(), found, keys)
+    return filled.withColumns({name: F.coalesce(F.col(name), zero) for name in percentiles})
 
 
-def median(df: DataFrame, value: str, keys: Sequence[str], out: str = "median") -> DataFrame:
+def median(
+    df: DataFrame, value: str, keys: Sequence[str], out: str = "median", few_values: bool = False
+) -> DataFrame:
     """Exact median; the mean of the two middle values for an even count."""
-    middle = values_at(
-        df,
-        value,
-        keys,
-        {
-            "_low": lambda total: F.floor((total - 1) / 2).cast("bigint"),
-            "_high": lambda total: F.ceil((total - 1) / 2).cast("bigint"),
-        },
-    )
-    return middle.select(*keys, ((F.col("_low") + F.col("_high")) / 2).cast("double").alias(out))
+    middle = {
+        "_low": lambda total: F.floor((total - 1) / 2).cast("bigint"),
+        "_high": lambda total: F.ceil((total - 1) / 2).cast("bigint"),
+    }
+    found = values_at(df, value, keys, middle, few_values)
+    return found.select(*keys, ((F.col("_low") + F.col("_high")) / 2).cast("double").alias(out))

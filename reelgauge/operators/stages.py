@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions.numeric import minutes_between, ratio
 from reelgauge.functions.text import LINE_TIMESTAMP_PATTERN, line_markers, stage_short, strip_ansi
-from reelgauge.operators.ordered import attach, carry_forward, previous_value, row_index, running_sum, time_block
+from reelgauge.operators.ordered import attach, carry_forward, previous_value, row_index, running_sum, sized, time_block
 from reelgauge.operators.ranking import nearest_rank
 from reelgauge.schemas import STAGE_COLUMNS
 
@@ -159,7 +159,9 @@ def progress_snapshot(listing: DataFrame, lines: DataFrame) -> DataFrame:
 
 def elapsed_minutes(state: DataFrame, keys: Sequence[str] = (), out: str = "minute") -> DataFrame:
     """Minutes since the first sample of each run or phase."""
-    starts = state.groupBy(*keys).agg(F.min("ts").alias("_start"))
+    if not keys:
+        return state.withColumn(out, minutes_between(F.col("ts"), state.select(F.min("ts")).scalar()))
+    starts = sized(state.groupBy(*keys).agg(F.min("ts").alias("_start")))
     return attach(state, starts, keys).withColumn(out, minutes_between(F.col("ts"), F.col("_start"))).drop("_start")
 
 
@@ -177,7 +179,7 @@ def stage_summary(state: DataFrame, keys: Sequence[str] = ("stage_short",)) -> D
     )
     basic = basic.withColumn("duration_min", F.round(minutes_between(F.col("last_ts"), F.col("first_ts")), 6))
     moving = state.where(F.col("tasks_per_actor_s") > 0)
-    speeds = nearest_rank(moving, "tasks_per_actor_s", keys, {"speed_p50": 0.5, "speed_p90": 0.9})
+    speeds = nearest_rank(moving, "tasks_per_actor_s", keys, {"speed_p50": 0.5, "speed_p90": 0.9}, few_values=True)
     return attach(basic, speeds, keys).withColumns(
         {name: F.coalesce(F.round(name, 6), F.lit(0.0)) for name in ("speed_p50", "speed_p90")}
     )
@@ -251,7 +253,7 @@ def gap_stats(gaps: DataFrame, keys: Sequence[str] = ("link",)) -> DataFrame:
     basic = gaps.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("gap"), 6).alias("gap_mean"), F.max("gap").alias("gap_max")
     )
-    return attach(basic, nearest_rank(gaps, "gap", keys, {"gap_p95": 0.95}), keys)
+    return attach(basic, nearest_rank(gaps, "gap", keys, {"gap_p95": 0.95}, few_values=True), keys)
 
 
 def cumulative_completed(
@@ -279,7 +281,7 @@ def tail_overshoot(
     actors sit idle.
     """
     phase = list(keys[:-1])
-    ends = state.groupBy(*phase).agg(F.max("ts").alias("_end"))
+    ends = sized(state.groupBy(*phase).agg(F.max("ts").alias("_end")))
     marked = attach(state, ends, phase).withColumn(
         "_tail", minutes_between(F.col("_end"), F.col("ts")) <= F.lit(float(minutes))
     )
@@ -287,7 +289,7 @@ def tail_overshoot(
         F.max("actors_ready").cast("bigint").alias("tail_peak"),
         ratio(F.sum(F.col("actors_ready") - F.col("actors_running")), F.sum("actors_ready")).alias("tail_idle_share"),
     )
-    steady = nearest_rank(marked.where("not _tail"), "actors_ready", keys, {"steady_median": 0.5})
+    steady = nearest_rank(marked.where("not _tail"), "actors_ready", keys, {"steady_median": 0.5}, few_values=True)
     joined = attach(tail, steady, keys).withColumn("steady_median", F.col("steady_median").cast("bigint"))
     above = (F.col("tail_peak") > F.col("steady_median")) & (F.col("tail_idle_share") > idle_share)
     return joined.withColumn("overshoot", F.coalesce(above, F.lit(False)))
@@ -302,7 +304,7 @@ def queue_boundedness(
     """
     blocked = gaps.withColumn("_block", time_block(F.col("ts"), block_seconds))
     placed = row_index(blocked, keys, "_block", ["ts"], "_i")
-    totals = gaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("ts").alias("_start"))
+    totals = sized(gaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("ts").alias("_start")))
     placed = attach(placed, totals, keys)
     low, rest = F.floor(F.col("_n") / 3), F.pmod(F.col("_n"), F.lit(3))
     long_part = rest * (low + 1)
@@ -340,8 +342,8 @@ def trailing_rates(events: DataFrame, minutes: Sequence[int] = (5, 10, 20, 30))
     and one aggregation serves every m.
     """
     latest = events.select(F.max("ts")).scalar()
-    age = minutes_between(latest, F.col("ts"))
-    recent = events.withColumn("_age", age).where(F.col("_age") <= float(max(minutes)))
+    longest = F.make_dt_interval(mins=F.lit(max(minutes)))
+    recent = events.where(F.col("ts") >= latest - longest).withColumn("_age", minutes_between(latest, F.col("ts")))
     sums = recent.agg(
         *[F.count_if(F.col("_age") <= float(m)).alias(f"_v{m}") for m in minutes],
         *[F.sum(F.when(F.col("_age") <= float(m), F.col("n_captions"))).alias(f"_c{m}") for m in minutes],

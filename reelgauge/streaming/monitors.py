@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from reelgauge.operators.ordered import attach, previous_value, time_block
+from reelgauge.operators.ordered import attach, previous_value, sized, time_block
 from reelgauge.operators.planning import fixed_stride_spans
 
 
@@ -140,19 +139,6 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
     )
 
 
-def _last_state(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
-    """State of the newest batch before this one; a replay reads the same state again."""
-    try:
-        saved = spark.read.parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    earlier = saved.where(F.col("batch_id") < batch_id)
-    newest = earlier.select(F.max("batch_id")).scalar()
-    return earlier.where(F.col("batch_id") == newest).drop("batch_id")
-
-
 def stream_transitions(
     samples: DataFrame,
     target: str,
@@ -174,9 +160,11 @@ def stream_transitions(
         spark = batch.sparkSession
         slim = batch.select(*key_list, "ts", F.col("actors_ready").cast("bigint").alias("ready"))
         slim = slim.withColumn("_block", time_block(F.col("ts"), block_seconds))
-        before = _last_state(spark, state_dir, batch_id)
-        if before is None:
-            before = spark.createDataFrame([], slim.select(*key_list, "ts", "ready").schema)
+        state_schema = slim.select(*key_list, "ts", "ready").schema
+        if batch_id == 0:
+            before = spark.createDataFrame([], state_schema)
+        else:
+            before = sized(spark.read.schema(state_schema).parquet(f"{state_dir}/batch_id={batch_id - 1}"))
         held = before.select(*key_list, F.col("ts").alias("_held_ts"), F.col("ready").alias("_held"))
         fresh = attach(slim, held, key_list).where(F.col("_held_ts").isNull() | (F.col("ts") > F.col("_held_ts")))
         paired = previous_value(fresh, "ready", key_list, "_block", ["ts"], "_prev")
