@@ -13,7 +13,8 @@ CAPTION_LINE_TEXT = "Caption for clip"
 GENERATED_PATTERN = "Generated .* captions for video"
 TEMPLATE_TEXT = "The video appears"
 HEADING_TEXT = "###"
-REFUSAL_PATTERN = r"(?i)\bI cannot\b|\bI can't\b|\bI am unable\b|\bI'm sorry\b|\bI apologi[sz]e\b"
+BLANKS = " \t\n\r\f"
+REFUSAL_TEXTS = ("i cannot", "i can't", "i am unable", "i'm sorry", "i apologise", "i apologize")
 
 
 def strip_ansi(line: Column) -> Column:
@@ -39,17 +40,30 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\S+")).cast("bigint")
 
 
+def has_refusal(text: Column) -> Column:
+    """Contains a refusal or apology as whole words, in any case.
+
+    Plain substring tests come first, so the slower word-boundary pattern only sees
+    text that holds one of the phrases.
+    """
+    lowered = F.lower(text)
+    held = F.lit(False)
+    for phrase in REFUSAL_TEXTS:
+        held = held | F.contains(lowered, F.lit(phrase))
+    return held & lowered.rlike(r"\b(" + "|".join(REFUSAL_TEXTS) + r")\b")
+
+
 def caption_flags(text: Column, tokens: Column, cap: int) -> dict[str, Column]:
     """Quality flags of one caption; ``tokens`` comes from the caller's tokenizer."""
     body = F.coalesce(text, F.lit(""))
-    trimmed = F.regexp_replace(body, r"\s+$", "")
+    trimmed = F.rtrim(body, F.lit(BLANKS))
     return {
         "is_empty": trimmed == "",
         "at_cap": tokens >= cap,
         "has_terminal": F.substring(trimmed, -1, 1).isin(".", "?", "!"),
         "has_heading": F.contains(body, F.lit(HEADING_TEXT)),
         "has_template": F.contains(body, F.lit(TEMPLATE_TEXT)),
-        "has_refusal": body.rlike(REFUSAL_PATTERN),
+        "has_refusal": has_refusal(body),
     }
 
 

@@ -42,9 +42,9 @@ def batched_map(
 
     The factory runs once per Python worker. The function returns one row per input row,
     in order, with the columns of ``out_schema``; they are appended to the input columns.
-    When a batch fails its rows are tried one by one, and a row that still fails gets
-    nulls and its message under ``stage`` in the ``errors`` map. ``workers`` sets the
-    number of partitions; ``profile`` asks Spark for e.g. one accelerator per task.
+    When a batch fails its halves are tried, down to single rows, so the function must
+    bear being called again on the same rows. A row that fails alone gets nulls and its
+    message under ``stage`` in the ``errors`` map. ``workers`` sets the number of partitions; ``profile`` asks Spark for e.g. one accelerator per task.
     """
     if batch_size <= 0 or (workers is not None and workers <= 0):
         raise ValueError("batch_size and workers must be positive")
@@ -62,14 +62,17 @@ def batched_map(
         made["errors"] = None
         return made
 
-    def one_by_one(batch: pd.DataFrame, work) -> pd.DataFrame:
-        rows = []
-        for i in range(len(batch)):
-            try:
-                rows.append(run(batch.iloc[i : i + 1].reset_index(drop=True), work).iloc[0].to_dict())
-            except Exception as error:
-                rows.append({**dict.fromkeys(names), "errors": {stage: f"{type(error).__name__}: {error}"}})
-        return pd.DataFrame(rows, columns=[*names, "errors"], dtype=object)
+    def attempt(batch: pd.DataFrame, work) -> list[pd.DataFrame]:
+        """Halve a failing batch until the failing rows stand alone."""
+        try:
+            return [run(batch, work)]
+        except Exception as error:
+            if len(batch) == 1:
+                failure = {stage: f"{type(error).__name__}: {error}"}
+                return [pd.DataFrame([{**dict.fromkeys(names), "errors": failure}], dtype=object)]
+            middle = len(batch) // 2
+            halves = (batch.iloc[:middle], batch.iloc[middle:])
+            return [part for half in halves for part in attempt(half.reset_index(drop=True), work)]
 
     def over_partition(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Imported here so that every task of a worker process sees the same cache.
@@ -79,10 +82,7 @@ def batched_map(
             batched._READY[token] = factory()
         work = batched._READY[token]
         for batch in _batches(frames, batch_size):
-            try:
-                made = run(batch, work)
-            except Exception:
-                made = one_by_one(batch, work)
-            yield pd.concat([batch, made], axis=1)
+            parts = [part.astype(object) for part in attempt(batch, work)]
+            yield pd.concat([batch, pd.concat(parts, ignore_index=True)], axis=1)
 
     return source.mapInPandas(over_partition, schema, profile=profile)

@@ -81,7 +81,8 @@ def gate_report(gated: DataFrame, subset: str = "subset") -> DataFrame:
     reasons = F.when(F.col("accepted"), F.array(F.lit("accepted"))).otherwise(F.col("reasons"))
     counted = gated.groupBy(subset, reasons.alias("_reasons")).agg(F.count(F.lit(1)).alias("_n"))
     by_reason = (
-        counted.select(subset, F.explode("_reasons").alias("reason"), "_n")
+        # never empty; explode_outer keeps Spark from filtering this branch's scan on its own
+        counted.select(subset, F.explode_outer("_reasons").alias("reason"), "_n")
         .rollup("reason", subset)
         .agg(F.grouping_id().cast("int").alias("level"), F.sum("_n").alias("n_rows"))
         .where(F.col("level") < 3)

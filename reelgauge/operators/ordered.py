@@ -27,14 +27,15 @@ def time_block(ts: Column, seconds: int = 3600) -> Column:
 
 
 def sized(small: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A side expected to be small, as a local table when it proves to have few rows.
+    """A side expected to be small, ready to broadcast once it proves to have few rows.
 
-    At most ``max_rows`` + 1 rows are fetched. A local table has a known size, so Spark
-    broadcasts it and the other side stays where it is. A larger side is returned as it
-    came and joins by shuffle.
+    At most ``max_rows`` + 1 rows are fetched to find out. A larger side is returned as
+    it came and joins by shuffle.
     """
-    rows = small.limit(max_rows + 1).collect()
-    return small if len(rows) > max_rows else small.sparkSession.createDataFrame(rows, small.schema)
+    rows = small.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return small
+    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
 
 
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -58,9 +58,14 @@ def values_at(
     """
     keys = list(keys)
     count = F.col(weight) if weight else F.lit(1).cast("bigint")
-    rows = df.select(*keys, F.col(value).alias("_value"), count.alias("_n")).where(F.col("_value").isNotNull())
+    rows = df.select(*keys, F.col(value).alias("_value"), count.alias("_n"))
     if few_values:
-        rows = rows.groupBy(*keys, "_value").agg(F.sum("_n").alias("_n"))
+        # Nulls weigh nothing. A filter would be pushed below shared aggregates and
+        # keep Spark from reusing their shuffle.
+        counted = F.when(F.col("_value").isNotNull(), F.col("_n")).otherwise(F.lit(0))
+        rows = rows.groupBy(*keys, "_value").agg(F.sum(counted).alias("_n"))
+    else:
+        rows = rows.where(F.col("_value").isNotNull())
     rows = rows.withColumn("_block", _block(F.col("_value")))
     blocks = rows.groupBy(*keys, "_block").agg(F.sum("_n").alias("_block_n"))
     upto = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, 0)
@@ -84,10 +89,14 @@ def values_at(
         .groupBy(*keys, "_block")
         .agg(F.collect_list(F.struct(F.col("_want.name").alias("name"), rest.alias("rest"))).alias("_wants"))
     )
-    hit = attach(rows, targets if few_values else sized(targets), [*keys, "_block"], how="inner")
-    folded = hit.groupBy(*keys, "_block", "_value").agg(F.sum("_n").alias("_n"), F.first("_wants").alias("_wants"))
-    inside = W.partitionBy(*keys, "_block").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
-    ended = folded.withColumn("_end", F.sum("_n").over(inside)).select(
+    block_keys = [*keys, "_block"]
+    if not few_values:
+        targets = sized(targets)
+        rows = attach(rows, targets.select(*block_keys), block_keys, how="left_semi")
+        rows = rows.groupBy(*block_keys, "_value").agg(F.sum("_n").alias("_n"))
+    hit = attach(rows, targets, block_keys, how="inner")
+    inside = W.partitionBy(*block_keys).orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
+    ended = hit.withColumn("_end", F.sum("_n").over(inside)).select(
         *keys, "_value", "_n", "_end", F.explode("_wants").alias("_want")
     )
     chosen = ended.where((F.col("_want.rest") < F.col("_end")) & (F.col("_want.rest") >= F.col("_end") - F.col("_n")))

@@ -19,6 +19,7 @@ STATE_HEADER = "Stage state:"
 STATE_CLOSER = "╘"
 CELL_SEPARATOR = "│"
 STAGE_ROW_PATTERN = r"^│ (Stage \d+ - [^│]+?)\s*│(.*)│$"
+TABLE_LINE_PATTERN = r"^\d{4}-\d{2}-\d{2} |^Stage state:$|^╘|^│ Stage "
 CAPTION_EVENT_PATTERN = (
     r"CaptionGenerationStage pid=\d+, ip=([0-9.]+).*?"
     r"(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d+).*?"
@@ -68,7 +69,7 @@ def stage_log_parse(lines: DataFrame) -> DataFrame:
     ``lines`` has file, block, line_no and line; see ``read_log_lines``. Both carried
     values travel in one pass, and only lines that matter take part in it.
     """
-    cleaned = clean_lines(lines)
+    cleaned = clean_lines(lines).where(F.col("line").rlike(TABLE_LINE_PATTERN))
     found = F.regexp_extract("line", LINE_TIMESTAMP_PATTERN, 1)
     cells = F.split(F.regexp_extract("line", STAGE_ROW_PATTERN, 2), CELL_SEPARATOR)
     marked = cleaned.select(
@@ -77,7 +78,7 @@ def stage_log_parse(lines: DataFrame) -> DataFrame:
         _block_mark().alias("_open"),
         F.when(F.col("line").rlike(STAGE_ROW_PATTERN) & (F.size(cells) == 12), cells).alias("_cells"),
         F.trim(F.regexp_extract("line", STAGE_ROW_PATTERN, 1)).alias("stage"),
-    ).where(F.col("timestamp").isNotNull() | F.col("_open").isNotNull() | F.col("_cells").isNotNull())
+    )
     filled = carry_forward(marked, ["timestamp", "_open"], LINE_KEYS, "block", LINE_ORDER)
     rows = filled.where(F.col("_open") & F.col("_cells").isNotNull())
     return rows.select(
@@ -97,16 +98,21 @@ def typed_stage_state(rows: DataFrame) -> DataFrame:
 
 
 def caption_event_parse(lines: DataFrame) -> DataFrame:
-    """Caption-generation log lines as (ip, ts, n_captions, media_path)."""
-    hits = clean_lines(lines).where(F.col("line").rlike(CAPTION_EVENT_PATTERN)).select(
-        F.explode(F.regexp_extract_all("line", F.lit(CAPTION_EVENT_PATTERN), F.lit(0))).alias("hit")
-    )
-    part = lambda i: F.regexp_extract("hit", CAPTION_EVENT_PATTERN, i)
-    return hits.select(
-        part(1).alias("ip"),
-        F.try_to_timestamp(part(2)).alias("ts"),
-        part(3).cast("int").alias("n_captions"),
-        part(4).alias("media_path"),
+    """Caption-generation log lines as (ip, ts, n_captions, media_path).
+
+    A literal pre-check keeps the pattern off other lines, and one replacement takes a
+    hit apart instead of one match per column.
+    """
+    likely = lines.where(F.contains(F.col("line"), F.lit("Generated ")) & F.contains(F.col("line"), F.lit(" captions for video ")))
+    # explode_outer: a plain explode would make Spark match every line twice.
+    found = F.regexp_extract_all("line", F.lit(CAPTION_EVENT_PATTERN), F.lit(0))
+    hits = clean_lines(likely).select(F.explode_outer(found).alias("hit")).where(F.col("hit").isNotNull())
+    parts = F.split(F.regexp_replace("hit", CAPTION_EVENT_PATTERN, "$1\n$2\n$3\n$4"), "\n")
+    return hits.select(parts.alias("part")).select(
+        F.col("part")[0].alias("ip"),
+        F.try_to_timestamp(F.col("part")[1]).alias("ts"),
+        F.col("part")[2].cast("int").alias("n_captions"),
+        F.col("part")[3].alias("media_path"),
     )
 
 

@@ -18,6 +18,10 @@ from reelgauge.functions.paths import MEDIA_SUFFIXES
 from reelgauge.schemas import SHARD_MEMBER
 
 
+_BATCH_ROWS = 1024
+_BATCH_BYTES = 32 * 1024 * 1024
+
+
 class ShardPartition(InputPartition):
     def __init__(self, shard: str):
         super().__init__(shard)
@@ -54,8 +58,8 @@ class ShardReader(DataSourceReader):
                 shards.append(path)
         return [ShardPartition(shard) for shard in sorted(shards)]
 
-    def read(self, partition: ShardPartition) -> Iterator[tuple]:
-        system, inner = _filesystem(partition.shard)
+    def _members(self, shard: str) -> Iterator[tuple]:
+        system, inner = _filesystem(shard)
         kept = 0
         with system.open_input_stream(inner, compression=None) as stream, tarfile.open(
             fileobj=stream, mode="r|*"
@@ -71,7 +75,30 @@ class ShardReader(DataSourceReader):
                 if unsafe and self.strict:
                     raise ValueError(f"Unsafe tar member path: {member.name}")
                 payload = archive.extractfile(member).read() if self.with_payload and not unsafe else None
-                yield (partition.shard, index, member.name, ending, member.size, unsafe, payload)
+                yield (shard, index, member.name, ending, member.size, unsafe, payload)
+
+    def read(self, partition: ShardPartition) -> Iterator:
+        """Arrow batches, cut by rows and by payload bytes so memory stays flat."""
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(SHARD_MEMBER)
+        rows, held = [], 0
+
+        def batch():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(column, field.type) for column, field in zip(zip(*rows, strict=True), schema, strict=True)],
+                schema=schema,
+            )
+
+        for row in self._members(partition.shard):
+            rows.append(row)
+            held += len(row[-1] or b"")
+            if len(rows) >= _BATCH_ROWS or held >= _BATCH_BYTES:
+                yield batch()
+                rows, held = [], 0
+        if rows:
+            yield batch()
 
 
 class ShardSource(DataSource):
