@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from reelgauge.functions.numeric import frame_rate, pixels, rate, ratio, resolution
 from reelgauge.operators.ordered import attach, global_position
 from reelgauge.operators.ranking import median, nearest_rank
-from reelgauge.schemas import PROBE_DOCUMENT
 
 
 def video_limit(media: DataFrame, n: int | None, path: str = "media_path") -> DataFrame:
@@ -20,42 +19,42 @@ def video_limit(media: DataFrame, n: int | None, path: str = "media_path") -> Da
 
 
 def _number(text: Column, kind: str) -> Column:
-    return text.try_cast("double").cast(kind)
-
-
-def _present(text: Column) -> Column:
-    """Missing, empty and a JSON number 0 fall through; see ``probe_json`` for quoted zeros."""
-    return F.when(text != "", text)
+    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
 
 
 def probe_json(df: DataFrame, document: str, stat_size: str = "size_bytes") -> DataFrame:
     """Media-probe JSON to typed columns, first stream only.
 
     Size falls back to the listed file size, bit rate to the stream's and then to 0,
-    dimensions to 0. A bare JSON zero counts as missing, a quoted "0" does not.
+    dimensions to 0. A bare JSON zero counts as missing, a quoted "0" does not. An
+    unreadable document gives the fallbacks.
     """
-    parsed = df.withColumn("_doc", F.from_json(document, PROBE_DOCUMENT))
-    stream = F.get(F.col("_doc.streams"), F.lit(0))
+    doc = F.col("_doc")
+
+    def text(path: str) -> Column:
+        return F.try_variant_get(doc, path, "string")
 
-    def text(source: Column, path: str) -> Column:
-        bare_zero = F.get_json_object(document, path.replace("streams", "streams[0]"))
-        quoted = F.col(document).rlike(f'"{path.rsplit(".", 1)[1]}"\\s*:\\s*"0"')
-        return F.when((source != "") & ~((bare_zero == "0") & ~quoted), source)
+    def given(path: str) -> Column:
+        is_text = F.schema_of_variant(F.try_variant_get(doc, path, "variant")) == "STRING"
+        bare_zero = ~is_text & F.coalesce(text(path).try_cast("double") == 0, F.lit(False))
+        return F.when((text(path) != "") & ~bare_zero, text(path))
 
-    size = text(F.col("_doc.format.size"), "$.format.size")
-    format_rate = text(F.col("_doc.format.bit_rate"), "$.format.bit_rate")
-    stream_rate = text(stream["bit_rate"], "$.streams.bit_rate")
     zero = F.lit(0)
-    return parsed.withColumns(
-        {
-            "width": F.coalesce(_number(stream["width"], "int"), zero),
-            "height": F.coalesce(_number(stream["height"], "int"), zero),
-            "fps": frame_rate(stream["avg_frame_rate"]),
-            "bitrate": F.coalesce(_number(F.coalesce(format_rate, stream_rate), "bigint"), zero.cast("bigint")),
-            "duration_s": F.col("_doc.format.duration").try_cast("double"),
-            "probed_bytes": F.coalesce(_number(size, "bigint"), F.col(stat_size)),
-        }
-    ).drop("_doc")
+    bitrate = F.coalesce(given("$.format.bit_rate"), given("$.streams[0].bit_rate"))
+    return (
+        df.withColumn("_doc", F.try_parse_json(document))
+        .withColumns(
+            {
+                "width": F.coalesce(_number(text("$.streams[0].width"), "int"), zero),
+                "height": F.coalesce(_number(text("$.streams[0].height"), "int"), zero),
+                "fps": frame_rate(text("$.streams[0].avg_frame_rate")),
+                "bitrate": F.coalesce(_number(bitrate, "bigint"), zero.cast("bigint")),
+                "duration_s": text("$.format.duration").try_cast("double"),
+                "probed_bytes": F.coalesce(_number(given("$.format.size"), "bigint"), F.col(stat_size)),
+            }
+        )
+        .drop("_doc")
+    )
 
 
 def _marked(markers: DataFrame, path: str) -> DataFrame:
@@ -164,10 +163,15 @@ def distribution_by_group(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     means = means.select(
         kind.alias("kind"), label.alias("label"), "n", "size_mean", "bitrate_mean", "pixels_mean"
     )
-    long = _labelled(df.select(*labels, "size_bytes", "bitrate"), labels)
-    sizes = nearest_rank(long, "size_bytes", ["kind", "label"], {"size_p50": 0.5})
-    rates = nearest_rank(long, "bitrate", ["kind", "label"], {"bitrate_p50": 0.5})
-    return attach(attach(means, sizes, ["kind", "label"]), rates, ["kind", "label"])
+    slim = df.select(*labels, F.col("size_bytes").cast("bigint"), F.col("bitrate").cast("bigint"))
+    measures = F.array(
+        *[F.struct(F.lit(f"{m}_p50").alias("measure"), F.col(c).alias("value")) for m, c in (("size", "size_bytes"), ("bitrate", "bitrate"))]
+    )
+    long = _labelled(slim, labels).select("kind", "label", F.inline(measures))
+    middle = nearest_rank(long, "value", ["kind", "label", "measure"], {"p50": 0.5})
+    pick = lambda name: F.max(F.when(F.col("measure") == name, F.col("p50"))).alias(name)
+    wide = middle.groupBy("kind", "label").agg(pick("size_p50"), pick("bitrate_p50"))
+    return attach(means, wide, ["kind", "label"])
 
 
 def top_resolutions(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reelgauge.operators.ordered import attach, sized
 
-_BLOCKS_PER_OCTAVE = 64
+_BLOCKS_PER_OCTAVE = 256
 
 
 def _block(value: Column) -> Column:

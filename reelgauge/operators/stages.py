@@ -208,7 +208,7 @@ def actor_utilisation(state: DataFrame, keys: Sequence[str] = ("stage_short",))
 
 
 def ready_transitions(
-    state: DataFrame, keys: Sequence[str] = ("stage_short",), block_seconds: int = 86_400
+    state: DataFrame, keys: Sequence[str] = ("stage_short",), block_seconds: int = 3600
 ) -> DataFrame:
     """Rows where the ready-actor count differs from the row before; the first row always counts."""
     slim = state.select(*keys, "ts", F.col("actors_ready").cast("bigint").alias("ready"))
@@ -263,7 +263,7 @@ def gap_stats(gaps: DataFrame, keys: Sequence[str] = ("link",)) -> DataFrame:
 
 
 def cumulative_completed(
-    increments: DataFrame, value: str, keys: Sequence[str] = ("stage_short",), block_seconds: int = 86_400
+    increments: DataFrame, value: str, keys: Sequence[str] = ("stage_short",), block_seconds: int = 3600
 ) -> DataFrame:
     """Running total of ``value`` per stage over time."""
     blocked = increments.withColumn("_block", time_block(F.col("ts"), block_seconds))
@@ -302,7 +302,7 @@ def tail_overshoot(
 
 
 def queue_boundedness(
-    gaps: DataFrame, keys: Sequence[str] = ("link",), growth: float = 2.0, block_seconds: int = 86_400
+    gaps: DataFrame, keys: Sequence[str] = ("link",), growth: float = 2.0, block_seconds: int = 3600
 ) -> DataFrame:
     """Does in-flight work grow with time? Slope per hour and peak of each third of the samples.
 

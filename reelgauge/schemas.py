@@ -17,27 +17,6 @@ MEDIA_PROBE = T.StructType(
     ]
 )
 
-# Everything is read as text: the probing tool quotes some numbers and not others.
-PROBE_DOCUMENT = T.StructType(
-    [
-        T.StructField(
-            "streams",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField(name, T.StringType())
-                        for name in ("width", "height", "avg_frame_rate", "bit_rate")
-                    ]
-                )
-            ),
-        ),
-        T.StructField(
-            "format",
-            T.StructType([T.StructField(name, T.StringType()) for name in ("duration", "bit_rate", "size")]),
-        ),
-    ]
-)
-
 # Caption keys differ from run to run, so windows are maps and never inferred.
 CLIP_DOCUMENT = T.StructType(
     [

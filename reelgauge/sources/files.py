@@ -15,8 +15,8 @@ from reelgauge.schemas import CLIP_DOCUMENT, GPU_TEXT, PROCESSED_MARKER, RUN_REP
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: path, size_bytes, modified. File content is never read.
 
-    Spark sizes listing tasks by file length; on folders of very large files raise
-    ``spark.sql.files.maxPartitionBytes`` for the listing to keep tasks few.
+    Spark plans listing tasks by file length; on folders of very large files set
+    ``spark.sql.files.maxPartitionNum`` to keep them few.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return listed.select(

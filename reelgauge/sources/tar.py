@@ -31,6 +31,8 @@ class ShardPartition(InputPartition):
 def _filesystem(path: str):
     from pyarrow import fs
 
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 

@@ -144,7 +144,7 @@ def stream_transitions(
     target: str,
     checkpoint: str,
     keys: tuple[str, ...] = ("stage_short",),
-    block_seconds: int = 86_400,
+    block_seconds: int = 3600,
 ) -> StreamingQuery:
     """Append a row whenever the ready-actor count of a stage changes, across batches.
 

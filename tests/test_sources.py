@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions import paths
 from reelgauge.operators import audit, inventory
-from reelgauge.schemas import RunConfig
+from reelgauge.schemas import MEDIA_PROBE, RunConfig
 from reelgauge.sources import files, sinks, tar
 
 
@@ -144,6 +144,16 @@ def test_probe_fallbacks(spark, document, expected):
     assert (r.width, r.height, r.bitrate, r.probed_bytes) == expected
 
 
+def test_probe_types_and_unreadable_documents(spark):
+    quoted_elsewhere = json.dumps({"streams": [{"bit_rate": "0", "width": "640"}], "format": {"bit_rate": 0, "size": 2**60}})
+    df = spark.createDataFrame([(quoted_elsewhere, 100), ("{broken", 100), (None, 100)], "d string, size_bytes bigint")
+    probed = inventory.probe_json(df, "d")
+    types = dict(probed.drop("size_bytes").withColumnRenamed("probed_bytes", "size_bytes").dtypes)
+    assert {f.name: f.dataType.simpleString() for f in MEDIA_PROBE} == {n: t for n, t in types.items() if n != "d"}
+    got = [(r.width, r.bitrate, r.probed_bytes, r.fps) for r in probed.collect()]
+    assert got == [(640, 0, 2**60, None), (0, 0, 100, None), (0, 0, 100, None)]
+
+
 def test_stage_csv_reads_blanks(spark, tmp_path):
     from reelgauge.operators.stages import typed_stage_state
     from reelgauge.schemas import STAGE_COLUMNS

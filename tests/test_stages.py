@@ -46,7 +46,7 @@ def test_carriage_returns_end_lines(spark, tmp_path):
     assert stages.stage_log_parse(read_log_lines(spark, str(path))).count() == 1
 
 
-def reference_parse(lines):
+def expected_rows(lines):
     """Line-by-line state machine to compare with."""
     import re
 
@@ -88,7 +88,7 @@ def test_log_cut_into_many_splits_parses_the_same(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert [(r.timestamp, r.stage, r.actors_ready, r.tasks_completed) for r in got] == reference_parse(lines)
+    assert [(r.timestamp, r.stage, r.actors_ready, r.tasks_completed) for r in got] == expected_rows(lines)
     assert [r.line for r in numbered] == lines and [r.line_index for r in numbered] == list(range(len(lines)))
 
 
