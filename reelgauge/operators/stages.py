@@ -218,40 +218,36 @@ def ready_transitions(
     return paired.where(changed).select(*keys, "ts", "ready", F.col("_prev.value").alias("ready_before"))
 
 
-def stage_gap(
-    state: DataFrame, upstream: str, downstream: str, keys: Sequence[str] = (), order: str | None = None
+def stage_gaps(
+    state: DataFrame, links: Sequence[tuple[str, str]], keys: Sequence[str] = (), order: str | None = None
 ) -> DataFrame:
-    """In-flight work per timestamp: completed upstream minus downstream, never below 0.
+    """In-flight work per timestamp and link: completed upstream minus downstream, never below 0.
 
-    One conditional aggregate instead of a self-join. Timestamps with only one of the
-    stages are skipped. Of repeated samples the last in ``order`` wins; without an
-    order the larger count does.
+    One conditional aggregate serves every link, with no self-join. Timestamps with only
+    one stage of a link are skipped. Of repeated samples the last in ``order`` wins;
+    without an order the larger count does.
     """
     last = F.col(order) if order else F.col("tasks_completed")
-
-    def at(stage: str) -> Column:
-        return F.max_by("tasks_completed", F.when(F.col("stage_short") == stage, last))
-
-    both = state.where(F.col("stage_short").isin(upstream, downstream)).groupBy(*keys, "ts").agg(
-        at(upstream).alias("_up"), at(downstream).alias("_down")
-    )
-    both = both.where(F.col("_up").isNotNull() & F.col("_down").isNotNull())
-    gap = F.greatest(F.col("_up") - F.col("_down"), F.lit(0)).cast("bigint")
-    return both.select(*keys, "ts", F.concat_ws(">", F.lit(upstream), F.lit(downstream)).alias("link"), gap.alias("gap"))
-
-
-def stage_gaps(state: DataFrame, links: Sequence[tuple[str, str]], keys: Sequence[str] = ()) -> DataFrame:
-    """``stage_gap`` of several stage pairs from one aggregation."""
     names = sorted({name for link in links for name in link})
+    column = {name: f"_s{i}" for i, name in enumerate(names)}
     wide = state.where(F.col("stage_short").isin(*names)).groupBy(*keys, "ts").agg(
-        *[F.max(F.when(F.col("stage_short") == n, F.col("tasks_completed"))).alias(f"_s{i}") for i, n in enumerate(names)]
+        *[F.max_by("tasks_completed", F.when(F.col("stage_short") == n, last)).alias(c) for n, c in column.items()]
     )
-    column = {name: F.col(f"_s{i}") for i, name in enumerate(names)}
     pairs = F.array(
-        *[F.struct(F.lit(f"{up}>{down}").alias("link"), (column[up] - column[down]).alias("gap")) for up, down in links]
+        *[
+            F.struct(F.lit(f"{up}>{down}").alias("link"), (F.col(column[up]) - F.col(column[down])).alias("gap"))
+            for up, down in links
+        ]
     )
-    long = wide.select(*keys, "ts", F.explode(pairs).alias("_pair")).select(*keys, "ts", "_pair.*")
-    return long.where(F.col("gap").isNotNull()).withColumn("gap", F.greatest("gap", F.lit(0)).cast("bigint"))
+    long = wide.select(*keys, "ts", F.inline(pairs)).where(F.col("gap").isNotNull())
+    return long.withColumn("gap", F.greatest("gap", F.lit(0)).cast("bigint"))
+
+
+def stage_gap(
+    state: DataFrame, upstream: str, downstream: str, keys: Sequence[str] = (), order: str | None = None
+) -> DataFrame:
+    """``stage_gaps`` of one link."""
+    return stage_gaps(state, [(upstream, downstream)], keys, order)
 
 
 def gap_stats(gaps: DataFrame, keys: Sequence[str] = ("link",)) -> DataFrame:
