@@ -13,6 +13,16 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def plain_path(path: Column) -> Column:
+    """Local file URIs as plain paths, the form that markers and documents use."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def plain_uri(uri: Column) -> Column:
+    """The same for percent-encoded URIs."""
+    return plain_path(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
+
+
 def suffix(path: Column) -> Column:
     """Last dotted part of the file name with its dot, '' when there is none.
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelgauge.functions.ids import span_id
+from reelgauge.operators.inventory import video_limit
+from reelgauge.schemas import RunConfig
 
 
 def _indexes(count: Column) -> Column:
@@ -132,3 +134,24 @@ def plan_totals(media: DataFrame, group: str = "subset") -> DataFrame:
         F.sum("_clips").alias("n_clips"),
         F.sum(windows.cast("bigint")).alias("n_windows"),
     )
+
+
+def plan_run(media: DataFrame, config: RunConfig) -> DataFrame:
+    """The whole plan of a run: clips with id and chunk, and with captions their windows.
+
+    Input selection comes first, so nothing is generated for files that are not wanted.
+    """
+    problems = config.problems()
+    if problems:
+        raise ValueError("; ".join(problems))
+    spans = fixed_stride_spans(
+        video_limit(media, config.video_limit),
+        clip_len=config.clip_len_s,
+        stride=config.clip_stride_s,
+        min_len=config.min_clip_s,
+        limit_clips=config.limit_clips,
+    )
+    clips = clip_chunks(with_clip_id(spans), config.clips_per_chunk)
+    if not config.captions:
+        return clips
+    return caption_windows(clips, window=config.window_frames, remainder=config.remainder_frames)

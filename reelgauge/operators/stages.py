@@ -208,12 +208,18 @@ def actor_utilisation(state: DataFrame, keys: Sequence[str] = ("stage_short",))
 
 
 def ready_transitions(
-    state: DataFrame, keys: Sequence[str] = ("stage_short",), block_seconds: int = 3600
+    state: DataFrame,
+    keys: Sequence[str] = ("stage_short",),
+    block_seconds: int = 3600,
+    order: Sequence[str] = ("ts",),
 ) -> DataFrame:
-    """Rows where the ready-actor count differs from the row before; the first row always counts."""
-    slim = state.select(*keys, "ts", F.col("actors_ready").cast("bigint").alias("ready"))
+    """Rows where the ready-actor count differs from the row before; the first row always counts.
+
+    Give a tie-breaker in ``order`` when samples repeat a timestamp.
+    """
+    slim = state.select(*keys, *dict.fromkeys(["ts", *order]), F.col("actors_ready").cast("bigint").alias("ready"))
     slim = slim.withColumn("_block", time_block(F.col("ts"), block_seconds))
-    paired = previous_value(slim, "ready", keys, "_block", ["ts"], "_prev")
+    paired = previous_value(slim, "ready", keys, "_block", list(order), "_prev")
     changed = F.col("_prev").isNull() | ~F.col("_prev.value").eqNullSafe(F.col("ready"))
     return paired.where(changed).select(*keys, "ts", "ready", F.col("_prev.value").alias("ready_before"))
 

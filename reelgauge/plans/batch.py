@@ -249,6 +249,13 @@ def plan_totals(spark, sf):
     return planning.plan_totals(b.media(spark, sf))
 
 
+@query
+def plan_run(spark, sf):
+    config = RunConfig("/input", "/run", captions=True, limit_clips=5, clips_per_chunk=4)
+    plan = planning.plan_run(b.media(spark, sf), config)
+    return plan.select("clip_id", "media_path", "clip_index", "chunk_index", "window_index", "start_frame", "end_frame")
+
+
 @query
 def fixed_stride_spans(spark, sf):
     spans = planning.fixed_stride_spans(b.media(spark, sf))

@@ -152,6 +152,14 @@ def _text(ts: str, micros: bool = False) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S{'.%f' if micros else ''}')"
 
 
+_UUID = (
+    "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || "
+    "lower(to_hex((instr('0123456789abcdef', substr(h, 17, 1)) - 1) & 3 | 8)) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
+)
+_SPAN_HASH = (
+    "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(media_path || '_' || CAST(round(start_s * 1000) AS BIGINT) "
+    "|| '_' || CAST(round(end_s * 1000) AS BIGINT)))"
+)
 _SUFFIX = "CASE doc_id % 7 WHEN 0 THEN '.mp4' WHEN 1 THEN '.MOV' WHEN 2 THEN '.avi' WHEN 3 THEN '.txt' WHEN 4 THEN '' WHEN 5 THEN '.webm' ELSE '.tar.mkv' END"
 _LAST_SUFFIX = "CASE doc_id % 7 WHEN 0 THEN '.mp4' WHEN 1 THEN '.mov' WHEN 2 THEN '.avi' WHEN 5 THEN '.webm' ELSE '.mkv' END"
 _UNIT_RATES = ", ".join(
@@ -200,10 +208,7 @@ ORACLE: dict[str, str] = {
     "strip_ansi": f"""SELECT event_id AS line_no, '(CaptionGenerationStage pid=' || user_id || ', ip=10.0.0.' || (user_id % 4) || ') ' || {_text('ts', True)} || ' | INFO | ' ||
         CASE WHEN event_type = 'click' THEN 'Generated ' || (user_id % 7 + 1) || ' captions for video /input/' || user_id || '.mp4 chunk-0' ELSE event_type END AS line
         FROM events""",
-    "clip_uuid5": _with(_MEDIA, _SPANS) + """SELECT media_path, clip_index, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
-        lower(to_hex((instr('0123456789abcdef', substr(h, 17, 1)) - 1) & 3 | 8)) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS clip_id
-        FROM (SELECT media_path, clip_index, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(media_path || '_' || CAST(round(start_s * 1000) AS BIGINT)
-          || '_' || CAST(round(end_s * 1000) AS BIGINT))) AS h FROM spans)""",
+    "clip_uuid5": _with(_MEDIA, _SPANS) + f"SELECT media_path, clip_index, {_UUID} AS clip_id FROM (SELECT *, {_SPAN_HASH} AS h FROM spans)",
     "resolution_pixels": _with(_MEDIA) + "SELECT doc_id, width || 'x' || height AS resolution, CAST(width AS BIGINT) * height AS pixels FROM media",
     "elapsed_minutes": _with(_STATE) + f"""SELECT phase, stage_short, {_text('ts')} AS ts,
         round({_MINUTES.format('ts', 'min(ts) OVER (PARTITION BY phase)')}, 6) AS minute FROM state""",
@@ -216,6 +221,8 @@ ORACLE: dict[str, str] = {
     "artifact_urls": _with(_CLIPS) + "SELECT span_uuid, '/assets/clips/' || span_uuid || '.mp4' AS video_url, '/assets/metas/v0/' || span_uuid || '.json' AS metadata_url FROM docs",
     "plan_totals": _with(_MEDIA, _SPANS, _WINDOWS) + """SELECT m.subset, count(*) AS n_media, CAST(sum(c.n) AS BIGINT) AS n_clips, CAST(sum(c.w) AS BIGINT) AS n_windows
         FROM media m LEFT JOIN (SELECT doc_id, count(DISTINCT clip_index) AS n, count(*) AS w FROM windows GROUP BY doc_id) c ON c.doc_id = m.doc_id GROUP BY m.subset""",
+    "plan_run": _with(_MEDIA, _SPANS, _WINDOWS) + f"""SELECT {_UUID} AS clip_id, media_path, clip_index, CAST(clip_index // 4 AS INTEGER) AS chunk_index, window_index, start_frame, end_frame
+        FROM (SELECT *, {_SPAN_HASH} AS h FROM windows WHERE clip_index < 5)""",
     "fixed_stride_spans": _with(_MEDIA, _SPANS) + "SELECT media_path, clip_index, start_s, end_s FROM spans",
     "limit_clips": _with(_MEDIA, _SPANS) + "SELECT media_path, clip_index, start_s, end_s FROM spans WHERE clip_index < 2",
     "caption_windows": _with(_MEDIA, _SPANS, _WINDOWS) + "SELECT media_path, clip_index, window_index, start_frame, end_frame FROM windows",
@@ -300,8 +307,7 @@ ORACLE: dict[str, str] = {
           FROM {_ranked('flags', 'subset', 'n_tokens')} GROUP BY 1) r ON r.subset = f.subset GROUP BY f.subset""",
     "error_rollup": _with(_CLIPS) + """SELECT stage, source_video, CAST(grouping_id(stage, source_video) AS INTEGER) AS level, count(*) AS n_errors
         FROM docs WHERE clip_no % 6 = 0 GROUP BY CUBE (stage, source_video)""",
-    "duplicate_ids": """SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || lower(to_hex((instr('0123456789abcdef', substr(h, 17, 1)) - 1) & 3 | 8))
-        || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS clip_id, n
+    "duplicate_ids": f"""SELECT {_UUID} AS clip_id, n
         FROM (SELECT sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(text)) AS h, n FROM (SELECT text, count(*) AS n FROM documents GROUP BY 1) WHERE n > 1)""",
     "progress_snapshot": _with(_CLIPS, _LISTING, _STATE, _LINES) + """SELECT (SELECT count(*) FROM listing WHERE relative_path LIKE 'clips/%.mp4') AS n_clips,
         (SELECT count(*) FROM listing WHERE relative_path LIKE 'metas/v0/%.json') AS n_metas, (SELECT count(*) FROM listing WHERE relative_path LIKE 'processed_videos/%.json') AS n_videos,

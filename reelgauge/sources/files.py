@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgauge.functions.numeric import rate
-from reelgauge.functions.paths import MEDIA_SUFFIXES, is_media
+from reelgauge.functions.paths import MEDIA_SUFFIXES, is_media, plain_path, plain_uri
 from reelgauge.schemas import CLIP_DOCUMENT, GPU_TEXT, PROCESSED_MARKER, RUN_REPORT, STAGE_TEXT
 
 
@@ -20,7 +20,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return listed.select(
-        F.col("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified")
+        plain_path(F.col("path")).alias("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified")
     )
 
 
@@ -56,7 +56,7 @@ def clip_meta_read(spark: SparkSession, root: str, recursive: bool = True, lines
     """
     reader = spark.read.schema(CLIP_DOCUMENT).option("multiLine", not lines).option("pathGlobFilter", "*.json")
     docs = reader.option("recursiveFileLookup", recursive).json(root)
-    return docs.select("*", F.col("_metadata.file_path").alias("metadata_path"))
+    return docs.select("*", plain_uri(F.col("_metadata.file_path")).alias("metadata_path"))
 
 
 def processed_read(spark: SparkSession, root: str, lines: bool = False) -> DataFrame:
