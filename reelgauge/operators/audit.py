@@ -70,16 +70,25 @@ def manifest(df: DataFrame, path: str, content: str) -> DataFrame:
 
 
 def rerun_manifest_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """added / removed / changed / same for every path of two manifests."""
-    old = before.select("path", F.col("checksum").alias("old_checksum"), F.lit(True).alias("_old"))
-    new = after.select("path", F.col("checksum").alias("new_checksum"), F.lit(True).alias("_new"))
+    """added / removed / changed / same for every path of two manifests.
+
+    One aggregate over both sides instead of a join; should a path repeat on a side, its
+    largest checksum stands for it.
+    """
+    none = F.lit(None).cast("string")
+    both = before.select("path", F.col("checksum").alias("_old"), none.alias("_new"), F.lit(1).alias("_side")).unionByName(
+        after.select("path", none.alias("_old"), F.col("checksum").alias("_new"), F.lit(2).alias("_side"))
+    )
+    seen = both.groupBy("path").agg(
+        F.max("_old").alias("old_checksum"), F.max("_new").alias("new_checksum"), F.bit_or("_side").alias("_side")
+    )
     change = (
-        F.when(F.col("_old").isNull(), "added")
-        .when(F.col("_new").isNull(), "removed")
+        F.when(F.col("_side") == 2, "added")
+        .when(F.col("_side") == 1, "removed")
         .when(F.col("old_checksum").eqNullSafe(F.col("new_checksum")), "same")
         .otherwise("changed")
     )
-    return old.join(new, "path", "full_outer").select("path", change.alias("change"), "old_checksum", "new_checksum")
+    return seen.select("path", change.alias("change"), "old_checksum", "new_checksum")
 
 
 def input_identity(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

@@ -91,9 +91,13 @@ def values_at(
     )
     block_keys = [*keys, "_block"]
     if not few_values:
-        targets = sized(targets)
-        rows = attach(rows, targets.select(*block_keys), block_keys, how="left_semi")
-        rows = rows.groupBy(*block_keys, "_value").agg(F.sum("_n").alias("_n"))
+        fold = lambda df: df.groupBy(*block_keys, "_value").agg(F.sum("_n").alias("_n"))
+        few_targets = sized(targets)
+        if few_targets is targets:  # too many to broadcast: fold repeats before the shuffle join
+            rows = fold(rows)
+        else:
+            targets = few_targets
+            rows = fold(attach(rows, targets.select(*block_keys), block_keys, how="left_semi"))
     hit = attach(rows, targets, block_keys, how="inner")
     inside = W.partitionBy(*block_keys).orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
     ended = hit.withColumn("_end", F.sum("_n").over(inside)).select(

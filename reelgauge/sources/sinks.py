@@ -91,7 +91,9 @@ def run_with_report(
     output_tasks. A failure is recorded and raised again.
     """
     started = time.time()
-    report: dict[str, object] = {"run_id": run_id, "config": config.as_text(), "status": "running"}
+    report: dict[str, object] = {
+        "run_id": run_id, "config": config.as_text(), "stages": config.stages(), "status": "running"
+    }
     try:
         report.update(work())
         report["status"] = "succeeded"

@@ -47,6 +47,8 @@ def test_manifest_diff(spark):
     make = lambda rows: audit.manifest(spark.createDataFrame(rows, "path string, body string"), "path", "body")
     diff = audit.rerun_manifest_diff(make([("a", "1"), ("b", "1"), ("c", None)]), make([("a", "1"), ("b", "2"), ("c", None), ("d", "1")]))
     assert {r.path: r.change for r in diff.collect()} == {"a": "same", "b": "changed", "c": "same", "d": "added"}
+    gone = audit.rerun_manifest_diff(make([("a", "1")] * 50 + [("z", None)]), make([("a", "1")] * 50))
+    assert {r.path: r.change for r in gone.collect()} == {"a": "same", "z": "removed"} and gone.count() == 2
 
 
 def test_identity_and_coverage(spark, plan):
@@ -141,3 +143,9 @@ def test_completion_volume_and_sizes(spark, flagged):
 def test_video_limit_is_in_path_order(flagged):
     assert [r.media_path for r in inventory.video_limit(flagged, 2).collect()] == ["/in/0000.mp4", "/in/0001.mp4"]
     assert inventory.video_limit(flagged, None).count() == 233
+
+
+def test_large_limit_is_cut_by_position(flagged, monkeypatch):
+    monkeypatch.setattr(inventory, "SMALL_ROWS", 10)
+    kept = inventory.video_limit(flagged, 100)
+    assert sorted(r.media_path for r in kept.collect()) == [f"/in/{i:04d}.mp4" for i in range(100)]

@@ -43,6 +43,15 @@ def test_beyond_the_broadcast_size_results_stay(spark, monkeypatch):
     assert sorted(map(tuple, shuffled.collect()), key=repr) == expected
 
 
+def test_hot_group_is_never_ordered_in_one_task(spark, plan):
+    _, df = skewed(spark, 100)
+    for few in (False, True):
+        text = plan(ranking.nearest_rank(df, "v", ["k"], {"p90": 0.9}, few_values=few))
+        windows = [line for line in text.splitlines() if "Window [" in line]
+        assert windows and all("_block" in line for line in windows)
+        assert "Generate explode" in text
+
+
 def test_half_to_even_and_empty_groups(spark):
     df = spark.createDataFrame([("a", i) for i in range(4)] + [("n", None)], "k string, v int")
     assert ranking.nearest_rank(df, "v", ["k"], {"p": 0.5}).collect() == [("a", 2)]  # 1.5 -> 2

@@ -188,6 +188,9 @@ def test_report_is_written_on_success_and_failure(spark, tmp_path):
     got = {r.run_id: r for r in files.report_overview(files.run_report_read(spark, root, lines=True)).collect()}
     assert (got["good"].status, got["good"].output_tasks, got["bad"].status) == ("succeeded", 8, "failed")
     assert "no disk" in got["bad"].error
+    reports = {r.run_id: r for r in files.run_report_read(spark, root, lines=True).collect()}
+    assert len(reports["bad"].stages) == 5 and reports["good"].config["min_clip_s"] == "2.0"
+    assert len(RunConfig("/in", "/out", captions=True).stages()) == 7
     text = "".join(p.read_text() for p in (tmp_path / "reports").glob("*.json")).splitlines()
     for line in text:
         assert list(json.loads(line)) == sorted(json.loads(line))
