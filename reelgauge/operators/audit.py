@@ -153,29 +153,30 @@ def validity_rules(docs: DataFrame, captions: bool = True, windows: str = "windo
     )
 
 
-def artifact_listing_metrics(listing: DataFrame) -> DataFrame:
-    """One row: files, bytes, clip files, metadata files and a JSON map of suffix counts.
+def _as_rows(one_row: DataFrame) -> DataFrame:
+    """Columns of a one-row table as (metric, suffix, value) rows."""
+    cells = [F.struct(F.lit(c).alias("metric"), F.lit(None).cast("string").alias("suffix"), F.col(c).alias("value")) for c in one_row.columns]
+    return one_row.select(F.inline(F.array(*cells)))
 
-    ``listing`` has ``relative_path`` below the output folder and ``size_bytes``.
+
+def listing_metrics(listing: DataFrame) -> DataFrame:
+    """Files, bytes, clip files and metadata files in all, and files per suffix.
+
+    ``listing`` has ``relative_path`` below the output folder and ``size_bytes``. Suffixes
+    come out as rows, however many there are.
     """
-    ending = suffix(F.col("relative_path"))
-    by_suffix = (
-        listing.groupBy(F.when(ending == "", "<none>").otherwise(ending).alias("suffix"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("size_bytes").alias("bytes"),
-            F.count_if(F.col("relative_path").startswith("clips/")).alias("_clips"),
-            F.count_if(F.col("relative_path").startswith("metas/v0/")).alias("_metas"),
-        )
+    path, ending = F.col("relative_path"), suffix(F.col("relative_path"))
+    in_folder = lambda folder, kind: F.count_if(path.startswith(folder) & path.endswith(kind))
+    totals = listing.agg(
+        F.count(F.lit(1)).alias("file_count"),
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint").alias("total_bytes"),
+        in_folder("clips/", ".mp4").alias("clip_files"),
+        in_folder("metas/v0/", ".json").alias("metadata_files"),
     )
-    pairs = F.array_sort(F.collect_list(F.struct("suffix", "n")))
-    return by_suffix.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("file_count"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
-        F.to_json(F.map_from_entries(pairs)).alias("files_by_suffix"),
-        F.coalesce(F.sum(F.when(F.col("suffix") == ".mp4", F.col("_clips"))), F.lit(0)).alias("clip_files"),
-        F.coalesce(F.sum(F.when(F.col("suffix") == ".json", F.col("_metas"))), F.lit(0)).alias("metadata_files"),
+    by_suffix = listing.groupBy(F.when(ending == "", "<none>").otherwise(ending).alias("suffix")).agg(
+        F.count(F.lit(1)).alias("value")
     )
+    return _as_rows(totals).unionByName(by_suffix.withColumn("metric", F.lit("files_by_suffix")))
 
 
 def metadata_metrics(docs: DataFrame, windows: str = "windows") -> DataFrame:
@@ -185,6 +186,7 @@ def metadata_metrics(docs: DataFrame, windows: str = "windows") -> DataFrame:
         F.size(F.filter(windows, has_caption_key)).alias("_keyed"),
         F.size(F.filter(windows, has_caption_text)).alias("_texted"),
     )
+    # A missing window list has size -1 or null and counts as none.
     at_least_zero = lambda name: F.coalesce(F.sum(F.greatest(F.col(name), F.lit(0))), F.lit(0)).cast("bigint")
     return per_doc.agg(
         F.count_if("_valid").alias("valid_clips"),
@@ -194,6 +196,5 @@ def metadata_metrics(docs: DataFrame, windows: str = "windows") -> DataFrame:
 
 
 def artifact_metrics(listing: DataFrame, docs: DataFrame) -> DataFrame:
-    """All artifact figures of one output folder as one row (both sides are one row)."""
-    files = artifact_listing_metrics(listing).withColumn("_one", F.lit(1))
-    return files.join(metadata_metrics(docs).withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """All figures of one output folder as (metric, suffix, value) rows."""
+    return listing_metrics(listing).unionByName(_as_rows(metadata_metrics(docs)))

@@ -257,13 +257,14 @@ ORACLE: dict[str, str] = {
     "trailing_rates": _with(_CAPTION_EVENTS) + """SELECT CAST(m AS INTEGER) AS minutes, round(CAST(count(*) AS DOUBLE) / m, 6) AS videos_per_min, round(CAST(sum(n_captions) AS DOUBLE) / m, 6) AS captions_per_min
         FROM caption_events, (VALUES (60), (360), (1440), (10080)) v(m)
         WHERE epoch_us((SELECT max(ts) FROM caption_events)) - epoch_us(ts) <= CAST(m AS BIGINT) * 60000000 GROUP BY m""",
-    "artifact_metrics": _with(_CLIPS, _LISTING) + """, s AS (SELECT CASE WHEN regexp_extract(relative_path, '[^/](\\.[^./]+)$', 1) = '' THEN '<none>'
-          ELSE regexp_extract(relative_path, '[^/](\\.[^./]+)$', 1) END AS suffix, count(*) AS n FROM listing GROUP BY 1)
-        SELECT (SELECT count(*) FROM listing) AS file_count, (SELECT CAST(sum(size_bytes) AS BIGINT) FROM listing) AS total_bytes,
-        (SELECT '{' || string_agg('"' || suffix || '":' || n, ',' ORDER BY suffix) || '}' FROM s) AS files_by_suffix,
-        (SELECT count(*) FROM listing WHERE relative_path LIKE 'clips/%.mp4') AS clip_files, (SELECT count(*) FROM listing WHERE relative_path LIKE 'metas/v0/%.json') AS metadata_files,
-        (SELECT count(*) FROM docs WHERE valid) AS valid_clips, (SELECT count(*) FROM turns WHERE caption_key <> 'system_note') AS captioned_windows,
-        (SELECT count(*) FROM turns WHERE caption_key <> 'system_note' AND trim(text) <> '') AS windows_with_text""",
+    "artifact_metrics": _with(_CLIPS, _LISTING) + """, s AS (SELECT regexp_extract(relative_path, '[^/](\\.[^./]+)$', 1) AS suffix FROM listing)
+        SELECT 'files_by_suffix' AS metric, CASE WHEN suffix = '' THEN '<none>' ELSE suffix END AS suffix, count(*) AS value FROM s GROUP BY suffix
+        UNION ALL SELECT 'file_count', NULL, count(*) FROM listing UNION ALL SELECT 'total_bytes', NULL, CAST(sum(size_bytes) AS BIGINT) FROM listing
+        UNION ALL SELECT 'clip_files', NULL, count(*) FROM listing WHERE relative_path LIKE 'clips/%.mp4'
+        UNION ALL SELECT 'metadata_files', NULL, count(*) FROM listing WHERE relative_path LIKE 'metas/v0/%.json'
+        UNION ALL SELECT 'valid_clips', NULL, count(*) FROM docs WHERE valid
+        UNION ALL SELECT 'captioned_windows', NULL, count(*) FROM turns WHERE caption_key <> 'system_note'
+        UNION ALL SELECT 'windows_with_text', NULL, count(*) FROM turns WHERE caption_key <> 'system_note' AND trim(text) <> ''""",
     "stage_perf": """SELECT event_type AS stage, count(*) AS n_tasks, count(*) AS items, CAST(sum(p) AS BIGINT) AS process_s_sum, round(avg(p), 4) AS process_s_mean, round(stddev_pop(p), 4) AS process_s_std,
         CAST(sum(user_id) AS BIGINT) AS idle_s_sum, round(avg(user_id), 4) AS idle_s_mean, round(stddev_pop(user_id), 4) AS idle_s_std
         FROM (SELECT event_type, user_id, CAST(round(value * 100) AS BIGINT) AS p FROM events) GROUP BY 1""",

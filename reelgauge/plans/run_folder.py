@@ -43,7 +43,7 @@ def run_documents(spark: SparkSession, run_dir: str, recursive: bool = True) ->
 
 
 def artifact_report(spark: SparkSession, run_dir: str) -> DataFrame:
-    """File, byte, suffix, clip, metadata, validity and caption figures as one row."""
+    """File, byte, suffix, clip, metadata, validity and caption figures as (metric, suffix, value) rows."""
     return audit.artifact_metrics(run_listing(spark, run_dir), run_documents(spark, run_dir))
 
 

@@ -57,9 +57,9 @@ def idempotent_write(
 ) -> DataFrame:
     """Append only artifacts that ``target`` does not hold; existing files stay untouched.
 
-    Returns what is (or with ``dry_run`` would be) new. Visibility is all or nothing
-    through Spark's commit protocol. This avoids rewriting, it is not a checkpoint: the
-    work that made ``df`` runs again.
+    Returns what is (or with ``dry_run`` would be) new. Spark's commit protocol keeps files
+    of failed tasks out of sight, and a rerun adds what is still missing. This avoids
+    rewriting, it is not a checkpoint: the work that made ``df`` runs again.
     """
     spark = df.sparkSession
     fresh = new_artifacts(df, _readable(spark, target, key), key, prefer)

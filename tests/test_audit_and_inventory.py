@@ -1,4 +1,3 @@
-import json
 import random
 from collections import Counter
 
@@ -8,19 +7,30 @@ from pyspark.sql import functions as F
 from reelgauge.operators import audit, inventory
 
 
+def figures(metrics):
+    return {(r.metric, r.suffix) if r.suffix else r.metric: r.value for r in metrics.collect()}
+
+
 def test_artifact_metrics_of_a_small_tree(spark):
     listing = spark.createDataFrame([("clips/a.mp4", 4), ("metas/v0/a.json", 2)], "relative_path string, size_bytes bigint")
     docs = spark.createDataFrame([(None, None)], "valid boolean, windows array<map<string,string>>")
-    r = audit.artifact_metrics(listing, docs).first()
-    assert (r.clip_files, r.metadata_files, r.file_count, r.total_bytes, r.valid_clips, r.captioned_windows) == (1, 1, 2, 6, 0, 0)
-    assert json.loads(r.files_by_suffix) == {".json": 1, ".mp4": 1}
+    assert figures(audit.artifact_metrics(listing, docs)) == {
+        "clip_files": 1, "metadata_files": 1, "file_count": 2, "total_bytes": 6, "valid_clips": 0, "captioned_windows": 0,
+        "windows_with_text": 0, ("files_by_suffix", ".json"): 1, ("files_by_suffix", ".mp4"): 1,
+    }
 
 
 def test_artifact_metrics_of_an_empty_folder(spark):
     listing = spark.createDataFrame([], "relative_path string, size_bytes bigint")
     docs = spark.createDataFrame([], "valid boolean, windows array<map<string,string>>")
-    r = audit.artifact_metrics(listing, docs).first()
-    assert (r.file_count, r.total_bytes, r.clip_files, r.valid_clips, r.files_by_suffix) == (0, 0, 0, 0, "{}")
+    got = figures(audit.artifact_metrics(listing, docs))
+    assert len(got) == 7 and set(got.values()) == {0}
+
+
+def test_files_without_suffix(spark):
+    listing = spark.createDataFrame([("logs/run", 1), ("clips/.mp4", 1), ("x/clips/a.mp4", 1)], "relative_path string, size_bytes bigint")
+    got = figures(audit.listing_metrics(listing))
+    assert (got["files_by_suffix", "<none>"], got["files_by_suffix", ".mp4"], got["clip_files"]) == (2, 1, 1)
 
 
 def test_captioned_by_key_or_by_text(spark):
