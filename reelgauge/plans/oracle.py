@@ -197,7 +197,9 @@ ORACLE: dict[str, str] = {
         CAST(0 AS BIGINT) AS slots_empty, round(tasks_per_actor_s, 6) AS tasks_per_actor_s FROM state""",
     "gpu_samples_csv": _with(_GPU) + f"""SELECT {_text('ts', True)} AS ts, gpu, CAST(utilization AS DOUBLE) AS utilization, CAST(memory_used AS DOUBLE) AS memory_used,
         CAST(memory_total AS DOUBLE) AS memory_total, CAST(power AS DOUBLE) AS power FROM samples""",
-    "run_report_write_read": _with(_RUNS) + """SELECT run_id, CASE WHEN failures > windows THEN 'failed' ELSE 'succeeded' END AS status, CAST(seconds AS DOUBLE) AS wall_time_s,
+    "run_report_write": _with(_RUNS) + """SELECT run_id, 'artifacts,config,environment,' || CASE WHEN failures > windows THEN 'error,' ELSE '' END || 'output_tasks,run_id,status,wall_time_s' AS report_keys,
+        CAST(clips AS DOUBLE) AS clip_files FROM runs""",
+    "run_report_read": _with(_RUNS) + """SELECT run_id, CASE WHEN failures > windows THEN 'failed' ELSE 'succeeded' END AS status, CAST(seconds AS DOUBLE) AS wall_time_s,
         videos AS output_tasks, 'clip_files,windows' AS artifact_names, CASE WHEN failures > windows THEN failures || ' failures' END AS error,
         round(CAST(videos AS DOUBLE) / seconds, 6) AS videos_per_s, round(CAST(clips AS DOUBLE) / seconds, 6) AS clips_per_s FROM runs""",
     "idempotent_write": """SELECT 'docs/' || doc_id AS path, sha256(text) AS checksum FROM documents

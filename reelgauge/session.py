@@ -18,8 +18,6 @@ SESSION_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # Sessions of one hot host merge inside each map task before they shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType
 from reelgauge.operators.ordered import attach, previous_value, sized, time_block
 from reelgauge.operators.planning import fixed_stride_spans
 
+MERGE_SESSIONS_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def file_stream(
     spark: SparkSession,
@@ -69,9 +71,17 @@ def stream_clip_plan(manifest: DataFrame, **params) -> DataFrame:
     return fixed_stride_spans(manifest, **params)
 
 
-def stream_dedup_media(arrivals: DataFrame, path: str = "media_path", delay: str = "1 hour") -> DataFrame:
-    """The first arrival of each path within the watermark delay."""
-    return arrivals.withWatermark("ts", delay).dropDuplicatesWithinWatermark([path])
+def stream_dedup_media(
+    arrivals: DataFrame, path: str = "media_path", delay: str = "1 hour", salts: int = 16
+) -> DataFrame:
+    """The first arrival of each path within the watermark delay.
+
+    A path that keeps re-arriving is first thinned out per salt (the input partition), so
+    the task that decides about it sees at most ``salts`` rows per delay.
+    """
+    salted = arrivals.withWatermark("ts", delay).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    thinned = salted.dropDuplicatesWithinWatermark([path, "_salt"]).drop("_salt")
+    return thinned.dropDuplicatesWithinWatermark([path])
 
 
 def _rates(grouped, minutes: float) -> DataFrame:
@@ -107,8 +117,10 @@ def stream_sliding_rates(
 def stream_idle_sessions(events: DataFrame, idle: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
     """Bursts of activity per host, split where nothing happened for ``idle``.
 
-    ``window_end`` is the last event plus the idle time.
+    ``window_end`` is the last event plus the idle time. Events of a host merge into
+    sessions inside each input task before they shuffle, so a busy host is no hot spot.
     """
+    events.sparkSession.conf.set(MERGE_SESSIONS_EARLY, "true")
     sessions = events.withWatermark("ts", delay).groupBy(F.session_window("ts", idle).alias("window"), "ip")
     return _flat_window(sessions.agg(F.count(F.lit(1)).alias("n_videos"), F.sum("n_captions").alias("n_captions")))
 

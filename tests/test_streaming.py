@@ -67,6 +67,16 @@ def test_dedup_within_watermark(spark, place):
     assert sorted(r.media_path for r in spark.read.parquet(place("out")).collect()) == ["/in/0.mp4", "/in/1.mp4", "/in/2.mp4"]
 
 
+def test_hot_path_is_thinned_before_it_meets_in_one_task(spark, place):
+    hot = spark.range(4000).select(F.lit(START).alias("ts"), F.lit("a").alias("ip"), F.lit(1).alias("n_captions"), F.lit("/hot.mp4").alias("media_path"))
+    hot.repartition(8).write.parquet(place("in"))
+    query = monitors.drain(monitors.stream_dedup_media(live(spark, place("in"), EVENTS)), place("out"), place("cp"))
+    assert spark.read.parquet(place("out")).count() == 1
+    batch = next(p for p in query.recentProgress if p.numInputRows)
+    final, thinning = sorted(op.numRowsUpdated for op in batch.stateOperators)
+    assert final == 1 and 1 <= thinning <= 16
+
+
 def test_tumbling_emits_closed_windows_only(spark, place):
     events(spark, [0, 1, 9.9, 10, 25, 41]).write.parquet(place("in"))
     monitors.drain(monitors.stream_tumbling_rates(live(spark, place("in"), EVENTS)), place("out"), place("cp"))
