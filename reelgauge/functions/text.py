@@ -18,8 +18,18 @@ REFUSAL_TEXTS = ("i cannot", "i can't", "i am unable", "i'm sorry", "i apologise
 
 
 def strip_ansi(line: Column) -> Column:
-    """Remove terminal colour codes and turn carriage returns into line ends."""
-    return F.translate(F.regexp_replace(line, ANSI_PATTERN, ""), "\r", "\n")
+    """Remove terminal colour codes and turn carriage returns into line ends.
+
+    Most lines hold neither, and a substring test is far cheaper than a rewrite.
+    """
+    plain = F.when(F.contains(line, F.lit("\x1b")), F.regexp_replace(line, ANSI_PATTERN, "")).otherwise(line)
+    return F.when(F.contains(line, F.lit("\r")), F.translate(plain, "\r", "\n")).otherwise(plain)
+
+
+def leading_timestamp(line: Column) -> Column:
+    """The timestamp a line starts with, null when there is none."""
+    found = F.regexp_extract(line, LINE_TIMESTAMP_PATTERN, 1)
+    return F.when((F.substring(line, 5, 1) == "-") & (found != ""), found)
 
 
 def stage_short(stage: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelgauge.functions.numeric import minutes_between, ratio
-from reelgauge.functions.text import LINE_TIMESTAMP_PATTERN, line_markers, stage_short, strip_ansi
+from reelgauge.functions.text import leading_timestamp, line_markers, stage_short, strip_ansi
 from reelgauge.operators.ordered import attach, carry_forward, previous_value, row_index, running_sum, sized, time_block
 from reelgauge.operators.ranking import nearest_rank
 from reelgauge.schemas import STAGE_COLUMNS
@@ -18,8 +18,9 @@ from reelgauge.schemas import STAGE_COLUMNS
 STATE_HEADER = "Stage state:"
 STATE_CLOSER = "╘"
 CELL_SEPARATOR = "│"
-STAGE_ROW_PATTERN = r"^│ (Stage \d+ - [^│]+?)\s*│(.*)│$"
-TABLE_LINE_PATTERN = r"^\d{4}-\d{2}-\d{2} |^Stage state:$|^╘|^│ Stage "
+STAGE_ROW_START = "│ Stage "
+STAGE_CELL_PATTERN = r"^ Stage \d+ - ."
+STAGE_CELLS = 12
 CAPTION_EVENT_PATTERN = (
     r"CaptionGenerationStage pid=\d+, ip=([0-9.]+).*?"
     r"(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d+).*?"
@@ -43,8 +44,7 @@ def log_line_order(lines: DataFrame) -> DataFrame:
 
 def timestamp_carry(lines: DataFrame) -> DataFrame:
     """Adds the latest line-leading timestamp, '' before the first one."""
-    found = F.regexp_extract("line", LINE_TIMESTAMP_PATTERN, 1)
-    marked = lines.withColumn("timestamp", F.when(found != "", found))
+    marked = lines.withColumn("timestamp", leading_timestamp(F.col("line")))
     filled = carry_forward(marked, ["timestamp"], LINE_KEYS, "block", LINE_ORDER)
     return filled.withColumn("timestamp", F.coalesce("timestamp", F.lit("")))
 
@@ -67,25 +67,31 @@ def stage_log_parse(lines: DataFrame) -> DataFrame:
     """Stage tables of raw logs as text rows, one column per table cell.
 
     ``lines`` has file, block, line_no and line; see ``read_log_lines``. Both carried
-    values travel in one pass, and only lines that matter take part in it.
+    values travel in one pass, and only lines that matter take part in it. Rows are told
+    apart by prefixes and one split, so no pattern runs over the bulk of a log.
     """
-    cleaned = clean_lines(lines).where(F.col("line").rlike(TABLE_LINE_PATTERN))
-    found = F.regexp_extract("line", LINE_TIMESTAMP_PATTERN, 1)
-    cells = F.split(F.regexp_extract("line", STAGE_ROW_PATTERN, 2), CELL_SEPARATOR)
-    marked = cleaned.select(
+    line = F.col("line")
+    is_row = line.startswith(STAGE_ROW_START)
+    is_mark = (line == STATE_HEADER) | line.startswith(STATE_CLOSER) | (F.substring(line, 5, 1) == "-")
+    marked = clean_lines(lines).where(is_row | is_mark).select(
         *LINE_KEYS, "block", *LINE_ORDER,
-        F.when(found != "", found).alias("timestamp"),
+        leading_timestamp(line).alias("timestamp"),
         _block_mark().alias("_open"),
-        F.when(F.col("line").rlike(STAGE_ROW_PATTERN) & (F.size(cells) == 12), cells).alias("_cells"),
-        F.trim(F.regexp_extract("line", STAGE_ROW_PATTERN, 1)).alias("stage"),
+        F.when(is_row, line).alias("_row"),
     )
     filled = carry_forward(marked, ["timestamp", "_open"], LINE_KEYS, "block", LINE_ORDER)
-    rows = filled.where(F.col("_open") & F.col("_cells").isNotNull())
+    # A row is bordered on both sides: '', stage, twelve cells, ''.
+    inside = filled.where(F.col("_open") & F.col("_row").isNotNull())
+    split = inside.select(*LINE_KEYS, *LINE_ORDER, "timestamp", F.split("_row", CELL_SEPARATOR).alias("_parts"))
+    parts, last = F.col("_parts"), STAGE_CELLS + 2
+    rows = split.where(
+        (F.size(parts) == last + 1) & (F.get(parts, F.lit(last)) == "") & parts[1].rlike(STAGE_CELL_PATTERN)
+    )
     return rows.select(
         *LINE_KEYS, *LINE_ORDER,
         F.coalesce("timestamp", F.lit("")).alias("timestamp"),
-        "stage",
-        *[F.trim(F.col("_cells")[i]).alias(name) for i, name in enumerate(NUMBER_COLUMNS)],
+        F.trim(parts[1]).alias("stage"),
+        *[F.trim(parts[i + 2]).alias(name) for i, name in enumerate(NUMBER_COLUMNS)],
     )
 
 
