@@ -73,20 +73,18 @@ def stage_log_parse(lines: DataFrame) -> DataFrame:
     line = F.col("line")
     is_row = line.startswith(STAGE_ROW_START)
     is_mark = (line == STATE_HEADER) | line.startswith(STATE_CLOSER) | (F.substring(line, 5, 1) == "-")
+    # Rows are cut up before the shuffle, where every file split has its own task.
     marked = clean_lines(lines).where(is_row | is_mark).select(
         *LINE_KEYS, "block", *LINE_ORDER,
         leading_timestamp(line).alias("timestamp"),
         _block_mark().alias("_open"),
-        F.when(is_row, line).alias("_row"),
+        F.when(is_row, F.split(line, CELL_SEPARATOR)).alias("_parts"),
     )
     filled = carry_forward(marked, ["timestamp", "_open"], LINE_KEYS, "block", LINE_ORDER)
     # A row is bordered on both sides: '', stage, twelve cells, ''.
-    inside = filled.where(F.col("_open") & F.col("_row").isNotNull())
-    split = inside.select(*LINE_KEYS, *LINE_ORDER, "timestamp", F.split("_row", CELL_SEPARATOR).alias("_parts"))
     parts, last = F.col("_parts"), STAGE_CELLS + 2
-    rows = split.where(
-        (F.size(parts) == last + 1) & (F.get(parts, F.lit(last)) == "") & parts[1].rlike(STAGE_CELL_PATTERN)
-    )
+    is_whole = (F.size(parts) == last + 1) & (F.get(parts, F.lit(last)) == "") & parts[1].rlike(STAGE_CELL_PATTERN)
+    rows = filled.where(F.col("_open") & parts.isNotNull() & is_whole)
     return rows.select(
         *LINE_KEYS, *LINE_ORDER,
         F.coalesce("timestamp", F.lit("")).alias("timestamp"),
