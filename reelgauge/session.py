@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_base(spark))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers the package, wherever they run; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="reelgauge-ship-")) / "reelgauge.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
