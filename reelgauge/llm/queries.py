@@ -2,16 +2,62 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelgauge.llm import exact_dedup, license_scan, quality_rules, url_filter
+from reelgauge.llm import (
+    chat_format,
+    exact_dedup,
+    license_scan,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    token_store,
+    url_filter,
+)
+from reelgauge.session import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = quality_classifier.fit(docs, _read(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, model).select(
+        "doc_id",
+        quality_classifier.in_fold(F.col("doc_id"), 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    conversations = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionAll(planted)
+    return chat_format.read_back(chat_format.format_turns(conversations))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.copies(_read(spark, sf_dir, "documents"))
+
+
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-store")
+    token_store.write(_read(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json"), end_id=1)
+    return token_store.documents(token_store.read(spark, path))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(_read(spark, sf_dir, "documents"))
 
@@ -31,4 +77,16 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_read(spark, sf_dir, "pages"), url_filter.rule_table(spark))
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op7_license_scan, op8_quality_rules, op9_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op3_chat_format,
+        op4_source_mixing,
+        op5_token_store,
+        op6_exact_dedup,
+        op7_license_scan,
+        op8_quality_rules,
+        op9_url_filter,
+    )
+}
