@@ -26,9 +26,12 @@ than a shard has a shard of its own; an empty table gives an empty store; other
 from __future__ import annotations
 
 import json
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reelgauge.llm.pieces import IdStore, distinct, per_text, portions, spread, text_bytes
 from reelgauge.llm.tables import written
 
 #: Ids and documents of a shard, at most (one long document may exceed the first).
@@ -126,82 +130,110 @@ class Index:
         return known, np.where(known, chosen["offset"], 0).astype(np.int64), np.where(known, chosen["length"], 0).astype(np.int64)
 
 
+#: Fixed value: the pattern of word-level BPE in lower case.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters that neither normalisation nor lower case turns into anything else than one letter.
+_LETTERS = re.compile("[a-zÀ-ÖØ-öø-įı-ſ]+")
+
+
+def _table(members: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(members)] = True
+    return table
+
+
+_SPACE, _STOP = _table(b" \t\n\x0b\x0c\r"), _table(b".,")
+_ASCII_LETTER = _table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 class Encoder:
     """Ids of whole texts, batch by batch, through the tokenizers library."""
 
-    CACHE = 1_000_000
+    CACHE = 600_000
 
     def __init__(self, spec: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         described = json.loads(spec)
-        steps = json.dumps([described.get("normalizer"), described.get("pre_tokenizer")])
-        pre = described.get("pre_tokenizer") or {}
-        splits = [p for p in [pre, *pre.get("pretokenizers", [])] if p.get("type") == "Split"]
+        before = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        steps = [s.get("type") for s in (described.get("normalizer") or {}).get("normalizers", [])]
         added = described["added_tokens"]
         if (
-            not splits or splits[0].get("behavior") != "Removed" or not splits[0].get("invert") or "Prepend" in steps
-            or any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in added)
+            before[0].get("pattern") != {"Regex": _WORD_PATTERN} or before[0].get("behavior") != "Removed" or not before[0].get("invert")
+            or steps != ["NFC", "Replace", "Lowercase"] or not added or not described["model"].get("end_of_word_suffix")
+            or any(t["lstrip"] or t["rstrip"] or t["single_word"] or "<" not in t["content"] or any(c.isspace() for c in t["content"]) for t in added)
         ):
             raise ValueError("this tokenizer may join pieces across white space")
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         #: Put between pieces, a special token gives one call's pieces back.
-        self.mark = min(added, key=lambda t: t["id"]) if added else None
+        self.mark = min(added, key=lambda t: t["id"])
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of each piece."""
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        suffix = described["model"]["end_of_word_suffix"]
+        self.ends_word[[i for token, i in described["model"]["vocab"].items() if token.endswith(suffix)]] = True
+        self.known = IdStore(self.CACHE)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Ids of pieces that are not known, many in one call of the library."""
+        call, mark = self.tokenizer.encode_batch_fast, self.mark["content"]
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        if self.mark is None:
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, self.dtype) for e in found]
-        out: list[np.ndarray | None] = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self.mark["content"] not in t]
-        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-        joined = [self.mark["content"].join(texts[i] for i in g) for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, self.dtype)
-            cuts = np.flatnonzero(ids == self.mark["id"])
-            for i, start, end in zip(g, [0, *(cuts + 1)], [*cuts, len(ids)], strict=True):
-                out[i] = ids[start:end]
-        rest = [i for i, o in enumerate(out) if o is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, self.dtype)
-        return out  # type: ignore[return-value]
-
-    def batch(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        word = [_LETTERS.fullmatch(t) is not None for t in texts]
+        for chosen, between in ((True, " "), (False, mark)):
+            usual = [i for i, w in enumerate(word) if w is chosen and b"<" not in pieces[i]]
+            groups = [usual[i : i + 500] for i in range(0, len(usual), 500)]
+            for g, e in zip(groups, call([between.join(texts[i] for i in g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.uint32)
+                if chosen:  # a word of letters has one token that ends a word, its last
+                    ends = np.flatnonzero(self.ends_word[ids]) + 1
+                    begins = np.concatenate([[0], ends[:-1]])
+                else:
+                    cuts = np.flatnonzero(ids == self.mark["id"])
+                    begins, ends = np.concatenate([[0], cuts + 1]), np.append(cuts, len(ids))
+                if len(ends) != len(g):
+                    raise ValueError("pieces and ids disagree")
+                length = ends - begins
+                self.known.add_all([pieces[i] for i in g], spread(ids, begins, length), length)
+        rest = [i for i, p in enumerate(pieces) if b"<" in p]
+        for i, e in zip(rest, call([texts[i] for i in rest], add_special_tokens=False), strict=True):
+            self.known.add_all([pieces[i]], np.array(e.ids, np.uint32), np.array([len(e.ids)]))
+
+    def batch(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        coded = pa.array([w for ws in split for w in ws], pa.binary()).dictionary_encode()
-        codes, pieces = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > self.CACHE:
-            self.known.clear()
+        data, edges = text_bytes(texts)
+        visible = ~_SPACE[data]
+        begins = visible.copy()
+        begins[1:] &= ~visible[:-1]
+        begins[1:] |= _STOP[data[1:]] & _ASCII_LETTER[data[:-1]]  # a full stop or comma after a letter is a token's begin
+        first = edges[:-1][edges[:-1] < len(data)]
+        begins[first] |= visible[first]  # texts touch in the buffer
+        starts = np.flatnonzero(begins)
+        codes, pieces = distinct(data, starts)
+        # The tokenizer has lower case only; a special token counts in its own spelling only.
+        pieces = [q.lower() if b"<" not in q else q for q in (p.strip(b" \t\n\x0b\x0c\r") for p in pieces)]
+        slot = self.known.slot
+        new = [p for p in pieces if p not in slot]
+        if not self.known.room_for(len(new)):
             new = pieces
-        self.known.update(zip(new, self._encode(new), strict=True))
-        parts = [self.known[p] for p in pieces]
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        starts = np.cumsum(lengths) - lengths
-        flat = np.concatenate(parts) if parts else np.zeros(0, self.dtype)
-        # The end id is one more piece, after the last piece of every text.
-        if end_id is not None:
-            lengths, starts = np.append(lengths, 1), np.append(starts, len(flat))
-            flat = np.append(flat, np.array([end_id], self.dtype))
-            codes = np.insert(codes.astype(np.int64), np.cumsum(counts), len(pieces))
+        self._learn(list(dict.fromkeys(new)))
+        pool, begin, length = self.known.slices(pieces)
+        counts = per_text(starts, edges)
+        if end_id is not None:  # one more piece, after the last piece of every text
+            begin, length, pool = np.append(begin, len(pool)), np.append(length, 1), np.append(pool, np.uint32(end_id))
+            codes = np.insert(codes, np.cumsum(counts), len(pieces))
             counts = counts + 1
-        each = lengths[codes]
-        ends = np.cumsum(each)
-        ids = flat[np.repeat(starts[codes] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(bounds)
+        each = length[codes]
+        bounds = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(counts)])]
+        return spread(pool.astype(self.dtype), begin[codes], each), np.diff(bounds)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(spec: str) -> Encoder:
+    """One encoder per worker process, so that tasks share what it knows."""
+    return Encoder(spec)
 
 
 _STORE = "first_key long, last_key long, n_docs long, n_ids long, width int, keys binary, payload binary, index binary"
@@ -225,10 +257,9 @@ def write(docs: DataFrame, path: str, spec: str, end_id: int | None = 1, text: s
     rows = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NULL_KEY)).alias("key"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, keys, lengths, payload, held = None, [], [], [], 0
-        for batch in batches:
-            encoder = encoder or Encoder(shared.value)
-            ids, counts = encoder.batch(batch.column(1).to_pylist(), end_id)
+        encoder, keys, lengths, payload, held = encoder_of(shared.value), [], [], [], 0
+        for batch in (p for whole in batches for p in portions(whole, 1)):
+            ids, counts = encoder.batch(batch.column(1), end_id)
             at = 0
             for key, n in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):
                 if keys and (held + n > shard_ids or len(keys) == SHARD_DOCS):
