@@ -1,7 +1,7 @@
 """Byte-level BPE with a minimal acyclic transducer of frequent words.
 
-The words of the whole corpus are counted (a word is a run up to the next single space, with that space in
-front), and the most frequent ones are encoded and compiled into a minimal acyclic automaton: words that share
+The words of the whole corpus are counted (a word goes up to the next single space, full stop or comma, and has its
+own space in front), and the most frequent ones are encoded and compiled into a minimal acyclic automaton: words that share
 an ending share its states. Arcs carry outputs whose sum along a word is the word's number, and the number
 leads to the word's ids. The automaton is a few arrays in one buffer of bounded size; every Python worker
 maps it from an unlinked file. All distinct words of an Arrow batch walk it together, one array step per byte.
@@ -10,8 +10,8 @@ Words that the lexicon does not have are split by the tokenizer's pattern and me
 order of rank, with a heap once they are long; a bounded cache keeps the last results. The lexicon only saves
 time: ids are the same without it.
 
-A text may be cut before every single space that a visible character follows, since no token of this kind crosses
-it. Special tokens in a text are found first, as the tokenizers library does.
+A text may be cut before every single space that a visible character follows, and between a letter and a full stop
+or comma, since no token of this kind crosses these places. Special tokens in a text are found first, as the tokenizers library does.
 
 Cases: null texts are empty and have no ids; ids outside the vocabulary can't be decoded and raise; bytes that are not
 UTF-8 decode to U+FFFD; repeated rows repeat; an empty table gives an empty lexicon and an empty result; other
@@ -26,6 +26,7 @@ import mmap
 import re
 import tempfile
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -34,15 +35,26 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelgauge.llm.pieces import IdStore, distinct, per_text, portions, spread, text_bytes
+
 #: Words of the lexicon, and the longest word it takes, in bytes: together they bound its size.
 LEXICON_WORDS = 65_536
 LEXICON_BYTES = 32
 _LONG = 48
 _NONE = 1 << 62
+_NO_MERGE = (_NONE, 0)
 
 #: Fixed value: the pattern of byte-level BPE, with white space spelt out.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-_SPLIT = re.compile(r" (?=\S)")
+
+#: Bytes that begin a visible character for certain (the lead bytes of other white space are left out).
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
+_VISIBLE[0x80:] = True
+_VISIBLE[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+_STOP, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(b".,")] = True
+_LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
 
 
 def byte_of_char() -> dict[str, int]:
@@ -75,9 +87,9 @@ class Vocabulary:
         self.first = [vocab[c] for c, _ in sorted(to_byte.items(), key=lambda x: x[1])]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        self.special = {t["content"]: t["id"] for t in added}
-        names = sorted(self.special, key=len, reverse=True)
-        self.find_special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.special = {t["content"].encode(): t["id"] for t in added}
+        names = sorted((t["content"] for t in added), key=len, reverse=True)
+        self.find_special = re.compile("|".join(map(re.escape, names)).encode()) if names else None
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank, leftmost first, is merged until none is left."""
@@ -86,15 +98,18 @@ class Vocabulary:
 
     def _merge_short(self, ids: list[int]) -> list[int]:
         get = self.merges.get
-        while len(ids) > 1:
-            best, at = (_NONE, 0), -1
-            for i, pair in enumerate(pairwise(ids)):
-                found = get(pair)
-                if found is not None and found[0] < best[0]:
-                    best, at = found, i
-            if at < 0:
+        ranks = [get(pair, _NO_MERGE)[0] for pair in pairwise(ids)]
+        while ranks:
+            best = min(ranks)
+            if best == _NONE:
                 break
-            ids[at : at + 2] = [best[1]]
+            i = ranks.index(best)
+            ids[i : i + 2] = [get((ids[i], ids[i + 1]))[1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), _NO_MERGE)[0]
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), _NO_MERGE)[0]
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -118,32 +133,27 @@ class Vocabulary:
         return [i for i in ids if i >= 0]
 
 
-def words_of(text: str | None, find_special: re.Pattern | None) -> list[str]:
-    """The words of a text, marked by their first character.
-
-    A space: the word follows as it is (the first of a text). A tab: a special token follows. Anything else is
-    visible, and the word is that with a space in front.
-    """
-    if not text:
-        return []
-    if find_special is None or find_special.search(text) is None:
-        words = _SPLIT.split(text)
-        words[0] = " " + words[0]
-        return words
-    out: list[str] = []
-    for i, part in enumerate(find_special.split(text)):
-        if i % 2:
-            out.append("\t" + part)
-        elif part:
-            words = _SPLIT.split(part)
-            words[0] = " " + words[0]
-            out += words
-    return out
-
-
-def plain(word: str) -> str:
-    """The characters of a marked word that is no special token."""
-    return word[1:] if word[0] == " " else " " + word
+def word_starts(data: np.ndarray, edges: np.ndarray, find_special: re.Pattern | None) -> np.ndarray:
+    """Where words begin: at texts, at single spaces before visible characters, at full stops and commas after
+    letters, and around special tokens."""
+    begins = np.zeros(len(data), bool)
+    begins[:-1] = (data[:-1] == 0x20) & _VISIBLE[data[1:]]
+    begins[edges[1:][edges[1:] > 0] - 1] = False  # the next byte is another text's
+    begins[1:] |= _STOP[data[1:]] & _LETTER[data[:-1]]
+    begins[edges[:-1][edges[:-1] < len(data)]] = True
+    whole = data.tobytes() if find_special else b""
+    if find_special and find_special.search(whole):
+        for lo, hi in pairwise(edges.tolist()):
+            after = lo
+            for m in find_special.finditer(whole, lo, hi):
+                if m.start() - 1 > after:
+                    begins[m.start() - 1] = False  # for the pattern, a text ends here
+                begins[m.start() : m.end()] = False
+                begins[m.start()] = True
+                after = m.end()
+                if after < hi:
+                    begins[after] = True
+    return np.flatnonzero(begins)
 
 
 class Builder:
@@ -219,18 +229,17 @@ class Builder:
         }
 
 
-def compile_lexicon(words: Sequence[str], vocabulary: Vocabulary) -> bytes:
-    """Words (marked) with their ids as one buffer: a JSON line with names, types and lengths, then the arrays."""
+def compile_lexicon(words: Sequence[bytes], vocabulary: Vocabulary) -> bytes:
+    """Words with their ids as one buffer: a JSON line with names, types and lengths, then the arrays."""
     encoder = WordEncoder(vocabulary, None)
-    entries = sorted({plain(w).encode(): w for w in words}.items())
     builder, ids, starts = Builder(), [], [0]
-    for data, word in entries:
-        builder.add(data)
-        ids += encoder.exact(plain(word))
+    for word in sorted(set(words)):
+        builder.add(word)
+        ids += encoder.exact(word)
         starts.append(len(ids))
-    arrays = builder.arrays() | {"starts": np.array(starts, np.int32), "ids": np.array(ids, np.int32)}
-    head = json.dumps({name: [str(a.dtype), len(a)] for name, a in arrays.items()}).encode() + b"\n"
-    head = head[:-1].ljust(-(-len(head) // 8) * 8 + 7) + b"\n"
+    arrays = builder.arrays() | {"starts": np.array(starts, np.int32), "ids": np.array(ids, np.uint32)}
+    head = json.dumps({name: [str(a.dtype), len(a)] for name, a in arrays.items()}).encode()
+    head = head.ljust(-(-(len(head) + 1) // 8) * 8 - 1) + b"\n"
     return head + b"".join(a.tobytes().ljust(-(-a.nbytes // 8) * 8, b"\0") for a in arrays.values())
 
 
@@ -274,91 +283,88 @@ class Lexicon:
 
 
 class WordEncoder:
-    """Ids of marked words, from the lexicon or by exact merging."""
+    """Ids of words, from the lexicon or by exact merging."""
 
-    CACHE = 400_000
+    CACHE = 800_000
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.pattern = regex.compile(PATTERN)
-        self.known: dict[str, list[int]] = {}
+        self.known = IdStore(self.CACHE)
 
-    def exact(self, text: str) -> list[int]:
+    def exact(self, word: bytes) -> list[int]:
+        special = self.vocabulary.special.get(word)
+        if special is not None:
+            return [special]
         ids: list[int] = []
-        for piece in self.pattern.findall(text):
+        for piece in self.pattern.findall(word.decode("utf-8", "surrogatepass")):
             ids += self.vocabulary.merge(piece.encode("utf-8", "surrogatepass"))
         return ids
 
-    def _unseen(self, word: str) -> list[int]:
-        if word[0] == "\t":
-            return [self.vocabulary.special[word[1:]]]
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= self.CACHE:
-                self.known.clear()
-            found = self.exact(plain(word))
-            if len(word) <= 4 * LEXICON_BYTES:
-                self.known[word] = found
-        return found
-
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in one array and the number of ids of each word."""
+    def _unseen(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        slot = self.known.slot
+        new = [w for w in words if w not in slot]
+        if not self.known.room_for(len(new)):
+            new = words
+        ids = [self.exact(w) for w in new]
+        self.known.add_all(new, np.array([i for x in ids for i in x], np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
+        return self.known.slices(words)
+
+    def slices(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, start, length) of the ids of distinct words."""
         lexicon = self.lexicon
         if lexicon is None:
-            parts = [self._unseen(w) for w in words]
-            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-            return np.array([i for p in parts for i in p], np.int64), lengths
-        data = [b"" if w[0] == "\t" else plain(w).encode("utf-8", "surrogatepass") for w in words]
-        number = lexicon.numbers(data)
-        hit = np.flatnonzero(number >= 0)
-        miss = np.flatnonzero(number < 0)
-        own = [self._unseen(words[i]) for i in miss.tolist()]
-        lengths = np.zeros(len(words), np.int64)
-        begin = lexicon.starts[:-1].astype(np.int64)
-        lengths[hit] = np.diff(lexicon.starts)[number[hit]]
-        lengths[miss] = np.fromiter(map(len, own), np.int64, len(own))
-        pool = np.concatenate([lexicon.ids.astype(np.int64), np.array([i for p in own for i in p], np.int64)])
-        start = np.zeros(len(words), np.int64)
-        start[hit] = begin[number[hit]]
-        start[miss] = len(lexicon.ids) + np.cumsum(lengths[miss]) - lengths[miss]
-        return spread(pool, start, lengths), lengths
-
-
-def spread(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The slices pool[start : start + length] one after the other."""
-    end = np.cumsum(length)
-    return pool[np.repeat(start - (end - length), length) + np.arange(int(end[-1]) if len(end) else 0)]
-
-
-def _coded(texts: list[str | None], find_special: re.Pattern | None) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Codes of all words of all texts, the distinct words, the number of words of each text."""
-    split = [words_of(t, find_special) for t in texts]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    coded = pa.array([w for ws in split for w in ws], pa.string()).dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist(), counts
+            return self._unseen(words)
+        number = lexicon.numbers(words)
+        hit, miss = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        pool, start, length = self._unseen([words[i] for i in miss.tolist()])
+        begins, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        begins[hit], lengths[hit] = lexicon.starts[number[hit]], np.diff(lexicon.starts)[number[hit]]
+        begins[miss], lengths[miss] = start + len(lexicon.ids), length
+        return np.concatenate([lexicon.ids, pool]), begins, lengths
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts, and where each text's begin and the last ends."""
+        data, edges = text_bytes(texts)
+        starts = word_starts(data, edges, self.vocabulary.find_special)
+        codes, words = distinct(data, starts)
+        pool, begin, length = self.slices(words)
+        each = length[codes]
+        bounds = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(per_text(starts, edges))])]
+        return spread(pool.astype("<u4"), begin[codes], each), bounds
+
+
+@lru_cache(maxsize=1)
+def vocabulary_of(spec: str) -> Vocabulary:
+    return Vocabulary(spec)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(spec: str, compiled: bytes | None) -> WordEncoder:
+    """One encoder per worker process, so that tasks share the mapped lexicon and what has been merged."""
+    return WordEncoder(vocabulary_of(spec), Lexicon(compiled) if compiled else None)
 
 
 def word_counts(docs: DataFrame, spec: str, text: str = "text") -> DataFrame:
-    """word (marked), n: how often each word that may enter the lexicon occurs in the whole table."""
+    """word, n: how often each word that may enter the lexicon occurs in the whole table."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)  # one vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find_special = None
-        for k, batch in enumerate(batches):
-            if k == 0:
-                find_special = Vocabulary(shared.value).find_special
-            codes, words, _ = _coded(batch.column(0).to_pylist(), find_special)
+        vocabulary = vocabulary_of(shared.value)
+        for batch in (p for whole in batches for p in portions(whole, 0)):
+            data, edges = text_bytes(batch.column(0))
+            codes, words = distinct(data, word_starts(data, edges, vocabulary.find_special))
             n = np.bincount(codes, minlength=len(words))
-            fits = [i for i, w in enumerate(words) if w[0] != "\t" and len(w) <= LEXICON_BYTES and len(plain(w).encode()) <= LEXICON_BYTES]
-            yield pa.RecordBatch.from_arrays([pa.array([words[i] for i in fits], pa.string()), pa.array(n[fits])], ["word", "n"])
+            fits = [i for i, w in enumerate(words) if len(w) <= LEXICON_BYTES and w not in vocabulary.special]
+            yield pa.RecordBatch.from_arrays([pa.array([words[i] for i in fits], pa.binary()), pa.array(n[fits], pa.int64())], ["word", "n"])
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def lexicon(docs: DataFrame, spec: str, text: str = "text", size: int = LEXICON_WORDS) -> bytes:
     """The compiled lexicon of the ``size`` most frequent words (ties by word)."""
     top = word_counts(docs, spec, text).orderBy(F.desc("n"), "word").limit(size).collect()
-    return compile_lexicon([r["word"] for r in top], Vocabulary(spec))
+    return compile_lexicon([bytes(r["word"]) for r in top], Vocabulary(spec))
 
 
 def encode(docs: DataFrame, spec: str, compiled: bytes | None, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -368,17 +374,9 @@ def encode(docs: DataFrame, spec: str, compiled: bytes | None, keep: Sequence[st
     rows = docs.select(*(F.col(f"`{k}`").alias(f"k{n}") for n, k in enumerate(keep)), F.col(f"`{text}`").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
-        for batch in batches:
-            if encoder is None:
-                vocabulary = Vocabulary(shared.value)
-                encoder = WordEncoder(vocabulary, Lexicon(built.value) if built.value else None)
-            codes, words, counts = _coded(batch.column(len(keep)).to_pylist(), encoder.vocabulary.find_special)
-            pool, lengths = encoder.encode(words)
-            starts = np.cumsum(lengths) - lengths
-            each = lengths[codes]
-            ids = spread(pool.astype("<u4"), starts[codes], each)
-            bounds = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(counts)])]
+        encoder = encoder_of(shared.value, built.value)
+        for batch in (p for whole in batches for p in portions(whole, len(keep))):
+            ids, bounds = encoder.batch(batch.column(len(keep)))
             data, edges = ids.tobytes(), (4 * bounds).tolist()
             out = [pa.array(np.diff(bounds)), pa.array([data[a:b] for a, b in pairwise(edges)], pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], [*batch.schema.names[: len(keep)], "n_tokens", "ids"])
@@ -393,9 +391,8 @@ def decode(encoded: DataFrame, spec: str, keep: Sequence[str] = ("doc_id", "n_to
     rows = encoded.select(*(F.col(f"`{k}`").alias(f"k{n}") for n, k in enumerate(keep)), F.col("ids").alias("_ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = None
+        bytes_of = vocabulary_of(shared.value).bytes_of
         for batch in batches:
-            bytes_of = bytes_of or Vocabulary(shared.value).bytes_of
             texts = [
                 b"".join(map(bytes_of.__getitem__, np.frombuffer(i or b"", "<u4").tolist())).decode("utf-8", "replace")
                 for i in batch.column(len(keep)).to_pylist()

@@ -7,13 +7,16 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from reelgauge.llm import (
+    bpe,
     chat_format,
     exact_dedup,
     license_scan,
     mixing,
     quality_classifier,
     quality_rules,
+    simhash,
     token_store,
     url_filter,
 )
@@ -41,6 +44,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(_read(spark, sf_dir, "documents"), simhash.EXACT)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("a"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -77,10 +85,22 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_read(spark, sf_dir, "pages"), url_filter.rule_table(spark))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, spec = _read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")
+    encoded = bpe.encode(docs, spec, bpe.lexicon(docs, spec))
+    return bpe.decode(encoded, spec).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op2_simhash_near_dedup,
         op3_chat_format,
         op4_source_mixing,
         op5_token_store,
@@ -88,5 +108,6 @@ QUERIES = {
         op7_license_scan,
         op8_quality_rules,
         op9_url_filter,
+        op10_bpe,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
