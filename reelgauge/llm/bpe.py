@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelgauge.llm.pieces import IdStore, distinct, per_text, portions, spread, text_bytes
+from reelgauge.llm.tables import written
 
 #: Words of the lexicon, and the longest word it takes, in bytes: together they bound its size.
 LEXICON_WORDS = 65_536
@@ -285,7 +286,7 @@ class Lexicon:
 class WordEncoder:
     """Ids of words, from the lexicon or by exact merging."""
 
-    CACHE = 800_000
+    CACHE = 300_000
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
@@ -362,27 +363,53 @@ def word_counts(docs: DataFrame, spec: str, text: str = "text") -> DataFrame:
 
 
 def lexicon(docs: DataFrame, spec: str, text: str = "text", size: int = LEXICON_WORDS) -> bytes:
-    """The compiled lexicon of the ``size`` most frequent words (ties by word)."""
-    top = word_counts(docs, spec, text).orderBy(F.desc("n"), "word").limit(size).collect()
-    return compile_lexicon([bytes(r["word"]) for r in top], Vocabulary(spec))
-
-
-def encode(docs: DataFrame, spec: str, compiled: bytes | None, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The kept columns, ``n_tokens`` and ``ids`` (unsigned 32-bit integers, little endian)."""
+    """The compiled lexicon of the most frequent words, ``size`` at most.
+
+    Words are taken from the top in steps of count (64 to the octave), whole steps only. So the driver gets one row per
+    step and then the words themselves, never a candidate list of every partition. A word that occurs once saves nothing.
+    """
+    step = F.floor(F.log2(F.col("n").cast("double")) * 64).cast("int")
+    counts = written(word_counts(docs, spec, text).where("n > 1").withColumn("step", step), "bpe-words")
+    left, low = size, None
+    for row in sorted(counts.groupBy("step").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["step"]):
+        left -= row["words"]
+        if left < 0:
+            break
+        low = row["step"]
+    top = counts.where(F.col("step") >= low).select("word").collect() if low is not None else []
+    return compile_lexicon([bytes(r["word"]) for r in top], vocabulary_of(spec))
+
+
+def _text_of(ids: bytes | None, bytes_of: dict[int, bytes]) -> str:
+    return b"".join(map(bytes_of.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
+
+
+def encode(
+    docs: DataFrame, spec: str, compiled: bytes | None, keep: Sequence[str] = ("doc_id",), text: str = "text", decoded: bool = False
+) -> DataFrame:
+    """The kept columns, ``n_tokens`` and ``ids`` (unsigned 32-bit integers, little endian).
+
+    ``decoded`` adds ``text``, decoded from the ids in the same Python worker.
+    """
     context = docs.sparkSession.sparkContext
     shared, built = context.broadcast(spec), context.broadcast(compiled)  # one vocabulary file, one bounded lexicon
     rows = docs.select(*(F.col(f"`{k}`").alias(f"k{n}") for n, k in enumerate(keep)), F.col(f"`{text}`").alias("_text"))
+    added = ["n_tokens", "ids", *["text"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared.value, built.value)
         for batch in (p for whole in batches for p in portions(whole, len(keep))):
             ids, bounds = encoder.batch(batch.column(len(keep)))
             data, edges = ids.tobytes(), (4 * bounds).tolist()
-            out = [pa.array(np.diff(bounds)), pa.array([data[a:b] for a, b in pairwise(edges)], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], [*batch.schema.names[: len(keep)], "n_tokens", "ids"])
+            each = [data[a:b] for a, b in pairwise(edges)]
+            out = [pa.array(np.diff(bounds)), pa.array(each, pa.binary())]
+            if decoded:
+                out.append(pa.array([_text_of(i, encoder.vocabulary.bytes_of) for i in each], pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], [*batch.schema.names[: len(keep)], *added])
 
-    schema = rows.select(*rows.columns[:-1], F.lit(0).cast("long").alias("n_tokens"), F.lit(b"").cast("binary").alias("ids")).schema
-    return rows.mapInArrow(run, schema).select(*(F.col(f"k{n}").alias(k) for n, k in enumerate(keep)), "n_tokens", "ids")
+    kinds = {"n_tokens": "long", "ids": "binary", "text": "string"}
+    schema = rows.select(*rows.columns[:-1], *(F.lit(None).cast(kinds[c]).alias(c) for c in added)).schema
+    return rows.mapInArrow(run, schema).select(*(F.col(f"k{n}").alias(k) for n, k in enumerate(keep)), *added)
 
 
 def decode(encoded: DataFrame, spec: str, keep: Sequence[str] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
@@ -393,10 +420,7 @@ def decode(encoded: DataFrame, spec: str, keep: Sequence[str] = ("doc_id", "n_to
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = vocabulary_of(shared.value).bytes_of
         for batch in batches:
-            texts = [
-                b"".join(map(bytes_of.__getitem__, np.frombuffer(i or b"", "<u4").tolist())).decode("utf-8", "replace")
-                for i in batch.column(len(keep)).to_pylist()
-            ]
+            texts = [_text_of(i, bytes_of) for i in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array(texts, pa.string())], [*batch.schema.names[: len(keep)], "text"]
             )

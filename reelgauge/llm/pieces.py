@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are handled at once; one longer text is handled alone.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -87,8 +87,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, spec = _read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")
-    encoded = bpe.encode(docs, spec, bpe.lexicon(docs, spec))
-    return bpe.decode(encoded, spec).select(
+    return bpe.encode(docs, spec, bpe.lexicon(docs, spec), decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
