@@ -2,14 +2,14 @@ import random
 
 import pytest
 
-LETTERS = "abcdefghijklmnop"
+LETTERS = "bcdfghjklmnp"
 
 
 @pytest.fixture(scope="session")
 def words():
     """A seeded maker of invented words."""
     rng = random.Random(5)
-    stock = ["".join(rng.choice(LETTERS) for _ in range(rng.randrange(2, 8))) for _ in range(4000)]
+    stock = ["".join(rng.choice(LETTERS) for _ in range(rng.randrange(4, 9))) for _ in range(4000)]
     return lambda n, seed: [random.Random(f"{seed}-{i}").choice(stock) for i in range(n)]
 
 
