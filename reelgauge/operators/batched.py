@@ -79,6 +79,7 @@ def batched_map(
         from reelgauge.operators import batched
 
         if token not in batched._READY:
+            batched._READY.clear()  # one user object at a time: the last call's is freed
             batched._READY[token] = factory()
         work = batched._READY[token]
         for batch in _batches(frames, batch_size):

@@ -9,21 +9,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelgauge.functions.numeric import frame_rate, pixels, rate, ratio, resolution
-from reelgauge.operators.ordered import SMALL_ROWS, attach, global_position
+from reelgauge.operators.ordered import attach, global_position
 from reelgauge.operators.ranking import median, nearest_rank
 
 
-def video_limit(media: DataFrame, n: int | None, path: str = "media_path") -> DataFrame:
-    """First n inputs in path order; None keeps all.
-
-    A large n is cut by position, because Spark gathers a plain limit in one task.
-    """
-    if n is None:
-        return media
-    if n <= SMALL_ROWS:
-        return media.orderBy(path).limit(n)
-    placed = global_position(media, [path], "_position")
-    return placed.where(F.col("_position") < n).drop("_position")
+def video_limit(media: DataFrame, n: int | None, order: str = "media_path") -> DataFrame:
+    """First n inputs; None keeps all. Order by ``list_position`` to take an explicit list as it is listed."""
+    return media if n is None else media.orderBy(order).limit(n)
 
 
 def _number(text: Column, kind: str) -> Column:

@@ -19,25 +19,12 @@ from pyspark.sql import functions as F
 from reelgauge.session import ensure_checkpoint_dir
 
 _TAG_BITS = 33  # monotonically_increasing_id: partition above, row position below
-SMALL_ROWS = 20_000
 
 
 def time_block(ts: Column, seconds: int = 3600) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
-def sized(small: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A side expected to be small, ready to broadcast once it proves to have few rows.
-
-    At most ``max_rows`` + 1 rows are fetched to find out. A larger side is returned as
-    it came and joins by shuffle.
-    """
-    rows = small.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return small
-    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
-
-
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` so that null keys meet each other."""
     if not keys:

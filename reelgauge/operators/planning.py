@@ -6,12 +6,13 @@ shuffle and only small columns travel with the exploded rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelgauge.functions.ids import span_id
 from reelgauge.operators.inventory import video_limit
-from reelgauge.schemas import RunConfig
 
 
 def _indexes(count: Column) -> Column:
@@ -120,38 +121,52 @@ def windows_per_clip(windows: DataFrame, keys=("media_path", "clip_index"), high
     )
 
 
-def plan_totals(media: DataFrame, group: str = "subset") -> DataFrame:
+@dataclass(frozen=True)
+class PlanRule:
+    """What is planned from a manifest: spans, chunks and, unless ``windows`` is None, caption windows."""
+
+    length_s: float = 10.0
+    stride_s: float = 10.0
+    least_s: float = 2.0
+    #: Spans kept per file; 0 keeps all.
+    first_clips: int = 0
+    chunk: int = 32
+    #: Frames of a window, and of the shortest remainder that is a window of its own.
+    windows: tuple[int, int] | None = None
+
+    def spans(self, media: DataFrame) -> DataFrame:
+        return fixed_stride_spans(
+            media, clip_len=self.length_s, stride=self.stride_s, min_len=self.least_s, limit_clips=self.first_clips
+        )
+
+
+def plan_totals(media: DataFrame, group: str = "subset", rule: PlanRule = PlanRule()) -> DataFrame:
     """Files, clips and caption windows per group, counted without exploding anything."""
-    clips = span_count(F.col("duration_s"))
-    tail_start = (F.col("_clips") - 1) * 10.0
-    full = window_count(F.round(F.lit(10.0) * F.col("fps")).cast("bigint"))
-    tail_len = F.least(tail_start + 10.0, F.col("duration_s")) - tail_start
-    tail = window_count(F.round(tail_len * F.col("fps")).cast("bigint"))
-    counted = media.select(group, "duration_s", "fps", clips.alias("_clips"))
-    windows = F.when(F.col("_clips") > 0, (F.col("_clips") - 1) * full + tail).otherwise(F.lit(0))
+    length, stride = float(rule.length_s), float(rule.stride_s)
+    frames, remainder = rule.windows or (256, 128)
+    duration, fps, clips = F.col("duration_s"), F.col("fps"), F.col("_clips")
+    # All spans that end inside the file are equally long; those cut by its end are counted one by one.
+    whole = F.least(clips, F.greatest(F.floor((duration - length) / stride) + 1, F.lit(0)).cast("bigint"))
+    of = lambda seconds: window_count(F.round(seconds * fps).cast("bigint"), frames, remainder)
+    last = -(-length // stride)
+    cut = F.transform(F.sequence(F.lit(0), F.lit(int(last))), lambda i: F.when(whole + i < clips, of(duration - (whole + i) * stride)).otherwise(F.lit(0)))
+    tail = F.aggregate(cut, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    counted = media.select(
+        group, "duration_s", "fps", span_count(duration, length, stride, float(rule.least_s), rule.first_clips).alias("_clips")
+    )
     return counted.groupBy(group).agg(
         F.count(F.lit(1)).alias("n_media"),
         F.sum("_clips").alias("n_clips"),
-        F.sum(windows.cast("bigint")).alias("n_windows"),
+        F.sum((whole * of(F.lit(length)) + tail).cast("bigint")).alias("n_windows"),
     )
 
 
-def plan_run(media: DataFrame, config: RunConfig) -> DataFrame:
-    """The whole plan of a run: clips with id and chunk, and with captions their windows.
+def plan_run(media: DataFrame, rule: PlanRule = PlanRule(), first: int | None = None, order: str = "media_path") -> DataFrame:
+    """The whole plan of a run: clips with id and chunk, and with windows asked for their windows.
 
-    Input selection comes first, so nothing is generated for files that are not wanted.
+    Input selection (the ``first`` inputs in ``order``) comes before, so nothing is generated for unwanted files.
     """
-    problems = config.problems()
-    if problems:
-        raise ValueError("; ".join(problems))
-    spans = fixed_stride_spans(
-        video_limit(media, config.video_limit),
-        clip_len=config.clip_len_s,
-        stride=config.clip_stride_s,
-        min_len=config.min_clip_s,
-        limit_clips=config.limit_clips,
-    )
-    clips = clip_chunks(with_clip_id(spans), config.clips_per_chunk)
-    if not config.captions:
+    clips = clip_chunks(with_clip_id(rule.spans(video_limit(media, first, order))), rule.chunk)
+    if rule.windows is None:
         return clips
-    return caption_windows(clips, window=config.window_frames, remainder=config.remainder_frames)
+    return caption_windows(clips, window=rule.windows[0], remainder=rule.windows[1])

@@ -2,7 +2,9 @@
 
 Values fall into logarithmic blocks, a coarse non-decreasing function of the value.
 Block totals (map-side combine leaves a few rows per group) locate the block that holds
-a wanted rank, and only the distinct values of that block are ordered.
+a wanted rank. That block is cut again, into ``_FINE`` equal ranges between its smallest and
+largest value, and located the same way; only the distinct values of one such range
+are ordered. So n distinct values in one narrow block still leave about n / 4096 to a task.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reelgauge.operators.ordered import attach, sized
+from reelgauge.operators.ordered import attach
 
 _BLOCKS_PER_OCTAVE = 256
+_FINE = 4096
 
 
 def _block(value: Column) -> Column:
@@ -32,6 +35,26 @@ def _block(value: Column) -> Column:
     )
 
 
+def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows and value range of each block."""
+    number = F.col("_value").cast("double")
+    return rows.groupBy(*keys).agg(F.sum("_n").alias("_block_n"), F.min(number).alias("_low"), F.max(number).alias("_high"))
+
+
+def _upto(blocks: DataFrame, keys: Sequence[str], block: str) -> DataFrame:
+    upto = W.partitionBy(*keys).orderBy(block).rowsBetween(W.unboundedPreceding, 0)
+    return blocks.withColumn("_start", F.sum("_block_n").over(upto) - F.col("_block_n"))
+
+
+def _located(blocks: DataFrame, keys: Sequence[str], block: str, counted: bool = False) -> DataFrame:
+    """The block that holds each wanted rank, with the rank inside it (``_rest``)."""
+    if not counted:
+        upto = W.partitionBy(*keys, "_name").orderBy(block).rowsBetween(W.unboundedPreceding, 0)
+        blocks = blocks.withColumn("_start", F.sum("_block_n").over(upto) - F.col("_block_n"))
+    rest = F.col("_rank") - F.col("_start")
+    return blocks.where((rest >= 0) & (rest < F.col("_block_n"))).withColumn("_rest", rest)
+
+
 def nearest_rank_index(total: Column, p: float) -> Column:
     """0-based index round((n - 1) * p), halves to even."""
     return F.bround((total - 1) * F.lit(float(p))).cast("bigint")
@@ -50,9 +73,9 @@ def values_at(
     Each rank is a function of the group's count of non-null values. Groups with
     no value at all do not appear.
 
-    By default the input is read twice: once for block totals, once keeping only the
-    rows of the wanted blocks, so no pass shuffles all values. The wanted blocks are
-    broadcast when they prove to be few. With ``few_values`` (counters, small integers)
+    By default the input is read for block totals, and again keeping only the rows of the
+    wanted blocks, so no pass shuffles all values; how the wanted blocks meet the rows is
+    left to adaptive execution. With ``few_values`` (counters, small integers)
     rows are folded to one per distinct value first and the input is read once. A
     ``weight`` column says how many rows each row stands for.
     """
@@ -67,38 +90,24 @@ def values_at(
     else:
         rows = rows.where(F.col("_value").isNotNull())
     rows = rows.withColumn("_block", _block(F.col("_value")))
-    blocks = rows.groupBy(*keys, "_block").agg(F.sum("_n").alias("_block_n"))
-    upto = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, 0)
-    located = blocks.select(
-        *keys,
-        "_block",
-        "_block_n",
-        (F.sum("_block_n").over(upto) - F.col("_block_n")).alias("_start"),
-        F.sum("_block_n").over(W.partitionBy(*keys)).alias("_total"),
-    )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), rank(F.col("_total")).alias("rank"))
-            for name, rank in ranks.items()
-        ]
-    )
-    rest = F.col("_want.rank") - F.col("_start")
-    targets = (
-        located.select(*keys, "_block", "_block_n", "_start", F.explode(wanted).alias("_want"))
-        .where((rest >= 0) & (rest < F.col("_block_n")))
-        .groupBy(*keys, "_block")
-        .agg(F.collect_list(F.struct(F.col("_want.name").alias("name"), rest.alias("rest"))).alias("_wants"))
-    )
+    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(i).alias("place")) for i, n in enumerate(ranks)])
+    whole = _totals(rows, [*keys, "_block"])
+    total = F.sum("_block_n").over(W.partitionBy(*keys))
+    rank_of = F.element_at(F.array(*[r(F.col("_total")) for r in ranks.values()]), F.col("_want.place") + 1)
+    first = whole.withColumn("_total", total).withColumn("_want", F.explode(wanted))
+    targets = _located(first.select("*", F.col("_want.name").alias("_name"), rank_of.alias("_rank")), keys, "_block")
     block_keys = [*keys, "_block"]
-    if not few_values:
-        fold = lambda df: df.groupBy(*block_keys, "_value").agg(F.sum("_n").alias("_n"))
-        few_targets = sized(targets)
-        if few_targets is targets:  # too many to broadcast: fold repeats before the shuffle join
-            rows = fold(rows)
-        else:
-            targets = few_targets
-            rows = fold(attach(rows, targets.select(*block_keys), block_keys, how="left_semi"))
-    hit = attach(rows, targets, block_keys, how="inner")
+    hit = attach(rows, targets.groupBy(*block_keys).agg(F.first("_low").alias("_low"), F.first("_high").alias("_high")), block_keys, how="inner")
+    number, low, high = F.col("_value").cast("double"), F.col("_low"), F.col("_high")
+    place = F.floor((number - low) / (high - low) * _FINE)
+    fine = F.when((high > low) & (place < _FINE), place).when(high > low, F.lit(_FINE - 1)).otherwise(F.lit(0)).cast("int")
+    rows = hit.withColumn("_fine", fine).groupBy(*block_keys, "_fine", "_value").agg(F.sum("_n").alias("_n"))
+    parts = _totals(rows, [*block_keys, "_fine"]).drop("_low", "_high")
+    asked = targets.select(*block_keys, "_name", F.col("_rest").alias("_rank"))
+    placed = _located(attach(_upto(parts, block_keys, "_fine"), asked, block_keys, how="inner"), block_keys, "_fine", counted=True)
+    block_keys = [*block_keys, "_fine"]
+    wants = placed.groupBy(*block_keys).agg(F.collect_list(F.struct(F.col("_name").alias("name"), F.col("_rest").alias("rest"))).alias("_wants"))
+    hit = attach(rows, wants, block_keys, how="inner")
     inside = W.partitionBy(*block_keys).orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
     ended = hit.withColumn("_end", F.sum("_n").over(inside)).select(
         *keys, "_value", "_n", "_end", F.explode("_wants").alias("_want")

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelgauge.functions.numeric import minutes_between, rate
-from reelgauge.schemas import RunConfig
+from reelgauge.operators.inventory import video_limit
 
 UNITS = ("videos", "clips", "windows")
 
@@ -147,31 +147,30 @@ def hypothesis_verdict(measured: DataFrame) -> DataFrame:
     return measured.withColumn("verdict", verdict)
 
 
-def preflight_gate(media: DataFrame, config: RunConfig, gpus: int = 0) -> DataFrame:
+def preflight_gate(
+    media: DataFrame,
+    gpus_needed: int = 0,
+    gpus: int = 0,
+    first: int | None = None,
+    order: str = "media_path",
+    problems: Sequence[str] = (),
+) -> DataFrame:
     """Conditions a run must meet as (check, ok, detail) rows.
 
-    Parameters are judged on the driver; input figures are one aggregation over the
-    selected inputs, after ``video_limit``.
+    ``problems`` are faults found before, such as a missing input folder. Input figures are
+    one aggregate over the selected inputs: the ``first`` ones in ``order``.
     """
-    problems = config.problems()
-    needed = (config.caption_workers or 1) if config.captions else 0
-    figures = media.agg(
-        F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint").alias("_bytes")
+    figures = video_limit(media, first, order).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint").alias("total")
     )
-
-    def row(check: str, ok: Column, detail: Column) -> Column:
-        return F.struct(F.lit(check).alias("check"), ok.alias("ok"), detail.alias("detail"))
-
-    rows = F.array(
-        row("config", F.lit(not problems), F.lit("; ".join(problems))),
-        row("gpu_capacity", F.lit(needed <= gpus), F.lit(f"needs {needed}, has {gpus}")),
-        row(
-            "inputs",
-            F.col("_n") > 0,
-            F.concat(F.col("_n").cast("string"), F.lit(" files, "), F.col("_bytes").cast("string"), F.lit(" bytes")),
-        ),
+    found = figures.select(
+        F.lit("inputs").alias("check"), (F.col("n") > 0).alias("ok"), F.concat_ws(" ", "n", F.lit("files,"), "total", F.lit("bytes")).alias("detail")
     )
-    return figures.select(F.inline(rows))
+    known = [
+        ("parameters", not problems, "; ".join(problems)),
+        ("gpu_capacity", gpus_needed <= gpus, f"needs {gpus_needed}, has {gpus}"),
+    ]
+    return media.sparkSession.createDataFrame(known, found.schema).unionByName(found)
 
 
 def require_preflight(gate: DataFrame) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions.numeric import minutes_between, ratio
 from reelgauge.functions.text import leading_timestamp, line_markers, stage_short, strip_ansi
-from reelgauge.operators.ordered import attach, carry_forward, previous_value, row_index, running_sum, sized, time_block
+from reelgauge.operators.ordered import attach, carry_forward, previous_value, row_index, running_sum, time_block
 from reelgauge.operators.ranking import nearest_rank
 from reelgauge.schemas import STAGE_COLUMNS
 
@@ -86,7 +86,7 @@ def stage_log_parse(lines: DataFrame) -> DataFrame:
     is_whole = (F.size(parts) == last + 1) & (F.get(parts, F.lit(last)) == "") & parts[1].rlike(STAGE_CELL_PATTERN)
     rows = filled.where(F.col("_open") & parts.isNotNull() & is_whole)
     return rows.select(
-        *LINE_KEYS, *LINE_ORDER,
+        *LINE_KEYS, "block", *LINE_ORDER,
         F.coalesce("timestamp", F.lit("")).alias("timestamp"),
         F.trim(parts[1]).alias("stage"),
         *[F.trim(parts[i + 2]).alias(name) for i, name in enumerate(NUMBER_COLUMNS)],
@@ -104,13 +104,13 @@ def typed_stage_state(rows: DataFrame) -> DataFrame:
 def caption_event_parse(lines: DataFrame) -> DataFrame:
     """Caption-generation log lines as (ip, ts, n_captions, media_path).
 
-    A literal pre-check keeps the pattern off other lines, and one replacement takes a
-    hit apart instead of one match per column.
+    A literal pre-check, on lines without colour codes, keeps the pattern off other lines,
+    and one replacement takes a hit apart instead of one match per column.
     """
-    likely = lines.where(F.contains(F.col("line"), F.lit("Generated ")) & F.contains(F.col("line"), F.lit(" captions for video ")))
+    likely = clean_lines(lines).where(F.contains(F.col("line"), F.lit("Generated ")) & F.contains(F.col("line"), F.lit(" captions for video ")))
     # explode_outer: a plain explode would make Spark match every line twice.
     found = F.regexp_extract_all("line", F.lit(CAPTION_EVENT_PATTERN), F.lit(0))
-    hits = clean_lines(likely).select(F.explode_outer(found).alias("hit")).where(F.col("hit").isNotNull())
+    hits = likely.select(F.explode_outer(found).alias("hit")).where(F.col("hit").isNotNull())
     parts = F.split(F.regexp_replace("hit", CAPTION_EVENT_PATTERN, "$1\n$2\n$3\n$4"), "\n")
     return hits.select(parts.alias("part")).select(
         F.col("part")[0].alias("ip"),
@@ -161,7 +161,7 @@ def progress_snapshot(listing: DataFrame, lines: DataFrame) -> DataFrame:
         F.count_if(path.startswith("processed_clip_chunks/") & path.endswith(".json")).alias("n_chunks"),
     )
     counts = log_counts(lines)
-    return found.withColumn("_one", F.lit(1)).join(counts.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return found.select("*", *[counts.select(name).scalar().alias(name) for name in counts.columns])
 
 
 # ---- analytics over stage_state -------------------------------------------------
@@ -171,7 +171,7 @@ def elapsed_minutes(state: DataFrame, keys: Sequence[str] = (), out: str = "minu
     """Minutes since the first sample of each run or phase."""
     if not keys:
         return state.withColumn(out, minutes_between(F.col("ts"), state.select(F.min("ts")).scalar()))
-    starts = sized(state.groupBy(*keys).agg(F.min("ts").alias("_start")))
+    starts = state.groupBy(*keys).agg(F.min("ts").alias("_start"))
     return attach(state, starts, keys).withColumn(out, minutes_between(F.col("ts"), F.col("_start"))).drop("_start")
 
 
@@ -189,7 +189,7 @@ def stage_summary(state: DataFrame, keys: Sequence[str] = ("stage_short",)) -> D
     )
     basic = basic.withColumn("duration_min", F.round(minutes_between(F.col("last_ts"), F.col("first_ts")), 6))
     moving = state.where(F.col("tasks_per_actor_s") > 0)
-    speeds = nearest_rank(moving, "tasks_per_actor_s", keys, {"speed_p50": 0.5, "speed_p90": 0.9}, few_values=True)
+    speeds = nearest_rank(moving, "tasks_per_actor_s", keys, {"speed_p50": 0.5, "speed_p90": 0.9})
     return attach(basic, speeds, keys).withColumns(
         {name: F.coalesce(F.round(name, 6), F.lit(0.0)) for name in ("speed_p50", "speed_p90")}
     )
@@ -229,15 +229,15 @@ def ready_transitions(
 
 
 def stage_gaps(
-    state: DataFrame, links: Sequence[tuple[str, str]], keys: Sequence[str] = (), order: str | None = None
+    state: DataFrame, links: Sequence[tuple[str, str]], keys: Sequence[str] = (), *, order: Sequence[str]
 ) -> DataFrame:
     """In-flight work per timestamp and link: completed upstream minus downstream, never below 0.
 
     One conditional aggregate serves every link, with no self-join. Timestamps with only
-    one stage of a link are skipped. Of repeated samples the last in ``order`` wins;
-    without an order the larger count does.
+    one stage of a link are skipped. Of repeated samples the last in ``order`` wins, for a
+    parsed log (block, line_no).
     """
-    last = F.col(order) if order else F.col("tasks_completed")
+    last = F.struct(*order)
     names = sorted({name for link in links for name in link})
     column = {name: f"_s{i}" for i, name in enumerate(names)}
     wide = state.where(F.col("stage_short").isin(*names)).groupBy(*keys, "ts").agg(
@@ -254,10 +254,10 @@ def stage_gaps(
 
 
 def stage_gap(
-    state: DataFrame, upstream: str, downstream: str, keys: Sequence[str] = (), order: str | None = None
+    state: DataFrame, upstream: str, downstream: str, keys: Sequence[str] = (), *, order: Sequence[str]
 ) -> DataFrame:
     """``stage_gaps`` of one link."""
-    return stage_gaps(state, [(upstream, downstream)], keys, order)
+    return stage_gaps(state, [(upstream, downstream)], keys, order=order)
 
 
 def gap_stats(gaps: DataFrame, keys: Sequence[str] = ("link",)) -> DataFrame:
@@ -293,7 +293,7 @@ def tail_overshoot(
     actors sit idle.
     """
     phase = list(keys[:-1])
-    ends = sized(state.groupBy(*phase).agg(F.max("ts").alias("_end")))
+    ends = state.groupBy(*phase).agg(F.max("ts").alias("_end"))
     marked = attach(state, ends, phase).withColumn(
         "_tail", minutes_between(F.col("_end"), F.col("ts")) <= F.lit(float(minutes))
     )
@@ -316,7 +316,7 @@ def queue_boundedness(
     """
     blocked = gaps.withColumn("_block", time_block(F.col("ts"), block_seconds))
     placed = row_index(blocked, keys, "_block", ["ts"], "_i")
-    totals = sized(gaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("ts").alias("_start")))
+    totals = gaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("ts").alias("_start"))
     placed = attach(placed, totals, keys)
     low, rest = F.floor(F.col("_n") / 3), F.pmod(F.col("_n"), F.lit(3))
     long_part = rest * (low + 1)

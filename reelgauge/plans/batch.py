@@ -12,7 +12,6 @@ from reelgauge.functions.ids import uuid5
 from reelgauge.operators import audit, batched, captions, gallery, inventory, planning, ranking, resources, runs, stages
 from reelgauge.plans import bindings as b
 from reelgauge.plans import fixtures
-from reelgauge.schemas import RunConfig
 from reelgauge.session import scratch_path
 from reelgauge.sources import files, sinks, tar
 
@@ -239,7 +238,7 @@ def caption_text_flags(spark, sf):
 
 @query
 def log_line_markers(spark, sf):
-    marked = stages.marked_lines(stages.clean_lines(b.stage_log_lines(spark, sf)), width=60)
+    marked = stages.marked_lines(stages.clean_lines(b.stage_log_lines(spark, sf)))
     return marked.select("file", "line_no", "line", "is_failure", "is_caption", "is_generated")
 
 
@@ -263,8 +262,7 @@ def plan_totals(spark, sf):
 
 @query
 def plan_run(spark, sf):
-    config = RunConfig("/input", "/run", captions=True, limit_clips=5, clips_per_chunk=4)
-    plan = planning.plan_run(b.media(spark, sf), config)
+    plan = planning.plan_run(b.media(spark, sf), planning.PlanRule(chunk=4, windows=(256, 128)))
     return plan.select("clip_id", "media_path", "clip_index", "chunk_index", "window_index", "start_frame", "end_frame")
 
 
@@ -354,7 +352,10 @@ def missing_outputs(spark, sf):
 
 @query
 def stage_gap(spark, sf):
-    gaps = stages.stage_gap(b.stage_state(spark, sf), "signup", "view", ["phase"])
+    state = b.stage_state(spark, sf).withColumn("line_no", F.lit(1))
+    # Every sample comes twice; the earlier one has a larger count and must lose.
+    earlier = state.withColumns({"line_no": F.lit(0), "tasks_completed": F.col("tasks_completed") + 1000})
+    gaps = stages.stage_gap(earlier.unionByName(state), "signup", "view", ["phase"], order=["line_no"])
     return gaps.withColumn("ts", when_text("ts"))
 
 
@@ -434,7 +435,7 @@ def actor_utilisation(spark, sf):
 
 
 def _gaps(spark, sf):
-    return stages.stage_gaps(b.stage_state(spark, sf), b.LINKS)
+    return stages.stage_gaps(b.stage_state(spark, sf), b.LINKS, order=["tasks_completed"])
 
 
 @query
@@ -714,5 +715,4 @@ def hypothesis_verdict(spark, sf):
 
 @query
 def preflight_gate(spark, sf):
-    config = RunConfig("/input", "/run", captions=True, caption_workers=4)
-    return runs.preflight_gate(b.media(spark, sf), config, gpus=2)
+    return runs.preflight_gate(b.media(spark, sf), gpus_needed=4, gpus=2)

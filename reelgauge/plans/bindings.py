@@ -114,7 +114,7 @@ def clip_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def artifact_listing(spark: SparkSession, sf: str) -> DataFrame:
     """Files of a run folder: clips, their metadata, and video and chunk markers."""
-    clips = clip_files(spark, sf).select(F.substring("path", 6, 1000).alias("relative_path"), "size_bytes")
+    clips = clip_files(spark, sf).select(F.substring("path", F.lit(6), F.length("path")).alias("relative_path"), "size_bytes")
     metas = clip_windows(spark, sf).groupBy("clip_id").agg(F.sum(F.length("text")).alias("size_bytes"))
     metas = metas.select(F.concat(F.lit("metas/v0/"), "clip_id", F.lit(".json")).alias("relative_path"), "size_bytes")
     source = clip_windows(spark, sf).select((F.col("clip_no") % 20).alias("n")).distinct()
@@ -242,7 +242,7 @@ def caption_log_lines(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("user_id") % 4).cast("string"), F.lit(")\x1b[0m "), stamp,
     )
     made = F.concat(
-        F.lit(" | INFO | Generated "), (F.col("user_id") % 7 + 1).cast("string"), F.lit(" captions for video /input/"),
+        F.lit(" | INFO | Generated "), (F.col("user_id") % 7 + 1).cast("string"), F.lit(" captions for \x1b[1mvideo\x1b[0m /input/"),
         F.col("user_id").cast("string"), F.lit(".mp4 chunk-0"),
     )
     other = F.concat(F.lit(" | INFO | "), "event_type")

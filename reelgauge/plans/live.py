@@ -19,8 +19,11 @@ def query(function: Query) -> Query:
 
 
 def _source(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = b.table(spark, sf, name).schema
-    return m.file_stream(spark, sf, schema, glob=f"{name}.parquet")
+    """The table as a stream, be it one file or a folder of part files."""
+    path, known = f"{sf}/{name}.parquet", b.table(spark, sf, name)
+    if all(f.rstrip("/").endswith(f"/{name}.parquet") for f in known.inputFiles()):
+        return m.file_stream(spark, sf, known.schema, glob=f"{name}.parquet")
+    return m.file_stream(spark, path, known.schema)
 
 
 def _captions(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,6 +36,13 @@ def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(target)
 
 
+def _updated(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Every window with its newest figures, the open ones included."""
+    target = scratch_path(spark, "stream-out")
+    m.drain_batches(stream, target, scratch_path(spark, "stream-cp"), mode="update")
+    return m.newest(spark.read.parquet(target), keys)
+
+
 def _windows_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns({n: when_text(n, micros=True) for n in ("window_start", "window_end")})
 
@@ -46,22 +56,26 @@ def stream_clip_plan(spark, sf):
 
 @query
 def stream_dedup_media(spark, sf):
-    return _drained(spark, m.stream_dedup_media(_captions(spark, sf)).select("media_path"))
+    target = scratch_path(spark, "paths-out")
+    m.drain_new_paths(_captions(spark, sf), target, scratch_path(spark, "paths-cp"))
+    return spark.read.parquet(target).select("media_path")
 
 
 @query
 def stream_tumbling_rates(spark, sf):
-    return _windows_as_text(_drained(spark, m.stream_tumbling_rates(_captions(spark, sf))))
+    return _windows_as_text(_updated(spark, m.stream_tumbling_rates(_captions(spark, sf)), ["window_start", "ip"]))
 
 
 @query
 def stream_sliding_rates(spark, sf):
-    return _windows_as_text(_drained(spark, m.stream_sliding_rates(_captions(spark, sf))))
+    return _windows_as_text(_updated(spark, m.stream_sliding_rates(_captions(spark, sf)), ["window_start"]))
 
 
 @query
 def stream_idle_sessions(spark, sf):
-    return _windows_as_text(_drained(spark, m.stream_idle_sessions(_captions(spark, sf))))
+    closed = _drained(spark, m.stream_idle_sessions(_captions(spark, sf)))
+    tail = m.open_sessions(b.caption_events(spark, sf), closed)
+    return _windows_as_text(closed.unionByName(tail))
 
 
 @query

@@ -170,7 +170,6 @@ _UNIT_TOTALS = ", ".join(
     f"CAST({u} AS BIGINT) AS {u}, round(CAST({u} AS DOUBLE) * 60 / seconds, 3) AS {u}_per_min"
     for u in ("videos", "clips", "windows")
 )
-_WATERMARK = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL '10 minutes' FROM caption_events)"
 _MINUTES = "CAST(epoch_us({0}) - epoch_us({1}) AS DOUBLE) / 6e7"
 
 ORACLE: dict[str, str] = {
@@ -218,13 +217,13 @@ ORACLE: dict[str, str] = {
     "caption_key_flags": _with(_CLIPS) + """SELECT clip_id AS span_uuid, window_index, caption_key <> 'system_note' AS has_key,
         caption_key <> 'system_note' AND trim(text) <> '' AS has_text FROM positions""",
     "caption_text_flags": _with(_CAPTIONS) + "SELECT doc_id, n_tokens, is_empty, at_cap, has_terminal, has_heading, has_template, has_refusal FROM flags",
-    "log_line_markers": _with(_STATE, _LINES) + """SELECT file, line_no, substr(line, 1, 60) AS line, regexp_matches(line, 'Pipeline execution failed|Traceback|ERROR') AS is_failure,
+    "log_line_markers": _with(_STATE, _LINES) + """SELECT file, line_no, substr(line, 1, 260) AS line, regexp_matches(line, 'Pipeline execution failed|Traceback|ERROR') AS is_failure,
         contains(line, 'Caption for clip') AS is_caption, regexp_matches(line, 'Generated .* captions for video') AS is_generated FROM lines""",
     "artifact_urls": _with(_CLIPS) + "SELECT span_uuid, '/assets/clips/' || span_uuid || '.mp4' AS video_url, '/assets/metas/v0/' || span_uuid || '.json' AS metadata_url FROM docs",
     "plan_totals": _with(_MEDIA, _SPANS, _WINDOWS) + """SELECT m.subset, count(*) AS n_media, CAST(sum(c.n) AS BIGINT) AS n_clips, CAST(sum(c.w) AS BIGINT) AS n_windows
         FROM media m LEFT JOIN (SELECT doc_id, count(DISTINCT clip_index) AS n, count(*) AS w FROM windows GROUP BY doc_id) c ON c.doc_id = m.doc_id GROUP BY m.subset""",
     "plan_run": _with(_MEDIA, _SPANS, _WINDOWS) + f"""SELECT {_UUID} AS clip_id, media_path, clip_index, CAST(clip_index // 4 AS INTEGER) AS chunk_index, window_index, start_frame, end_frame
-        FROM (SELECT *, {_SPAN_HASH} AS h FROM windows WHERE clip_index < 5)""",
+        FROM (SELECT *, {_SPAN_HASH} AS h FROM windows)""",
     "fixed_stride_spans": _with(_MEDIA, _SPANS) + "SELECT media_path, clip_index, start_s, end_s FROM spans",
     "limit_clips": _with(_MEDIA, _SPANS) + "SELECT media_path, clip_index, start_s, end_s FROM spans WHERE clip_index < 2",
     "caption_windows": _with(_MEDIA, _SPANS, _WINDOWS) + "SELECT media_path, clip_index, window_index, start_frame, end_frame FROM windows",
@@ -380,21 +379,21 @@ ORACLE: dict[str, str] = {
     "hypothesis_verdict": _with(_STATE) + """, m AS (SELECT stage_short AS hypothesis, CASE WHEN stage_short <> 'error' THEN round(avg(actors_running) / avg(actors_ready), 6) END AS value, 0.3e0 AS threshold,
           CASE WHEN stage_short = 'view' THEN 'below' ELSE 'above' END AS direction FROM state GROUP BY 1)
         SELECT *, CASE WHEN value IS NULL THEN 'inconclusive' WHEN direction = 'above' AND value > threshold OR direction = 'below' AND value < threshold THEN 'supported' ELSE 'rejected' END AS verdict FROM m""",
-    "preflight_gate": _with(_MEDIA) + """SELECT 'config' AS check, true AS ok, '' AS detail UNION ALL SELECT 'gpu_capacity', false, 'needs 4, has 2'
+    "preflight_gate": _with(_MEDIA) + """SELECT 'parameters' AS check, true AS ok, '' AS detail UNION ALL SELECT 'gpu_capacity', false, 'needs 4, has 2'
         UNION ALL SELECT 'inputs', count(*) > 0, count(*) || ' files, ' || CAST(sum(size_bytes) AS BIGINT) || ' bytes' FROM media""",
     "stream_clip_plan": _with(_MEDIA, _SPANS) + "SELECT media_path, clip_index, start_s, end_s FROM spans",
     "stream_dedup_media": _with(_CAPTION_EVENTS) + "SELECT DISTINCT media_path FROM caption_events",
     "stream_tumbling_rates": _with(_CAPTION_EVENTS) + f""", w AS (SELECT time_bucket(INTERVAL '10 minutes', ts) AS s, ip, count(*) AS n_videos, CAST(sum(n_captions) AS BIGINT) AS n_captions FROM caption_events GROUP BY 1, 2)
         SELECT ip, n_videos, n_captions, round(n_videos / 10e0, 6) AS videos_per_min, round(n_captions / 10e0, 6) AS captions_per_min, {_text('s', True)} AS window_start, {_text("s + INTERVAL '10 minutes'", True)} AS window_end
-        FROM w WHERE s + INTERVAL '10 minutes' <= {_WATERMARK}""",
+        FROM w""",
     "stream_sliding_rates": _with(_CAPTION_EVENTS) + f""", e AS (SELECT time_bucket(INTERVAL '5 minutes', ts) - k * INTERVAL '5 minutes' AS s, n_captions FROM caption_events, (VALUES (0), (1), (2), (3), (4), (5)) v(k)),
         w AS (SELECT s, count(*) AS n_videos, CAST(sum(n_captions) AS BIGINT) AS n_captions FROM e GROUP BY 1)
         SELECT n_videos, n_captions, round(n_videos / 30e0, 6) AS videos_per_min, round(n_captions / 30e0, 6) AS captions_per_min, {_text('s', True)} AS window_start, {_text("s + INTERVAL '30 minutes'", True)} AS window_end
-        FROM w WHERE s + INTERVAL '30 minutes' <= {_WATERMARK}""",
+        FROM w""",
     "stream_idle_sessions": _with(_CAPTION_EVENTS) + f""", g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY ip ORDER BY ts) < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM caption_events),
         n AS (SELECT *, sum(fresh) OVER (PARTITION BY ip ORDER BY ts) AS session FROM g),
         s AS (SELECT ip, count(*) AS n_videos, CAST(sum(n_captions) AS BIGINT) AS n_captions, min(ts) AS a, max(ts) + INTERVAL '30 minutes' AS z FROM n GROUP BY ip, session)
-        SELECT ip, n_videos, n_captions, {_text('a', True)} AS window_start, {_text('z', True)} AS window_end FROM s WHERE z <= {_WATERMARK}""",
+        SELECT ip, n_videos, n_captions, {_text('a', True)} AS window_start, {_text('z', True)} AS window_end FROM s""",
     "stream_stage_gap": """SELECT CASE WHEN ts < TIMESTAMP '2024-01-21' THEN 'main' ELSE 'resume' END AS run_id, count(*) FILTER (WHERE event_type = 'signup') AS up_completed,
         count(*) FILTER (WHERE event_type = 'view') AS down_completed, greatest(count(*) FILTER (WHERE event_type = 'signup') - count(*) FILTER (WHERE event_type = 'view'), 0) AS gap FROM events GROUP BY 1""",
     "stream_idempotent_sink": _with(_CAPTION_EVENTS) + f"SELECT ip, {_text('ts', True)} AS ts, n_captions, media_path FROM caption_events",

@@ -6,7 +6,8 @@ The folder holds ``clips/``, ``metas/v0/``, ``processed_videos/`` and
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from reelgauge.functions.paths import plain_path
 from reelgauge.operators import audit, gallery, inventory, planning, stages
-from reelgauge.schemas import CLIP_DOCUMENT, RunConfig
+from reelgauge.schemas import CLIP_DOCUMENT, RUN_REPORT
 from reelgauge.sources import files
 
 
@@ -70,24 +71,75 @@ def pending_media(spark: SparkSession, input_path: str, run_dir: str) -> DataFra
     return inventory.pending_inputs(files.media_inventory(spark, input_path), processed_media(spark, run_dir))
 
 
-def selected_inputs(spark: SparkSession, config: RunConfig) -> DataFrame:
-    """The inputs a run will take: the exact list when given, else the inventory; then the limit."""
-    if config.input_list is None:
-        media = files.media_inventory(spark, config.input_path, required=False)
-    else:
-        sizes = files.list_files(spark, config.input_path).withColumnRenamed("path", "media_path")
-        media = files.input_list(spark, config.input_list).join(sizes, "media_path", "left")
-    return inventory.video_limit(media, config.video_limit)
+def processed_chunks(spark: SparkSession, run_dir: str) -> DataFrame:
+    """One row per chunk marker with the source it belongs to; markers have the shape of video markers."""
+    folder = f"{run_dir.rstrip('/')}/processed_clip_chunks"
+    return _or_empty(spark, lambda: files.processed_read(spark, folder), "media_path string")
 
 
-def conservation(spark: SparkSession, run_dir: str, media: DataFrame, config: RunConfig) -> DataFrame:
-    """Planned against written clips and metadata per source, with errors as the explanation.
+def selected_inputs(spark: SparkSession, folder: str, listed: str | None = None, first: int | None = None) -> DataFrame:
+    """The inputs a run will take: the explicit list in its order, else the inventory by path; of these the first."""
+    if listed is None:
+        return inventory.video_limit(files.media_inventory(spark, folder, required=False), first)
+    sizes = files.list_files(spark, folder).withColumnRenamed("path", "media_path")
+    chosen = inventory.video_limit(files.input_list(spark, listed), first, "list_position")
+    return chosen.join(sizes, "media_path", "left")
+
+
+def input_problems(spark: SparkSession, folder: str, listed: str | None = None) -> list[str]:
+    """Names what is not there of the input folder and the input list."""
+    problems = []
+    for what, path, kind in (("input folder", folder, "binaryFile"), ("input list", listed, "text")):
+        try:
+            if path is not None:
+                spark.read.format(kind).load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            problems.append(f"{what} {path} does not exist")
+    return problems
+
+
+def run_report(
+    spark: SparkSession, run_dir: str, run_id: str, wall_time_s: float, execution_mode: str, settings: Mapping[str, str] | None = None,
+    error: str | None = None,
+) -> DataFrame:
+    """One report row computed from what the run left in its folder: artifacts, throughput, state of its stages."""
+    listing, docs = run_listing(spark, run_dir), run_documents(spark, run_dir)
+    figures = audit.artifact_metrics(listing, docs)
+    named = figures.select(F.concat_ws("_", "metric", "suffix").alias("name"), F.col("value").cast("double").alias("value"))
+    artifacts = named.agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("artifacts"))  # one entry per file suffix
+    done = processed_media(spark, run_dir).agg(F.count(F.lit(1)).alias("videos"))
+    clips = listing.agg(F.count_if(F.col("relative_path").startswith("clips/")).alias("clips"))
+    per_s = lambda n: F.try_divide(n.cast("double"), F.lit(float(wall_time_s)))
+    both = artifacts.select("artifacts", done.select("videos").scalar().alias("videos"), clips.select("clips").scalar().alias("clips"))
+    known = {
+        "artifacts": F.col("artifacts"),
+        "config": F.create_map(*[F.lit(x) for pair in sorted((settings or {}).items()) for x in pair]).cast("map<string,string>"),
+        "error": F.lit(error).cast("string"),
+        "execution_mode": F.lit(execution_mode),
+        "output_tasks": F.col("videos"),
+        "run_id": F.lit(run_id),
+        "stage_metrics": F.create_map(F.lit("videos_done"), F.col("videos").cast("double"), F.lit("clips_written"), F.col("clips").cast("double")),
+        "status": F.lit("failed" if error else "succeeded"),
+        "throughput_clips_per_s": per_s(F.col("clips")),
+        "throughput_videos_per_s": per_s(F.col("videos")),
+        "wall_time_s": F.lit(float(wall_time_s)),
+    }
+    return both.select(*[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in RUN_REPORT.fields])
+
+
+def conservation(spark: SparkSession, run_dir: str, media: DataFrame, rule: planning.PlanRule = planning.PlanRule()) -> DataFrame:
+    """Planned against written clips, metadata, chunk and video markers per source, with errors as the explanation.
 
     ``media`` has media_path, duration_s and fps.
     """
-    plan = planning.plan_run(media.select("media_path", "duration_s", "fps"), config)
-    clips = plan.select("media_path", "clip_id").distinct() if config.captions else plan
-    expected = clips.groupBy("media_path").agg(F.count(F.lit(1)).alias("clips"), F.count(F.lit(1)).alias("metas"))
+    plan = planning.plan_run(media.select("media_path", "duration_s", "fps"), replace(rule, windows=None))
+    counted = plan.groupBy("media_path").agg(F.count(F.lit(1)).alias("clips"))
+    n = F.coalesce("clips", F.lit(0).cast("bigint"))
+    expected = media.select("media_path").distinct().join(counted, "media_path", "left").select(
+        "media_path", n.alias("clips"), n.alias("metas"), F.ceil(n / rule.chunk).alias("chunks"), F.lit(1).cast("bigint").alias("videos")
+    )
     docs = run_documents(spark, run_dir)
     present = run_listing(spark, run_dir).select(F.col("path").alias("clip_location"), F.lit(1).alias("_file"))
     written = (
@@ -96,5 +148,10 @@ def conservation(spark: SparkSession, run_dir: str, media: DataFrame, config: Ru
         .groupBy("media_path")
         .agg(F.count("_file").alias("clips"), F.count(F.lit(1)).alias("metas"))
     )
+    marked = processed_media(spark, run_dir).select("media_path", F.lit("videos").alias("kind")).unionByName(
+        processed_chunks(spark, run_dir).select("media_path", F.lit("chunks").alias("kind"))
+    )
+    marked = marked.groupBy("media_path").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("chunks", "videos")])
+    written = written.join(marked, "media_path", "full").na.fill(0, ["clips", "metas", "chunks", "videos"])
     failures = audit.errors_explode(docs, keep=["source_video"]).withColumnRenamed("source_video", "media_path")
-    return audit.conservation_audit(expected, written, failures, ["media_path"], ["clips", "metas"])
+    return audit.conservation_audit(expected, written, failures, ["media_path"], ["clips", "metas", "chunks", "videos"])

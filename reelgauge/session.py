@@ -21,6 +21,8 @@ SESSION_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Sessions of one input task merge before they shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

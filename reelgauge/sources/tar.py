@@ -22,6 +22,10 @@ _BATCH_ROWS = 1024
 _BATCH_BYTES = 32 * 1024 * 1024
 
 
+#: Names that a shard may end with.
+SHARD_ENDINGS = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tar.xz")
+
+
 class ShardPartition(InputPartition):
     def __init__(self, shard: str):
         super().__init__(shard)
@@ -55,7 +59,7 @@ class ShardReader(DataSourceReader):
             if info.type == fs.FileType.Directory:
                 prefix = path[: len(path) - len(inner)] if path.endswith(inner) else ""
                 below = system.get_file_info(fs.FileSelector(inner, recursive=True))
-                shards += [prefix + f.path for f in below if f.is_file and ".tar" in f.base_name]
+                shards += [prefix + f.path for f in below if f.is_file and f.base_name.lower().endswith(SHARD_ENDINGS)]
             else:
                 shards.append(path)
         return [ShardPartition(shard) for shard in sorted(shards)]

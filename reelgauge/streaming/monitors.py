@@ -6,18 +6,16 @@ needs TIMESTAMP columns; cast TIMESTAMP_NTZ before calling.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from reelgauge.operators.ordered import attach, previous_value, sized, time_block
+from reelgauge.operators.ordered import attach, previous_value, running_sum, time_block
 from reelgauge.operators.planning import fixed_stride_spans
 
-MERGE_SESSIONS_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
 
 def file_stream(
     spark: SparkSession,
@@ -71,17 +69,28 @@ def stream_clip_plan(manifest: DataFrame, **params) -> DataFrame:
     return fixed_stride_spans(manifest, **params)
 
 
-def stream_dedup_media(
-    arrivals: DataFrame, path: str = "media_path", delay: str = "1 hour", salts: int = 16
-) -> DataFrame:
-    """The first arrival of each path within the watermark delay.
+def drain_new_paths(arrivals: DataFrame, target: str, checkpoint: str, path: str = "media_path") -> StreamingQuery:
+    """Plan every arriving path once, however late it comes again and however input is cut into batches.
 
-    A path that keeps re-arriving is first thinned out per salt (the input partition), so
-    the task that decides about it sees at most ``salts`` rows per delay.
+    The paths planned so far are the table itself. Each batch folds its repeats (map-side, so a path
+    that keeps re-arriving is no hot spot), leaves out what earlier batches have written, and replaces its own
+    folder when it is replayed.
     """
-    salted = arrivals.withWatermark("ts", delay).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    thinned = salted.dropDuplicatesWithinWatermark([path, "_salt"]).drop("_salt")
-    return thinned.dropDuplicatesWithinWatermark([path])
+
+    def fresh(batch: DataFrame, batch_id: int) -> DataFrame:
+        paths = batch.select(path).distinct()
+        if batch_id == 0:
+            return paths
+        planned = batch.sparkSession.read.schema(f"`{path}` string, batch_id long").parquet(target)
+        return paths.join(planned.where(F.col("batch_id") < batch_id).select(path), path, "left_anti")
+
+    return drain_batches(arrivals, target, checkpoint, shape=fresh)
+
+
+def newest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last update of every key, from a table of update batches: windows still open are in it."""
+    rows = F.struct(*[c for c in updates.columns if c != "batch_id"])
+    return updates.groupBy(*keys).agg(F.max_by(rows, "batch_id").alias("_last")).select("_last.*")
 
 
 def _rates(grouped, minutes: float) -> DataFrame:
@@ -118,13 +127,30 @@ def stream_idle_sessions(events: DataFrame, idle: str = "30 minutes", delay: str
     """Bursts of activity per host, split where nothing happened for ``idle``.
 
     ``window_end`` is the last event plus the idle time. Events of a host merge into
-    sessions inside each input task before they shuffle, so a busy host is no hot spot.
+    sessions inside each input task before they shuffle (``SESSION_CONF`` asks for it), so a
+    busy host is no hot spot. A session is given out once the watermark has passed its end:
+    the open tail of each host is in ``open_sessions``.
     """
-    events.sparkSession.conf.set(MERGE_SESSIONS_EARLY, "true")
     sessions = events.withWatermark("ts", delay).groupBy(F.session_window("ts", idle).alias("window"), "ip")
     return _flat_window(sessions.agg(F.count(F.lit(1)).alias("n_videos"), F.sum("n_captions").alias("n_captions")))
 
 
+def open_sessions(events: DataFrame, closed: DataFrame, idle_minutes: int = 30) -> DataFrame:
+    """Sessions of a batch of events that a drained stream has not given out: the open tail of each host.
+
+    Times of a host are compared and numbered block by block, so a busy host is no hot spot.
+    """
+    idle = F.make_dt_interval(mins=F.lit(idle_minutes))
+    moments = events.groupBy("ip", "ts").agg(F.count(F.lit(1)).alias("n"), F.sum("n_captions").alias("c"))
+    paired = previous_value(moments.withColumn("_block", time_block(F.col("ts"))), "ts", ["ip"], "_block", ["ts"], "_prev")
+    begins = F.col("_prev").isNull() | (F.col("ts") - F.col("_prev.value") >= idle)
+    numbered = running_sum(paired.withColumn("_begins", begins.cast("bigint")).drop("_prev"), "_begins", ["ip"], "_block", ["ts"], "_session")
+    every = numbered.groupBy("ip", "_session").agg(
+        F.sum("n").alias("n_videos"), F.sum("c").alias("n_captions"), F.min("ts").alias("window_start"), (F.max("ts") + idle).alias("window_end")
+    )
+    return every.drop("_session").join(closed.select("ip", "window_start"), ["ip", "window_start"], "left_anti")
+
+
 def stream_stage_gap(events: DataFrame, upstream: str, downstream: str, keys: tuple[str, ...] = ("run_id",)) -> DataFrame:
     """Completed upstream minus downstream per run so far; use update mode.
 
@@ -176,7 +202,7 @@ def stream_transitions(
         if batch_id == 0:
             before = spark.createDataFrame([], state_schema)
         else:
-            before = sized(spark.read.schema(state_schema).parquet(f"{state_dir}/batch_id={batch_id - 1}"))
+            before = spark.read.schema(state_schema).parquet(f"{state_dir}/batch_id={batch_id - 1}")
         held = before.select(*key_list, F.col("ts").alias("_held_ts"), F.col("ready").alias("_held"))
         fresh = attach(slim, held, key_list).where(F.col("_held_ts").isNull() | (F.col("ts") > F.col("_held_ts")))
         paired = previous_value(fresh, "ready", key_list, "_block", ["ts"], "_prev")

@@ -155,7 +155,6 @@ def test_video_limit_is_in_path_order(flagged):
     assert inventory.video_limit(flagged, None).count() == 233
 
 
-def test_large_limit_is_cut_by_position(flagged, monkeypatch):
-    monkeypatch.setattr(inventory, "SMALL_ROWS", 10)
-    kept = inventory.video_limit(flagged, 100)
-    assert sorted(r.media_path for r in kept.collect()) == [f"/in/{i:04d}.mp4" for i in range(100)]
+def test_limit_follows_the_given_order(flagged):
+    listed = flagged.withColumn("list_position", -F.col("size_bytes"))
+    assert inventory.video_limit(listed, 5, "list_position").agg(F.min("size_bytes")).first()[0] > listed.agg(F.min("size_bytes")).first()[0]

@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from reelgauge.operators import captions, gallery, resources, runs
 from reelgauge.operators.batched import _batches, batched_map
-from reelgauge.schemas import RunConfig
 
 TEXTS = {
     "good": "A man walks.  \n",
@@ -117,14 +116,15 @@ def test_verdicts(spark):
 
 
 def test_preflight(spark):
-    media = spark.createDataFrame([("/a.mp4", 5)], "media_path string, size_bytes bigint")
+    media = spark.createDataFrame([("/a.mp4", 5), ("/b.mp4", 7)], "media_path string, size_bytes bigint")
     with pytest.raises(RuntimeError, match="needs 1, has 0"):
-        runs.require_preflight(runs.preflight_gate(media, RunConfig("/in", "/out", captions=True)))
-    runs.require_preflight(runs.preflight_gate(media, RunConfig("/in", "/out", captions=True), gpus=1))
+        runs.require_preflight(runs.preflight_gate(media, gpus_needed=1))
+    runs.require_preflight(runs.preflight_gate(media, gpus_needed=1, gpus=1))
     with pytest.raises(RuntimeError, match="0 files"):
-        runs.require_preflight(runs.preflight_gate(media.limit(0), RunConfig("/in", "/out")))
-    bad = RunConfig("/in", "/out", clip_len_s=0, encoder="x264", caption_workers=0)
-    assert len(bad.problems()) == 3 and bad.as_text()["encoder"] == "x264"
+        runs.require_preflight(runs.preflight_gate(media.limit(0)))
+    with pytest.raises(RuntimeError, match="no such folder"):
+        runs.require_preflight(runs.preflight_gate(media, problems=["no such folder"]))
+    assert runs.preflight_gate(media, first=1).where("check = 'inputs'").first().detail == "1 files, 5 bytes"
 
 
 def items(spark, n=23):

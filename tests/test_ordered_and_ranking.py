@@ -34,13 +34,17 @@ def test_nearest_rank_equals_sorting(spark, few):
         assert [got[k].p0, got[k].p50, got[k].p95, got[k].p100] == [nearest(values, p) for p in (0, 0.5, 0.95, 1)]
 
 
-def test_beyond_the_broadcast_size_results_stay(spark, monkeypatch):
-    rows, df = skewed(spark, 500)
-    expected = sorted(map(tuple, ranking.nearest_rank(df, "v", ["k"], {"p90": 0.9}).collect()), key=repr)
-    monkeypatch.setattr(ranking, "sized", lambda small: ordered.sized(small, max_rows=1))
-    shuffled = ranking.nearest_rank(df, "v", ["k"], {"p90": 0.9})
-    assert "BroadcastExchange" not in shuffled._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(map(tuple, shuffled.collect()), key=repr) == expected
+def test_values_in_a_narrow_range_are_cut_again(spark, plan):
+    """Seconds of one day lie in one logarithmic block; the ranges inside it share the ordering."""
+    df = spark.range(1_700_000_000, 1_700_086_400).select(F.lit("day").alias("k"), F.col("id").alias("v"))
+    got = ranking.nearest_rank(df, "v", ["k"], {"p50": 0.5, "p99": 0.99})
+    assert tuple(got.first()) == ("day", 1_700_000_000 + nearest_place(86_400, 0.5), 1_700_000_000 + nearest_place(86_400, 0.99))
+    ordered_by = [line for line in plan(got).splitlines() if "Window [" in line and "_value" in line]
+    assert ordered_by and all("_fine" in line for line in ordered_by)
+
+
+def nearest_place(n, p):
+    return nearest(range(n), p)
 
 
 def test_hot_group_is_never_ordered_in_one_task(spark, plan):

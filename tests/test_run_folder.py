@@ -4,7 +4,6 @@ import pytest
 
 from reelgauge.operators import gallery, planning, runs
 from reelgauge.plans import run_folder
-from reelgauge.schemas import RunConfig
 
 
 def put(root, entries):
@@ -79,36 +78,67 @@ def test_pending_feeds_the_next_run(spark, run, tmp_path):
     names = [r.media_path for r in pending.collect()]
     assert names == [f"{tmp_path}/in/b.mp4", f"{tmp_path}/in/c.MKV"]
     (tmp_path / "pending.txt").write_text("\n".join(names))
-    config = RunConfig(str(tmp_path / "in"), str(run), input_list=str(tmp_path / "pending.txt"))
-    chosen = run_folder.selected_inputs(spark, config)
+    chosen = run_folder.selected_inputs(spark, str(tmp_path / "in"), str(tmp_path / "pending.txt"))
     assert sorted((r.media_path, r.size_bytes) for r in chosen.collect()) == [(n, 1) for n in names]
-    gate = {r.check: (r.ok, r.detail) for r in runs.preflight_gate(chosen, config).collect()}
+    gate = {r.check: (r.ok, r.detail) for r in runs.preflight_gate(chosen).collect()}
     assert gate["inputs"] == (True, "2 files, 2 bytes")
 
 
 def test_preflight_counts_after_the_limit(spark, run, tmp_path):
-    config = RunConfig(str(tmp_path / "in"), str(run), video_limit=1)
-    gate = {r.check: r.detail for r in runs.preflight_gate(run_folder.selected_inputs(spark, config), config).collect()}
+    gate = {r.check: r.detail for r in runs.preflight_gate(run_folder.selected_inputs(spark, str(tmp_path / "in"), first=1)).collect()}
     assert gate["inputs"] == "1 files, 5 bytes"
 
 
+def test_first_of_a_list_is_as_listed(spark, run, tmp_path):
+    names = [f"{tmp_path}/in/{n}" for n in ("c.MKV", "b.mp4", "a.mp4")]
+    (tmp_path / "list.txt").write_text("\n".join(names))
+    chosen = run_folder.selected_inputs(spark, str(tmp_path / "in"), str(tmp_path / "list.txt"), first=2)
+    assert sorted(r.media_path for r in chosen.collect()) == sorted(names[:2])
+    assert run_folder.input_problems(spark, str(tmp_path / "in"), str(tmp_path / "list.txt")) == []
+    found = run_folder.input_problems(spark, str(tmp_path / "nowhere"), str(tmp_path / "no.txt"))
+    assert len(found) == 2 and "nowhere" in found[0]
+
+
+def test_report_is_computed_from_the_folder(spark, run):
+    row = run_folder.run_report(spark, str(run), "r1", 10.0, "streaming").first()
+    assert (row.execution_mode, row.status, row.output_tasks) == ("streaming", "succeeded", run_folder.processed_media(spark, str(run)).count())
+    clips = run_folder.run_listing(spark, str(run)).where("relative_path LIKE 'clips/%'").count()
+    assert clips > 0 and row.throughput_clips_per_s == clips / 10.0 and row.artifacts
+
+
 def test_progress(spark, run, tmp_path):
     (tmp_path / "run.log").write_text("Caption for clip x\n\x1b[31mERR\x1b[0mOR boom\nGenerated 4 captions for video /a chunk-0\nTraceback\n")
     r = run_folder.progress(spark, str(run), str(tmp_path / "run.log")).first()
     assert tuple(r) == (2, 4, 1, 1, 2, 1, 1)
 
 
-@pytest.mark.parametrize("captions", [False, True])
-def test_conservation_of_a_run(spark, run, captions):
+@pytest.mark.parametrize("windows", [None, (256, 128)])
+def test_conservation_of_a_run(spark, run, windows):
     media = spark.createDataFrame([("/in/a.mp4", 20.0, 60.0), ("/in/b.mp4", 20.0, 30.0), ("/in/z.mp4", 9.0, 30.0)], "media_path string, duration_s double, fps double")
-    config = RunConfig("/in", str(run), captions=captions)
-    got = {r.media_path: (r.missing_clips, r.missing_metas, r.n_errors, r.status) for r in run_folder.conservation(spark, str(run), media, config).collect()}
-    assert got == {"/in/a.mp4": (1, 0, 1, "explained"), "/in/b.mp4": (1, 0, 0, "unexplained"), "/in/z.mp4": (1, 1, 0, "unexplained")}
+    rule = planning.PlanRule(windows=windows)
+    put(run, {"processed_videos/b.json": json.dumps({"video": "/in/b.mp4"}), "processed_clip_chunks/b_0.json": json.dumps({"video": "/in/b.mp4"})})
+    rows = {r.media_path: r for r in run_folder.conservation(spark, str(run), media, rule).collect()}
+    got = {k: (r.missing_clips, r.missing_metas, r.missing_chunks, r.missing_videos, r.n_errors, r.status) for k, r in rows.items() if k and k.startswith("/in/")}
+    assert got == {
+        "/in/a.mp4": (1, 0, 1, 1, 1, "explained"), "/in/b.mp4": (1, 0, 0, 0, 0, "unexplained"), "/in/z.mp4": (1, 1, 1, 1, 0, "unexplained"),
+    }
+    other = next(r for k, r in rows.items() if k and k.endswith("/in/a.mp4") and k != "/in/a.mp4")
+    assert (other.expected_videos, other.written_videos, other.status) == (0, 1, "unexplained")
 
 
 def test_plan_run_follows_the_configuration(spark):
     media = spark.createDataFrame([(f"/{i}.mp4", 60.0, 60.0) for i in range(4)], "media_path string, duration_s double, fps double")
-    assert planning.plan_run(media, RunConfig("/in", "/out", video_limit=2, limit_clips=3)).count() == 6
-    assert planning.plan_run(media, RunConfig("/in", "/out", captions=True)).count() == 48
-    with pytest.raises(ValueError, match="unsupported encoder"):
-        planning.plan_run(media, RunConfig("/in", "/out", encoder="x"))
+    assert planning.plan_run(media, planning.PlanRule(first_clips=3), first=2).count() == 6
+    assert planning.plan_run(media, planning.PlanRule(windows=(256, 128))).count() == 48
+    with pytest.raises(ValueError, match="must be positive"):
+        planning.plan_run(media, planning.PlanRule(stride_s=0))
+
+
+@pytest.mark.parametrize("length,stride,least", [(10, 10, 2), (8, 3, 1), (4, 6, 4), (30, 7, 2)])
+def test_totals_follow_the_rule(spark, length, stride, least):
+    rows = [(f"/{i}.mp4", "s", i * 3.7, (25.0, 60.0)[i % 2]) for i in range(40)]
+    media = spark.createDataFrame(rows, "media_path string, subset string, duration_s double, fps double")
+    rule = planning.PlanRule(length_s=length, stride_s=stride, least_s=least, windows=(256, 128))
+    total = planning.plan_totals(media, rule=rule).first()
+    spans = rule.spans(media)
+    assert total.n_clips == spans.count() and total.n_windows == planning.caption_windows(spans).count()

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions import paths
 from reelgauge.operators import audit, inventory
-from reelgauge.schemas import MEDIA_PROBE, RunConfig
+from reelgauge.plans import run_folder
+from reelgauge.schemas import MEDIA_PROBE
 from reelgauge.sources import files, sinks, tar
 
 
@@ -175,24 +176,15 @@ def test_gpu_samples_lose_their_units(spark, tmp_path):
     assert got[1].utilization is None
 
 
-def test_report_is_written_on_success_and_failure(spark, tmp_path):
-    config = RunConfig("/in", "/out")
+def test_reports_keep_one_line_each_with_sorted_keys(spark, tmp_path):
     root = str(tmp_path / "reports")
-    sinks.run_with_report(spark, "good", config, root, lambda: {"output_tasks": 8, "environment": {"input_files": "8"}, "artifacts": {"clip_files": 48.0}})
-
-    def fails():
-        raise RuntimeError("no disk")
-
-    with pytest.raises(RuntimeError, match="no disk"):
-        sinks.run_with_report(spark, "bad", config, root, fails)
-    got = {r.run_id: r for r in files.report_overview(files.run_report_read(spark, root, lines=True)).collect()}
-    assert (got["good"].status, got["good"].output_tasks, got["bad"].status) == ("succeeded", 8, "failed")
-    assert "no disk" in got["bad"].error
-    reports = {r.run_id: r for r in files.run_report_read(spark, root, lines=True).collect()}
-    assert len(reports["bad"].stages) == 5 and reports["good"].config["min_clip_s"] == "2.0"
-    assert len(RunConfig("/in", "/out", captions=True).stages()) == 7
-    text = "".join(p.read_text() for p in (tmp_path / "reports").glob("*.json")).splitlines()
-    for line in text:
+    for name, error in (("good", None), ("bad", "no disk")):
+        report = run_folder.run_report(spark, str(tmp_path / "none"), name, 12.5, "batch", {"chunk": "32"}, error)
+        sinks.run_report_write(report, root)
+    got = {r.run_id: r for r in files.run_report_read(spark, root, lines=True).collect()}
+    assert (got["good"].status, got["good"].output_tasks, got["bad"].status, got["bad"].error) == ("succeeded", 0, "failed", "no disk")
+    assert got["good"].execution_mode == "batch" and got["good"].config["chunk"] == "32" and got["good"].throughput_videos_per_s == 0
+    for line in "".join(p.read_text() for p in (tmp_path / "reports").glob("*.json")).splitlines():
         assert list(json.loads(line)) == sorted(json.loads(line))
 
 

@@ -61,20 +61,45 @@ def test_replayed_batch_replaces_itself(spark, place):
         monitors.drain_batches(live(spark, place("in"), EVENTS), place("out"), place("cp3"), shape=broken)
 
 
-def test_dedup_within_watermark(spark, place):
-    events(spark, range(30)).write.parquet(place("in"))
-    monitors.drain(monitors.stream_dedup_media(live(spark, place("in"), EVENTS)), place("out"), place("cp"))
+@pytest.mark.parametrize("batches", [1, 3])
+def test_paths_are_planned_once_however_batches_are_cut(spark, place, batches):
+    for part in range(3):  # every path comes again, hours later
+        events(spark, [300 * part + m for m in range(30)]).coalesce(1).write.mode("append").parquet(place("in"))
+    stream = monitors.file_stream(spark, place("in"), EVENTS, files_per_trigger=3 // batches)
+    for _ in range(2):
+        monitors.drain_new_paths(stream, place("out"), place("cp"))
     assert sorted(r.media_path for r in spark.read.parquet(place("out")).collect()) == ["/in/0.mp4", "/in/1.mp4", "/in/2.mp4"]
+    assert len({r.batch_id for r in spark.read.parquet(place("out")).select("batch_id").distinct().collect()}) == 1
 
 
-def test_hot_path_is_thinned_before_it_meets_in_one_task(spark, place):
-    hot = spark.range(4000).select(F.lit(START).alias("ts"), F.lit("a").alias("ip"), F.lit(1).alias("n_captions"), F.lit("/hot.mp4").alias("media_path"))
-    hot.repartition(8).write.parquet(place("in"))
-    query = monitors.drain(monitors.stream_dedup_media(live(spark, place("in"), EVENTS)), place("out"), place("cp"))
-    assert spark.read.parquet(place("out")).count() == 1
-    batch = next(p for p in query.recentProgress if p.numInputRows)
-    final, thinning = sorted(op.numRowsUpdated for op in batch.stateOperators)
-    assert final == 1 and 1 <= thinning <= 16
+@pytest.mark.parametrize("batches", [1, 3])
+def test_open_windows_are_in_the_newest_updates(spark, place, batches):
+    for part in ([0, 1], [9.9, 10], [25, 41]):
+        events(spark, part).coalesce(1).write.mode("append").parquet(place("in"))
+    stream = monitors.stream_tumbling_rates(monitors.file_stream(spark, place("in"), EVENTS, files_per_trigger=3 // batches))
+    monitors.drain_batches(stream, place("out"), place("cp"), mode="update")
+    got = monitors.newest(spark.read.parquet(place("out")), ["window_start", "ip"]).collect()
+    assert {(r.window_start - START).seconds // 60: r.n_videos for r in got} == {0: 3, 10: 1, 20: 1, 40: 1}
+
+
+def test_open_sessions_are_the_tail(spark, place):
+    batch = events(spark, [0, 10, 20, 60, 61, 200])
+    batch.write.parquet(place("in"))
+    monitors.drain(monitors.stream_idle_sessions(live(spark, place("in"), EVENTS)), place("out"), place("cp"))
+    tail = monitors.open_sessions(batch, spark.read.parquet(place("out"))).collect()
+    assert [((r.window_start - START).seconds // 60, (r.window_end - START).seconds // 60, r.n_videos) for r in tail] == [(200, 230, 1)]
+
+
+def test_streams_read_tables_that_are_folders(spark, place):
+    """Each table as one file and as a folder of part files gives the same rows."""
+    from reelgauge.plans import live as registered
+
+    for name in ("documents", "events"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").repartition(3).write.parquet(f"{place('sf')}/{name}.parquet")
+    for name in ("stream_clip_plan", "stream_dedup_media", "stream_tumbling_rates", "stream_sliding_rates", "stream_idle_sessions",
+                 "stream_stage_gap", "stream_transitions", "stream_idempotent_sink", "stream_late_drop"):
+        one, many = (sorted(map(repr, registered.STREAMS[name](spark, d).collect())) for d in ("/root/testdata/sf0.001", place("sf")))
+        assert one and one == many, name
 
 
 def test_tumbling_emits_closed_windows_only(spark, place):
