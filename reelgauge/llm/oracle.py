@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from reelgauge.llm import license_scan, quality_rules, url_filter
+import re
+
+from reelgauge.llm import chat_format, license_scan, mixing, quality_rules, url_filter
 
 _W = r"[\x20\x09-\x0D]"
 
@@ -88,7 +90,77 @@ SELECT d.doc_id, coalesce(tok.sentence_ids, '') AS sentence_ids, coalesce(l.lice
 FROM d LEFT JOIN tok ON d.k = tok.k LEFT JOIN l ON d.k = l.k
 """
 
+_T = chat_format.Template()
+_ESCAPED = _quoted("|".join([r"\\", *(re.escape(c) for c in sorted(_T.controls, key=len, reverse=True))]).replace(r"\<", "<").replace(r"\>", ">"))
+_SAID = "</s>[INST] ok [/INST]"
+_CHAT = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_SAID}' UNION ALL SELECT -7, 1, 'assistant', '{_SAID}'),
+n AS (SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+s AS (
+  SELECT *, CASE before WHEN 'system' THEN 'briefed' WHEN 'user' THEN 'asked' WHEN 'assistant' THEN 'answered' ELSE 'start' END AS stood,
+    CASE role WHEN 'system' THEN 'briefed' WHEN 'user' THEN 'asked' ELSE 'answered' END AS after FROM n),
+f AS (
+  SELECT *, CASE WHEN (stood = 'start' AND role IN ('system', 'user')) OR (stood IN ('briefed', 'answered') AND role = 'user') OR (stood = 'asked' AND role = 'assistant')
+    THEN NULL ELSE CASE WHEN role = '' THEN 'no role' ELSE role END || ' after ' || stood END AS bad FROM s),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum({len(_T.opening + _T.after_role + _T.closing)} + length(role) + length(text) + len(regexp_extract_all(text, {_ESCAPED}))
+      + len(regexp_extract_all(role, {_ESCAPED})) + length(role) - length(replace(role, chr(10), ''))) AS BIGINT) AS formatted_chars,
+    arg_min(bad, i) FILTER (WHERE bad IS NOT NULL) AS bad, arg_max(after, i) AS ended
+  FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, bad IS NULL AND ended = 'answered' AS valid,
+  coalesce(bad, CASE WHEN ended <> 'answered' THEN 'ends after ' || ended END) AS fault FROM g
+"""
+
+
+def _case(column: str, level, default: int) -> str:
+    return "CASE " + column + "".join(f" WHEN {_quoted(k)} THEN {v}" for k, v in level.items()) + f" ELSE {default} END" if level else str(default)
+
+
+def _dealt(level: int, parent: str, own: str) -> str:
+    """CTEs that deal b{level - 1} to the nodes of c{level}."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    join = f"JOIN b{level - 1} USING ({parent})" if parent else f", b{level - 1}"
+    order = f"{by} ORDER BY CASE WHEN weight > 0 THEN CAST(cap AS DOUBLE) / CAST(weight AS DOUBLE) ELSE 0 END, {own}"
+    keys = f"{parent}, {own}" if parent else own
+    return f"""
+x{level} AS (SELECT c{level}.*, budget FROM c{level} {join}),
+y{level} AS (SELECT *, coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM x{level}),
+z{level} AS (SELECT *, cap * weights <= (budget - before) * weight AS filled FROM y{level}),
+u{level} AS (SELECT *, budget - coalesce(sum(cap) FILTER (WHERE filled) OVER ({by}), 0) AS rest, sum(weight) FILTER (WHERE NOT filled) OVER ({by}) AS open FROM z{level}),
+b{level} AS (SELECT {keys}, CASE WHEN filled THEN CAST(cap AS HUGEINT) ELSE CAST(rest AS HUGEINT) * weight // CAST(open AS HUGEINT) END AS budget FROM u{level})"""
+
+
+_M = mixing.MIX
+_DOMAIN = "CASE" + "".join(f" WHEN source IN ({', '.join(map(_quoted, v))}) THEN {_quoted(k)}" for k, v in mixing.DOMAINS.items()) + " ELSE 'other' END"
+_MIXING = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, {_DOMAIN} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_W}+'), lambda x: x <> '')) AS BIGINT) AS n_tokens FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL),
+v3 AS (SELECT *, {_case("source", _M.weights[2], _M.default)} AS weight FROM leaf),
+c3 AS (SELECT * EXCLUDE (tokens), CASE WHEN weight > 0 THEN tokens * {_M.max_epochs} ELSE 0 END AS cap FROM v3),
+v2 AS (SELECT domain, lang, sum(cap) AS s, {_case("lang", _M.weights[1], _M.default)} AS weight FROM c3 GROUP BY domain, lang),
+c2 AS (SELECT domain, lang, weight, CASE WHEN weight > 0 THEN s ELSE 0 END AS cap FROM v2),
+v1 AS (SELECT domain, sum(cap) AS s, {_case("domain", _M.weights[0], _M.default)} AS weight FROM c2 GROUP BY domain),
+c1 AS (SELECT domain, weight, CASE WHEN weight > 0 THEN s ELSE 0 END AS cap FROM v1),
+b0 AS (SELECT least((SELECT sum(tokens) FROM leaf) * {_M.percent} // 100, (SELECT sum(cap) FROM c1)) AS budget),{_dealt(1, "", "domain")},{_dealt(2, "domain", "lang")},{_dealt(3, "domain, lang", "source")},
+plan AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS remainder
+  FROM leaf JOIN b3 USING (domain, lang, source)),
+keyed AS (SELECT d.*, tokens, budget, epochs, remainder, md5('{_M.seed}:' || CAST(epochs AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM d JOIN plan USING (domain, lang, source)),
+sums AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS upto FROM keyed)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(tokens AS BIGINT) AS leaf_tokens, CAST(budget AS BIGINT) AS leaf_budget,
+  CAST(epochs AS BIGINT) + CASE WHEN remainder > 0 AND upto <= remainder THEN 1 ELSE 0 END AS copies FROM sums
+"""
+
 ORACLE = {
+    "op3_chat_format": _CHAT,
+    "op4_source_mixing": _MIXING,
     "op6_exact_dedup": _EXACT,
     "op7_license_scan": _LICENSES,
     "op8_quality_rules": _QUALITY,

@@ -70,16 +70,17 @@ def fingerprint(text: str | None, rule: Rule = EXACT) -> tuple[int, int]:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0, 0
-    k = rule.words
-    shingles = [b" ".join(s) for s in zip(*(words[i:] for i in range(k)), strict=False)] if len(words) >= k else [b" ".join(words)]
-    if rule.wide:
-        digest = xxhash.xxh3_128_digest
-        data = np.frombuffer(b"".join([digest(s) for s in shingles]), np.uint8)
-    else:
-        number = xxhash.xxh64_intdigest
-        data = np.array([number(s, 42) for s in shingles], "<u8").view(np.uint8)
-    n = len(shingles)
-    ones = np.unpackbits(data.reshape(n, -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    k = min(rule.words, len(words))
+    n = len(words) - k + 1
+    ones = np.zeros(128 if rule.wide else BITS, np.int64)
+    for i in range(0, n, 1 << 15):  # long texts piece by piece
+        part = words[i : min(n, i + (1 << 15)) + k - 1]
+        shingles = [b" ".join(s) for s in zip(*(part[j:] for j in range(k)), strict=False)]
+        if rule.wide:
+            data = np.frombuffer(b"".join([xxhash.xxh3_128_digest(s) for s in shingles]), np.uint8)
+        else:
+            data = np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], "<u8").view(np.uint8)
+        ones += np.unpackbits(data.reshape(len(shingles), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     halves = np.packbits(2 * ones > n, bitorder="little").view("<i8").tolist()
     return halves[0], halves[1] if rule.wide else 0
 
@@ -248,38 +249,48 @@ def _lists(batch: pa.RecordBatch, name: str, at: int, kind=np.uint64) -> np.ndar
     return np.array(batch.column(name)[at].as_py(), np.int64).view(kind)
 
 
-_BUCKET = "part int, value long, block int, ids array<long>, as array<long>, bs array<long>, label array<long>"
+_BUCKET = "part int, value long, block int, size int, bucket binary"
 _LINK = "u long, v long"
 
 
-def _gathered(rows: DataFrame, rule: Rule, *keys: str) -> DataFrame:
-    """Buckets as arrays with the part of each member. Groups are bounded: hot values come in blocks."""
-    grouped = rows.groupBy("part", "value", "block").agg(
-        F.collect_list(F.struct("id", "a", "b")).alias("members"),
-    )
+def _opened(bucket: bytes) -> np.ndarray:
+    """Rows of a packed bucket: ids, first halves, second halves, and the first member of each one's part."""
+    return np.frombuffer(bucket, "<i8").reshape(4, -1)
+
+
+def _gathered(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Buckets with the part of each member, packed. Groups are bounded: hot values come in blocks."""
+    grouped = rows.groupBy("part", "value", "block").agg(F.collect_list(F.struct("id", "a", "b")).alias("members"))
+    arrays = grouped.select("part", "value", "block", *(F.col(f"members.{c}").alias(c) for c in ("id", "a", "b")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = []
+            packed, sizes = [], []
             for at in range(batch.num_rows):
-                a, b = _lists(batch, "as", at), _lists(batch, "bs", at)
-                labels.append(parts_of(a, b, rule).tolist() if len(a) > 1 else [0] * len(a))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.list_(pa.int64()))], [*batch.schema.names, "label"])
+                ids, a, b = (_lists(batch, c, at) for c in ("id", "a", "b"))
+                label = parts_of(a, b, rule) if len(a) > 1 else np.zeros(len(a), np.int64)
+                packed.append(np.stack([ids.view(np.int64), a.view(np.int64), b.view(np.int64), label]).astype("<i8").tobytes())
+                sizes.append(len(ids))
+            out = [*batch.columns[:3], pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["part", "value", "block", "size", "bucket"])
 
-    arrays = grouped.select(
-        "part", "value", "block", F.col("members.id").alias("ids"), F.col("members.a").alias("as"), F.col("members.b").alias("bs")
-    )
     return arrays.mapInArrow(run, _BUCKET)
 
 
 def _inner_links(buckets: DataFrame) -> DataFrame:
     """A link from every member to the first of its part."""
-    return (
-        buckets.where("size(ids) > 1")
-        .select(F.explode(F.arrays_zip("ids", "label")).alias("x"), "ids")
-        .select(F.col("x.ids").alias("u"), F.expr("ids[int(x.label)]").alias("v"))
-        .where("u <> v")
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for data in batch.column(0).to_pylist():
+                ids, _, _, label = _opened(data)
+                us.append(ids)
+                vs.append(ids[label])
+            u, v = np.concatenate(us), np.concatenate(vs)
+            yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
+
+    return buckets.where("size > 1").select("bucket").mapInArrow(run, _LINK)
 
 
 def _probe(queries: DataFrame, buckets: DataFrame, rule: Rule) -> DataFrame:
@@ -287,30 +298,31 @@ def _probe(queries: DataFrame, buckets: DataFrame, rule: Rule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            q = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "a", "b", "part", "value", "block")}
             if not batch.num_rows:
                 continue
+            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            q = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "a", "b", "part", "value", "block")}
             change = (np.diff(q["part"]) != 0) | (np.diff(q["value"]) != 0) | (np.diff(q["block"]) != 0)
             edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                ids, label = _lists(batch, "ids", lo, np.int64), _lists(batch, "label", lo, np.int64)
+                ids, a2, b2, label = _opened(batch.column("bucket")[lo].as_py())
                 order = np.argsort(label, kind="stable")
+                first = ids[label[order]]
                 starts = np.flatnonzero(np.concatenate([[True], np.diff(label[order]) != 0]))
-                a2, b2 = _lists(batch, "as", lo)[order], _lists(batch, "bs", lo)[order]
+                a2, b2 = a2[order].view(np.uint64), b2[order].view(np.uint64)
                 step = max(1, (1 << 20) // len(ids))
                 for i in range(lo, hi, step):
                     j = min(hi, i + step)
                     link = _near(q["a"][i:j].view(np.uint64), q["b"][i:j].view(np.uint64), a2, b2, rule)
-                    row, part = np.nonzero(np.logical_or.reduceat(link, starts, axis=1))
-                    us.append(q["id"][i:j][row])
-                    vs.append(ids[label[order][starts][part]])
+                    hit = np.flatnonzero(link.any(axis=1))
+                    if len(hit):
+                        row, part = np.nonzero(np.logical_or.reduceat(link[hit], starts, axis=1))
+                        us.append(q["id"][i:j][hit][row])
+                        vs.append(first[starts][part])
             u, v = np.concatenate(us), np.concatenate(vs)
             yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
 
-    return queries.join(buckets, ["part", "value", "block"]).select(
-        "part", "value", "block", "id", "a", "b", "ids", "as", "bs", "label"
-    ).mapInArrow(run, _LINK)
+    return queries.join(buckets, ["part", "value", "block"]).select("part", "value", "block", "id", "a", "b", "bucket").mapInArrow(run, _LINK)
 
 
 def _placed(nodes: DataFrame, plan: Plan, probing: bool) -> DataFrame:

@@ -42,6 +42,8 @@ def brute_components(nodes, near):
 def test_fingerprints(words, odd_texts):
     for text in [*odd_texts, "One TWO three", "Ä b Ö", " ".join(words(300, "f"))]:
         assert simhash.fingerprint(text)[0] % (1 << 64) == brute_fingerprint(text)
+    long = " ".join(words(40_000, "many"))
+    assert simhash.fingerprint(long)[0] % (1 << 64) == brute_fingerprint(long)
     assert simhash.fingerprint("A b C d") == simhash.fingerprint("a  B\nc D")
 
 
