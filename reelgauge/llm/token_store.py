@@ -41,6 +41,7 @@ from pyspark.sql.window import Window
 
 from reelgauge.llm.pieces import IdStore, distinct, per_text, portions, spread, text_bytes
 from reelgauge.llm.tables import written
+from reelgauge.operators.ordered import carry_forward
 
 #: Ids and documents of a shard, at most (one long document may exceed the first).
 SHARD_IDS = 2_000_000
@@ -272,31 +273,35 @@ def write(docs: DataFrame, path: str, spec: str, end_id: int | None = 1, text: s
         if keys:
             yield _shard(keys, lengths, payload, encoder.width)
 
-    # The hash of the text splits a key that has many rows; sorting keeps each task's stream in key order.
+    # A key with many rows is split by the hash of the text, and equal rows by the task that read them; sorting
+    # keeps each task's stream in key order.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.withColumn("_h", F.xxhash64("text")).repartitionByRange(n, "key", "_h").sortWithinPartitions("key", "_h")
+    placed = rows.withColumns({"_h": F.xxhash64("text"), "_p": F.spark_partition_id()})
+    ordered = placed.repartitionByRange(n, "key", "_h", "_p").sortWithinPartitions("key", "_h")
     ordered.select("key", "text").mapInArrow(run, _STORE).write.option("parquet.block.size", str(32 << 20)).parquet(path)
 
 
+def _shards(spark, path: str) -> DataFrame:
+    """The shards with their place: ``file``, and ``row`` in it."""
+    place = {"file": F.col("_metadata.file_path"), "row": F.col("_metadata.row_index")}
+    return spark.read.schema(_STORE).parquet(path).withColumns(place)
+
+
 def read(spark, path: str) -> DataFrame:
     """The store's shards with ``start``: the number of ids in all shards before."""
-    shards = spark.read.schema(_STORE).parquet(path)
+    shards = _shards(spark, path)
     # Offsets of shards: totals by file first, so that no window holds more than the shards of one file or one row per file.
-    sizes = shards.select(F.col("_metadata.file_path").alias("file"), "first_key", "last_key", "n_ids", F.xxhash64("keys").alias("shard"))
+    sizes = shards.select("file", "row", "first_key", "last_key", "n_ids")
     files = sizes.groupBy("file").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high"), F.sum("n_ids").alias("n"))
     before = Window.orderBy("low", "high", "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("file").orderBy("first_key", "last_key", "shard").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         sizes.withColumn("within", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
         .join(files, "file")
-        .select("file", "first_key", "shard", (F.col("base") + F.col("within")).alias("start"))
-    )
-    return (
-        shards.withColumns({"file": F.col("_metadata.file_path"), "shard": F.xxhash64("keys")})
-        .join(written(starts, "store-starts"), ["file", "first_key", "shard"])
-        .drop("file", "shard")
+        .select("file", "row", (F.col("base") + F.col("within")).alias("start"))
     )
+    return shards.join(written(starts, "store-starts"), ["file", "row"]).drop("file", "row")
 
 
 _DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -337,27 +342,44 @@ def documents(shards: DataFrame, with_ids: bool = False) -> DataFrame:
     return shards.select("keys", "payload", "index", "width", "n_docs", "start").mapInArrow(run, _DOCUMENTS + (", ids binary" if with_ids else ""))
 
 
+def _located(shards: DataFrame, wanted: DataFrame) -> DataFrame:
+    """file, row, keys: the first shard whose key range has each key, for lists of at most SHARD_DOCS keys.
+
+    Last keys of shards and wanted keys are sorted together, from the largest down, and each key takes the nearest
+    shard above it: one range shuffle of narrow rows, and one value carried from partition to partition.
+    """
+    ends = shards.select(F.col("last_key").alias("key"), "first_key", F.struct("file", "row").alias("shard"))
+    asked = wanted.select("key", F.lit(None).cast("long").alias("first_key"), F.lit(None).cast("struct<file: string, row: bigint>").alias("shard"))
+    # Of shards with one last key the first one comes last, next to the keys asked for.
+    order = [F.col("key").desc(), F.col("shard").desc_nulls_last()]
+    lined = ends.unionByName(asked).withColumn("_asks", F.col("shard").isNull()).repartitionByRange(*order).sortWithinPartitions(*order)
+    lined = written(lined.withColumn("_tag", F.monotonically_increasing_id()), "store-lined")
+    lined = lined.withColumn("_block", F.shiftright("_tag", 33))  # the partition
+    met = carry_forward(lined, ["shard", "first_key"], [], "_block", ["_tag"]).where("_asks AND first_key <= key")
+    some = F.expr(f"_tag div {SHARD_DOCS}").alias("_some")  # bounds a list, whatever is asked for
+    return met.groupBy("shard.file", "shard.row", some).agg(F.collect_list("key").alias("asked")).drop("_some")
+
+
 def lookup(spark, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Keyed access: key, found, n_tokens, ids (32-bit little endian; null if unknown) for the given keys.
+    """Keyed access: key, found, n_tokens, ids (32-bit little endian; null if unknown) for the distinct given keys.
 
-    Keys meet the shards whose key range they lie in; a shard's index then answers without a scan of its keys.
+    A shard's index answers without a scan of its keys; of rows with equal keys the first is given.
     """
-    shards = spark.read.schema(_STORE).parquet(path)
+    shards = _shards(spark, path)
     wanted = keys.select(F.col(f"`{key}`").cast("long").alias("key")).where("key IS NOT NULL").distinct()
-    met = wanted.join(shards, wanted["key"].between(shards["first_key"], shards["last_key"])).select("key", "payload", "index", "width")
+    met = _located(shards, wanted).join(shards, ["file", "row"]).select("asked", "payload", "index", "width")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys_, ids = [], []
             for at in range(batch.num_rows):
-                k = batch.column("key")[at].as_py()
-                known, offset, length = Index(batch.column("index")[at].as_py()).find(np.array([k], np.int64))
-                if known[0]:
-                    width = batch.column("width")[at].as_py()
-                    part = np.frombuffer(batch.column("payload")[at].as_py(), f"<u{width}", int(length[0]), int(offset[0]) * width)
-                    keys_.append(k)
-                    ids.append(part.astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys_, pa.int64()), pa.array(ids, pa.binary())], ["key", "ids"])
+                asked, payload, index, width = (batch.column(c)[at].as_py() for c in ("asked", "payload", "index", "width"))
+                known, offset, length = Index(index).find(np.array(asked, np.int64))
+                ids = [
+                    np.frombuffer(payload, f"<u{width}", n, o * width).astype("<u4").tobytes()
+                    for o, n in zip(offset[known].tolist(), length[known].tolist(), strict=True)
+                ]
+                found = np.array(asked, np.int64)[known]
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(ids, pa.binary())], ["key", "ids"])
 
     hit = met.mapInArrow(run, "key long, ids binary")
     return wanted.join(hit, "key", "left").select(

@@ -175,6 +175,24 @@ def test_store_of_repeated_null_and_no_keys(spark, plain_docs):
     empty = scratch_path(spark, "test-store")
     token_store.write(docs.limit(0), empty, WORD)
     assert token_store.documents(token_store.read(spark, empty)).count() == 0
+    assert [r.found for r in token_store.lookup(spark, empty, docs).collect()] == [False, False]
+
+
+def test_store_of_one_key_in_many_equal_shards(spark, plain_docs):
+    docs = plain_docs([(7, "a b c")] * 200 + [(i, f"w{i} b") for i in range(0, 400, 2)]).repartition(6)
+    path = scratch_path(spark, "test-store")
+    token_store.write(docs, path, WORD, shard_ids=8)
+    shards = spark.read.parquet(path)
+    assert shards.where("first_key = 7 AND last_key = 7").count() > 50
+    got = sorted((r.start, r.n_tokens, r.doc_id) for r in token_store.documents(token_store.read(spark, path)).collect())
+    assert [i for _, _, i in got] == sorted([7] * 200 + list(range(0, 400, 2)))
+    assert got[0][0] == 0 and all(a[0] + a[1] == b[0] for a, b in zip(got, got[1:], strict=False))
+    asked = spark.range(-5, 420).withColumnRenamed("id", "doc_id")
+    found = [(r.doc_id, r.found, r.n_tokens) for r in token_store.lookup(spark, path, asked.union(asked)).collect()]
+    tokens = {i: n for _, n, i in got}
+    assert sorted(found, key=lambda f: f[0]) == [(i, i in tokens, tokens.get(i)) for i in range(-5, 420)]
+    plan = token_store.lookup(spark, path, asked)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 @settings(max_examples=300, deadline=None)
