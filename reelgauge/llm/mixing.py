@@ -70,19 +70,23 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], mix: Mix) -> DataFram
     """levels..., tokens -> levels..., tokens, budget. Tables have one row per node."""
     weights = [*mix.weights, *[{}] * (len(levels) - len(mix.weights))]
     exact = "decimal(20,0)"
-    # Capacities from the leaves up; a node of weight 0 has none.
-    caps = {len(levels): leaves.withColumn("cap", F.col("tokens").cast(exact) * mix.max_epochs)}
+    # Capacities from the leaves up; a node of weight 0 has none. ``offered`` is all a node has.
+    caps = {len(levels): leaves.withColumns({"cap": F.col("tokens").cast(exact) * mix.max_epochs, "offered": F.col("tokens").cast(exact)})}
     for depth in range(len(levels), 0, -1):
         weight = _weight(weights[depth - 1], F.col(levels[depth - 1]), mix.default)
         table = caps[depth].withColumn("weight", weight)
         caps[depth] = table.withColumn("cap", F.when(F.col("weight") > 0, F.col("cap")).otherwise(F.lit(0)).cast(exact))
-        caps[depth - 1] = caps[depth].groupBy(*levels[: depth - 1]).agg(F.sum("cap").cast(exact).alias("cap"))
-    root = leaves.agg(((F.coalesce(F.sum("tokens"), F.lit(0)).cast(exact) * mix.percent).cast("decimal(24,0)")).alias("b"))
-    budget = root.select(F.expr("CAST(b div 100 AS DECIMAL(20,0))").alias("budget"))
-    budget = budget.join(caps[0].select("cap")).select(F.least("budget", "cap").cast(exact).alias("budget"))
+        if depth > 1:
+            caps[depth - 1] = caps[depth].groupBy(*levels[: depth - 1]).agg(*(F.sum(c).cast(exact).alias(c) for c in ("cap", "offered")))
+    # The root's budget is the same sum over the few nodes of the first level, on each of them.
+    top = Window.partitionBy(F.lit(0))
+    share = (F.sum("offered").over(top).cast(exact) * mix.percent).cast("decimal(24,0)")
+    budget = caps[1].withColumn("_share", share).select(
+        levels[0], F.least(F.expr("CAST(_share div 100 AS DECIMAL(20,0))"), F.sum("cap").over(top).cast(exact)).cast(exact).alias("budget")
+    )
     for depth in range(1, len(levels) + 1):
         parent, own = levels[: depth - 1], levels[:depth]
-        children = caps[depth].join(budget, parent) if parent else caps[depth].join(budget)
+        children = caps[depth].join(budget, parent or own)
         siblings = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
         order = siblings.orderBy(F.when(F.col("weight") > 0, F.col("cap").cast("double") / F.col("weight").cast("double")).otherwise(0.0), own[-1])
         dealt = (

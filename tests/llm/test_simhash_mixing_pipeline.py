@@ -213,8 +213,11 @@ def test_budgets(spark, seed):
     mix = mixing.Mix(weights=({"a": 3}, {"x": 0, "y": 5}, {"p": 9}), percent=[30, 80, 150, 400][seed], max_epochs=1 + seed % 3)
     rows = [(*k, v) for k, v in leaves.items()]
     frame = spark.createDataFrame(rows, "domain string, lang string, source string, tokens long")
-    got = {(r.domain, r.lang, r.source): r.budget for r in mixing.leaf_budgets(frame, ["domain", "lang", "source"], mix).collect()}
+    budgets = mixing.leaf_budgets(frame, ["domain", "lang", "source"], mix)
+    got = {(r.domain, r.lang, r.source): r.budget for r in budgets.collect()}
     assert got == brute_budgets(leaves, mix)
+    plan = budgets._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_prefixes_fill_the_budgets(spark, documents, words):
