@@ -24,7 +24,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about AT_ONCE bytes of text."""
-    _, edges = text_bytes(batch.column(column))
+    edges = text_bytes(batch.column(column))[1]
     begin = 0
     while begin < batch.num_rows:
         end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + AT_ONCE, side="right")) - 1)

@@ -36,6 +36,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelgauge.llm.pieces import portions
+
 PIECE = 512
 SMOOTH = 64
 LEVEL = 3
@@ -175,7 +177,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in batches:
+        for batch in (p for whole in batches for p in portions(whole, len(keep))):
             scores = pa.array([scorer.score(t) for t in batch.column(len(keep)).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], scores], [*batch.schema.names[: len(keep)], "score"])
 
@@ -191,7 +193,7 @@ def filtered(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in batches:
+        for batch in (p for whole in batches for p in portions(whole, at)):
             yield batch.filter(pa.array([scorer.score(t) >= threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

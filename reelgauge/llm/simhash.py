@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelgauge.llm.components import components
+from reelgauge.llm.pieces import portions
 from reelgauge.llm.tables import written
 
 BITS = 64
@@ -90,7 +91,7 @@ def fingerprints(docs: DataFrame, rule: Rule = EXACT, text: str = "text", doc_id
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in portions(whole, 1)):
             pairs = [fingerprint(t, rule) for t in batch.column(1).to_pylist()]
             halves = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *halves], ["doc_id", "a", "b"])
