@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _READY: dict[str, Callable[[pd.DataFrame], pd.DataFrame]] = {}
@@ -37,11 +38,14 @@ def batched_map(
     workers: int | None = None,
     profile: ResourceProfile | None = None,
     stage: str = "batched_map",
+    inputs: Sequence[str] | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Apply ``factory()(batch)`` to batches of ``batch_size`` rows.
 
     The factory runs once per Python worker. The function returns one row per input row,
-    in order, with the columns of ``out_schema``; they are appended to the input columns.
+    in order, with the columns of ``out_schema``; they are appended to the kept columns. It sees the ``inputs``; of
+    the table only ``inputs`` and ``keep`` are read and pass through Python (both are all columns unless given).
     When a batch fails its halves are tried, down to single rows, so the function must
     bear being called again on the same rows. A row that fails alone gets nulls and its
     message under ``stage`` in the ``errors`` map. ``workers`` sets the number of partitions; ``profile`` asks Spark for e.g. one accelerator per task.
@@ -50,12 +54,14 @@ def batched_map(
         raise ValueError("batch_size and workers must be positive")
     token = uuid.uuid4().hex
     names = out_schema.fieldNames()
-    source = df.repartition(workers) if workers else df
+    inputs, keep = (list(df.columns if c is None else c) for c in (inputs, keep))
+    slim = df.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, *inputs])))
+    source = slim.repartition(workers) if workers else slim
     error_type = T.MapType(T.StringType(), T.StringType())
-    schema = T.StructType([*source.schema.fields, *out_schema.fields, T.StructField("errors", error_type)])
+    schema = T.StructType([*(source.schema[c] for c in keep), *out_schema.fields, T.StructField("errors", error_type)])
 
     def run(batch: pd.DataFrame, work) -> pd.DataFrame:
-        made = work(batch)
+        made = work(batch[inputs])
         if len(made) != len(batch):
             raise ValueError(f"{len(batch)} rows in, {len(made)} rows out")
         made = made[names].reset_index(drop=True)
@@ -84,6 +90,6 @@ def batched_map(
         work = batched._READY[token]
         for batch in _batches(frames, batch_size):
             parts = [part.astype(object) for part in attempt(batch, work)]
-            yield pd.concat([batch, pd.concat(parts, ignore_index=True)], axis=1)
+            yield pd.concat([batch[keep], pd.concat(parts, ignore_index=True)], axis=1)
 
     return source.mapInPandas(over_partition, schema, profile=profile)

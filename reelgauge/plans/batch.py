@@ -645,7 +645,7 @@ def source_coverage(spark, sf):
 @query
 def batched_map(spark, sf):
     texts = b.captions(spark, sf).select("doc_id", "caption")
-    made = batched.batched_map(texts, fixtures.word_counter, 64, fixtures.WORD_COUNT, stage="words")
+    made = batched.batched_map(texts, fixtures.word_counter, 64, fixtures.WORD_COUNT, stage="words", keep=["doc_id"])
     return made.select("doc_id", "n_words", F.try_element_at("errors", F.lit("words")).alias("error"))
 
 

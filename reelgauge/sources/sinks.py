@@ -1,4 +1,4 @@
-"""Writers: stage CSV, run reports, and writes that leave existing artifacts alone."""
+"""Writers: stage CSV, run reports, the results index, and writes that leave existing artifacts alone."""
 
 from __future__ import annotations
 
@@ -20,6 +20,11 @@ def run_report_write(reports: DataFrame, path: str) -> None:
     reports.select(*sorted(reports.columns)).write.mode("append").json(path)
 
 
+def gallery_index_write(index: DataFrame, path: str) -> None:
+    """The index as JSON lines in files whose names ascend in index order: ``gallery_index`` sorts by ranges."""
+    index.write.mode("overwrite").json(path)
+
+
 def _readable(spark: SparkSession, target: str, key: str) -> DataFrame | None:
     try:
         return spark.read.parquet(target).select(key)

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pandas as pd
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import types as T
 
 from reelgauge.operators import captions, gallery, resources, runs
 from reelgauge.operators.batched import _batches, batched_map
+from reelgauge.sources import sinks
 
 TEXTS = {
     "good": "A man walks.  \n",
@@ -132,6 +134,14 @@ def items(spark, n=23):
     return spark.createDataFrame(rows, "id string, source_video string, duration_span array<double>")
 
 
+def test_index_files_hold_the_index_order(spark, tmp_path):
+    index = gallery.gallery_index(items(spark, 200), "run")
+    sinks.gallery_index_write(index, str(tmp_path / "index"))
+    lines = [json.loads(x) for f in sorted((tmp_path / "index").glob("part-*")) for x in f.read_text().splitlines()]
+    assert [x["id"] for x in lines] == [r.id for r in index.collect()]
+    assert {(x["run_id"], x["item_count"], x["page_size"]) for x in lines} == {("run", 200, 10)}
+
+
 def test_pages_are_clamped_slices_of_the_index(spark):
     table = items(spark)
     ordered = [r.id for r in gallery.gallery_index(table, "run").collect()]
@@ -197,6 +207,14 @@ def test_batched_map_keeps_every_row(spark, lengths, size):
     assert got == {i: (None, {"caption": "ValueError: boom"}) if i % 7 == 0 else (i, None) for i in range(50)}
 
 
+def test_batched_map_sends_only_inputs_and_kept_columns(spark, lengths):
+    df = spark.createDataFrame([(i, "boom" if i == 3 else "x" * i, "wide") for i in range(9)], "id int, text string, extra string")
+    made = batched_map(df, lengths, 4, LENGTHS, inputs=["text"], keep=["id"])
+    assert made.columns == ["id", "n", "errors"]
+    assert {r.id: r.n for r in made.collect()} == {i: None if i == 3 else i for i in range(9)}
+    assert [r.n for r in batched_map(df.where("id <> 3"), lengths, 4, LENGTHS, keep=[], inputs=["text"]).orderBy("n").collect()] == [0, 1, 2, 4, 5, 6, 7, 8]
+
+
 def test_batches_are_exact():
     frames = [pd.DataFrame({"a": range(n)}) for n in (5, 0, 1, 9)]
     assert [len(b) for b in _batches(iter(frames), 4)] == [4, 4, 4, 3]
