@@ -252,6 +252,7 @@ def _lists(batch: pa.RecordBatch, name: str, at: int, kind=np.uint64) -> np.ndar
 
 _BUCKET = "part int, value long, block int, size int, bucket binary"
 _LINK = "u long, v long"
+_PACK = "part int, value long, block int, id array<long>, a array<long>, b array<long>"
 
 
 def _opened(bucket: bytes) -> np.ndarray:
@@ -294,24 +295,47 @@ def _inner_links(buckets: DataFrame) -> DataFrame:
     return buckets.where("size > 1").select("bucket").mapInArrow(run, _LINK)
 
 
-def _probe(queries: DataFrame, buckets: DataFrame, rule: Rule) -> DataFrame:
-    """Links of queries (part, value, block, id, a, b) with the buckets of the same value: one for each part touched."""
+def _packs(part: np.ndarray, value: np.ndarray, block: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Rows that ask the same bucket as one row with lists."""
+    order = np.lexsort((block, value, part))
+    keys = [k[order] for k in (part, value, block)]
+    first = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([np.diff(k) != 0 for k in keys])]))
+    ends = pa.array(np.append(first, len(order)), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(c[order])) for c in (ids, a, b)]
+    return pa.RecordBatch.from_arrays([*(pa.array(k[first]) for k in keys), *lists], ["part", "value", "block", "id", "a", "b"])
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """Rows (part, value, block, id, a, b) packed within each Arrow batch, so that a bucket meets lists and not single rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _packs(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
+
+    return rows.select("part", "value", "block", "id", "a", "b").mapInArrow(run, _PACK)
+
+
+def _probe(asks: DataFrame, buckets: DataFrame, rule: Rule) -> DataFrame:
+    """Links of packed rows with the buckets of the same value: one for each row and part it touches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            q = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "a", "b", "part", "value", "block")}
-            change = (np.diff(q["part"]) != 0) | (np.diff(q["value"]) != 0) | (np.diff(q["block"]) != 0)
+            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "value", "block")]
+            q = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("id", "a", "b")}
+            ends = np.append(0, np.cumsum(batch.column("id").value_lengths().to_numpy(zero_copy_only=False)))
+            change = np.logical_or.reduce([np.diff(k) != 0 for k in keys])
             edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                ids, a2, b2, label = _opened(batch.column("bucket")[lo].as_py())
+            for at, to in zip(edges[:-1], edges[1:], strict=True):
+                ids, a2, b2, label = _opened(batch.column("bucket")[at].as_py())
                 order = np.argsort(label, kind="stable")
                 first = ids[label[order]]
                 starts = np.flatnonzero(np.concatenate([[True], np.diff(label[order]) != 0]))
                 a2, b2 = a2[order].view(np.uint64), b2[order].view(np.uint64)
-                step = max(1, (1 << 20) // len(ids))
+                lo, hi, step = int(ends[at]), int(ends[to]), max(1, (1 << 20) // len(ids))
                 for i in range(lo, hi, step):
                     j = min(hi, i + step)
                     link = _near(q["a"][i:j].view(np.uint64), q["b"][i:j].view(np.uint64), a2, b2, rule)
@@ -323,35 +347,47 @@ def _probe(queries: DataFrame, buckets: DataFrame, rule: Rule) -> DataFrame:
             u, v = np.concatenate(us), np.concatenate(vs)
             yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
 
-    return queries.join(buckets, ["part", "value", "block"]).select("part", "value", "block", "id", "a", "b", "bucket").mapInArrow(run, _LINK)
+    return asks.join(buckets, ["part", "value", "block"]).select("part", "value", "block", "id", "a", "b", "bucket").mapInArrow(run, _LINK)
 
 
-def _placed(nodes: DataFrame, plan: Plan, probing: bool) -> DataFrame:
-    """part, value, id, a, b: own values, or (probing) the larger values within each group's threshold.
+def _placed(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """part, value, id, a, b: every group's own value."""
+    used = [(k, g) for k, (g, t) in enumerate(zip(plan.groups, plan.thresholds, strict=True)) if t >= 0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            for k, group in used:
+                columns = [np.full(len(ids), k, np.int32), values_of(a, group), ids, a, b]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "value", "id", "a", "b"])
+
+    return nodes.select("id", "a", "b").mapInArrow(run, "part int, value long, id long, a long, b long")
+
+
+def _asking(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """Packed rows (block 0) that ask for the larger values within each group's threshold.
 
     Of two values that differ, the smaller one probes the larger one, so each pair of buckets meets once.
     """
-    used = [(k, g, t) for k, (g, t) in enumerate(zip(plan.groups, plan.thresholds, strict=True)) if t >= (1 if probing else 0)]
+    used = [(k, g, t) for k, (g, t) in enumerate(zip(plan.groups, plan.thresholds, strict=True)) if t >= 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             for k, group, t in used:
                 value = values_of(a, group)
-                flips = [0] if not probing else [sum(1 << p for p in c) for size in range(1, t + 1) for c in combinations(range(len(group)), size)]
+                flips = [sum(1 << p for p in c) for size in range(1, t + 1) for c in combinations(range(len(group)), size)]
                 for i in range(0, len(flips), 16):
-                    some = np.array(flips[i : i + 16], np.int64)
-                    near = value[:, None] ^ some[None, :]
-                    row, col = np.nonzero((near > value[:, None]) | (not probing))
+                    near = value[:, None] ^ np.array(flips[i : i + 16], np.int64)[None, :]
+                    row, col = np.nonzero(near > value[:, None])
                     if len(row):
-                        columns = [np.full(len(row), k, np.int32), near[row, col], ids[row], a[row], b[row]]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "value", "id", "a", "b"])
+                        yield _packs(np.full(len(row), k, np.int32), near[row, col], np.zeros(len(row), np.int32), ids[row], a[row], b[row])
 
-    return nodes.select("id", "a", "b").mapInArrow(run, "part int, value long, id long, a long, b long")
+    return nodes.select("id", "a", "b").mapInArrow(run, _PACK)
 
 
 def _hot_links(members: DataFrame, queries: DataFrame, hot: DataFrame, rule: Rule, bucket: int) -> DataFrame:
-    """All links of hot buckets' members and of those who probe them, through leaders and blocks."""
+    """All links of hot buckets' members and of those who probe them (packed), through leaders and blocks."""
     keys = ["part", "value"]
     members = members.join(hot, keys)
     chosen = members.where(F.pmod(F.xxhash64("id", F.lit(1)), F.expr(f"greatest(1L, n div {LEADERS})")) == 0)
@@ -392,7 +428,7 @@ def _hot_links(members: DataFrame, queries: DataFrame, hot: DataFrame, rule: Rul
         return rows.join(leaders, keys, "left").mapInArrow(covered, "part int, value long, id long, a long, b long, n long, leader long")
 
     own = written(tagged(members), "simhash-hot")
-    asks = tagged(queries.join(hot, keys))
+    asks = tagged(queries.join(hot, keys).select(*keys, "n", F.inline(F.arrays_zip("id", "a", "b"))))
     loose = own.where("leader IS NULL").groupBy(*keys).agg(F.count("*").alias("n_loose"))
     all_ = own.withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.expr(f"1 + n div {bucket}")).cast("int"))
     rest = own.where("leader IS NULL").join(loose, keys)
@@ -406,7 +442,7 @@ def _hot_links(members: DataFrame, queries: DataFrame, hot: DataFrame, rule: Rul
     )
     asked = both.withColumn("block", F.explode(span.cast("array<int>"))).select(*keys, "block", "id", "a", "b")
     to_leader = own.unionByName(asks).where("leader IS NOT NULL AND leader <> id").select(F.col("id").alias("u"), F.col("leader").alias("v"))
-    return to_leader.unionByName(_probe(asked, blocks, rule)).unionByName(_leader_links(leaders))
+    return to_leader.unionByName(_probe(_packed(asked), blocks, rule)).unionByName(_leader_links(leaders))
 
 
 def _leader_links(leaders: DataFrame) -> DataFrame:
@@ -417,25 +453,23 @@ def _leader_links(leaders: DataFrame) -> DataFrame:
 def links(nodes: DataFrame, rule: Rule, bucket: int = BUCKET) -> DataFrame:
     """id, a, b (distinct fingerprints) -> u, v: links whose components are those of all pairs within the rule."""
     plan = make_plan(nodes, rule.radius)
-    own = _placed(nodes, plan, probing=False)
+    own = _placed(nodes, plan)
     sizes = own.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
     hot = written(sizes, "simhash-sizes")
     reach = any(t > 0 for t in plan.thresholds)
-    asks = _placed(nodes, plan, probing=True) if reach else None
+    asks = _asking(nodes, plan)
     found = None
     cold, cold_asks = own, asks
     if not hot.isEmpty():
-        no_asks = own.limit(0)
-        found = _hot_links(own, asks if reach else no_asks, hot, rule, bucket)
-        cold = own.join(hot, ["part", "value"], "left_anti")
-        cold_asks = asks.join(hot, ["part", "value"], "left_anti") if reach else None
+        found = _hot_links(own, asks, hot, rule, bucket)
+        cold, cold_asks = (rows.join(hot, ["part", "value"], "left_anti") for rows in (own, asks))
     buckets = _gathered(cold.withColumn("block", F.lit(0)), rule)
     if reach:
         buckets = written(buckets, "simhash-buckets")
     inner = _inner_links(buckets)
     found = inner if found is None else found.unionByName(inner)
     if reach:
-        found = found.unionByName(_probe(cold_asks.withColumn("block", F.lit(0)), buckets, rule))
+        found = found.unionByName(_probe(cold_asks, buckets, rule))
     return found
 
 
