@@ -1,0 +1,54 @@
+"""The near-copy rule: a pair is linked only at a Jaccard similarity of 0.8 or more of the five-word shingle sets."""
+
+import random
+
+import pytest
+
+from reelgauge.llm import simhash
+
+
+def shingles(text, k=5):
+    w = text.lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
+
+
+def jaccard(one, other):
+    a, b = shingles(one), shingles(other)
+    return len(a & b) / len(a | b)
+
+
+def test_pairs_around_the_threshold(plain_docs, words):
+    """No pair below 0.8 is linked, and nine of ten at 0.8 and above are."""
+    rng, rows, pairs = random.Random(8), [], []
+    for i in range(300):
+        w = words(300, f"pair{i}")
+        v, changed = list(w), rng.randrange(2, 70)
+        v[-changed:] = words(changed, f"other{i}")
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+        pairs.append((2 * i, jaccard(rows[-1][1], rows[-2][1])))
+    got = {r.doc_id: r.component_id for r in simhash.classes(plain_docs(rows), simhash.NEAR).collect()}
+    assert all(c in (d - d % 2, d) for d, c in got.items())
+    below = [got[i + 1] == i for i, s in pairs if 0.6 <= s < 0.8]
+    at_least = [got[i + 1] == i for i, s in pairs if s >= 0.8]
+    assert len(below) > 60 and not any(below)
+    assert len(at_least) > 60 and sum(at_least) >= 0.9 * len(at_least)
+
+
+@pytest.mark.parametrize("bucket", [simhash.BUCKET, 40])
+def test_a_shared_passage_removes_nothing(plain_docs, words, bucket):
+    """A thousand documents that share most of their shingles, but none 0.8 with another; and copies of one of them."""
+    n = 1000 if bucket == simhash.BUCKET else 200
+    passage = words(230, "passage")
+    rows = [(i, " ".join([*passage, *words(75, f"own{i}")])) for i in range(n)]
+    assert 0.55 < jaccard(rows[0][1], rows[1][1]) < 0.65
+    copies = [(n + i, rows[7][1] + " " + " ".join(words(1 + i % 9, f"more{i}"))) for i in range(n // 4)]
+    got = {r.doc_id: r.component_id for r in simhash.classes(plain_docs(rows + copies), simhash.NEAR, bucket=bucket).collect()}
+    assert got == {i: i for i in range(n)} | {i: 7 for i, _ in copies}
+
+
+def test_one_fingerprint_of_two_sets(plain_docs, words):
+    """A shingle that is most of a text decides the whole fingerprint, but not the set."""
+    one, other = (" ".join(["same"] * 200 + words(60, seed)) for seed in ("x", "y"))
+    assert simhash.fingerprint(one, simhash.NEAR) == simhash.fingerprint(other, simhash.NEAR)
+    kept = {r.doc_id for r in simhash.deduplicated(plain_docs([(1, one), (2, other), (3, one)])).collect()}
+    assert kept == {1, 2}
