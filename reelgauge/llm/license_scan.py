@@ -1,7 +1,8 @@
 """Licence recognition from sentences.
 
-A text is normalised, cut into sentences, and each sentence is looked up among the known licence
-sentences. The identifiers that are found, in order of appearance, are matched against an ordered
+A text is normalised and cut into sentences, and the known licence sentences are looked up: a known sentence is a whole
+sentence, a whole line, or whole lines that follow one another within a sentence. So notices are found that are wrapped
+over lines, in comments or not, and so are notices of one line without a full stop. The identifiers that are found, in order of appearance, are matched against an ordered
 table of rules, each of them a sequence of identifiers. A rule takes the identifiers it matched out
 of the sequence, so a later, more general rule does not see them; identifiers that no rule took make
 the text ``UNKNOWN``. Everything is built-in functions in one projection: no shuffle, and the text is
@@ -32,6 +33,7 @@ SENTENCES = {
     "licensed under the mit license": "MITRef",
     "this project is licensed under the mit license": "MITRef",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction": "MITGrant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "MITGrant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "MITNotice",
     "this work is licensed under the gnu general public license version 3": "GPLv3",
     "licensed under the gnu general public license version 3": "GPLv3",
@@ -39,6 +41,9 @@ SENTENCES = {
     "this program is free software": "FreeSoftware",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "GPLv3Terms",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "GPLv2Terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "GPLTerms",
+    "either version 3 of the license or at your option any later version": "GPLv3Later",
+    "either version 2 of the license or at your option any later version": "GPLv2Later",
     "licensed under cc by nc 4 0": "CCBYNC4",
     "licensed under cc by 4 0": "CCBY4",
     "licensed under cc by sa 4 0": "CCBYSA4",
@@ -54,6 +59,10 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("MITGrant", "MITNotice")),
     ("GPL-3.0-or-later", ("FreeSoftware", "GPLv3Terms")),
     ("GPL-2.0-or-later", ("FreeSoftware", "GPLv2Terms")),
+    ("GPL-3.0-or-later", ("FreeSoftware", "GPLTerms", "GPLv3Later")),
+    ("GPL-2.0-or-later", ("FreeSoftware", "GPLTerms", "GPLv2Later")),
+    ("BSD-3-Clause", ("AllRights", "BSDGrant", "BSDEndorse")),
+    ("BSD-2-Clause", ("AllRights", "BSDGrant")),
     ("BSD-3-Clause", ("BSDGrant", "BSDEndorse")),
     ("BSD-2-Clause", ("BSDGrant",)),
     ("Apache-2.0", ("ApacheV2",)),
@@ -66,15 +75,24 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Proprietary", ("AllRights",)),
 )
 
-#: A sentence ends at a line break, or at . ; : ! ? before white space or the end.
-_ENDS = r"\n|[.;:!?]+(?=[\x20\x09-\x0D]|$)"
+#: Comment marks that begin a line; they end no sentence.
+_MARKS = r"(?m)^[ \t]*(?:[#*/;!%'|>-]+|(?:dnl|rem)(?=[ \t]))"
+#: A sentence ends at . ; : ! ? before white space or the end, or at a blank line.
+_ENDS = r"[.;:!?]+(?=[\x20\x09-\x0D]|$)"
 
 
-def normalised_sentences(text: Column) -> Column:
-    """Sentences in lower case, every run of other characters than letters and digits as one space."""
-    flat = F.regexp_replace(F.lower(whole(text)), _ENDS, "\n")
-    flat = F.regexp_replace(flat, r"[^\n\p{L}\p{N}]+", " ")
-    return F.split(F.regexp_replace(flat, " ?\n ?", "\n"), "\n")
+def normalised(text: Column) -> Column:
+    """Lower case, every run of other characters than letters and digits as one space, line breaks as one line feed, and
+    the ends of sentences as two or more."""
+    flat = F.regexp_replace(F.lower(whole(text)), _MARKS, "")
+    flat = F.regexp_replace(F.regexp_replace(flat, _ENDS, "\n\n"), r"[^\n\p{L}\p{N}]+", " ")
+    return F.regexp_replace(F.regexp_replace(flat, " ?\n ?", "\n"), "^ +| +$", "")
+
+
+def known_sentences(sentences: Mapping[str, str]) -> str:
+    """Expression for one known sentence that begins and ends where a line or sentence does; longer ones go first."""
+    ordered = sorted(sentences, key=lambda x: (-len(x), x))
+    return "(?<![^\n])(?:" + "|".join(x.replace(" ", "[ \n]") for x in ordered) + ")(?![^\n])"
 
 
 def scan(
@@ -86,9 +104,8 @@ def scan(
 ) -> DataFrame:
     """The kept columns, ``sentence_ids`` and ``licenses`` (both joined by spaces), ``n_unmatched``."""
     table = F.create_map(*(F.lit(x) for pair in sentences.items() for x in pair))
-    known = F.array(*map(F.lit, sentences))
-    found = F.filter(normalised_sentences(F.col("_text")), lambda s: F.array_contains(known, F.trim(s)))
-    ids = F.transform(found, lambda s: table[F.trim(s)])
+    found = F.regexp_extract_all(normalised(F.col("_text")), F.lit(known_sentences(sentences)), F.lit(0))
+    ids = F.transform(found, lambda s: table[F.translate(s, "\n", " ")])
     # A text without the longest word of any sentence has none of them; most texts end at this test.
     hint = F.col("_text").rlike("(?iu)" + "|".join(sorted({max(s.split(), key=len) for s in sentences})))
     out = docs.select(*(F.col(f"`{k}`") for k in keep), F.col(f"`{text}`").alias("_text")).select(
