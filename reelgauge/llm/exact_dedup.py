@@ -10,15 +10,16 @@ splits its hot keys.
 
 Cases: null text is empty; ids may be null (a null id loses every tie and keeps a group only if all
 its ids are null); rows that repeat id and text are told apart only by ``deduplicated``, which
-keeps one of them; an empty table gives an empty result; other columns pass ``deduplicated`` unread.
+keeps one of them; an empty table gives an empty result; other columns, whatever their names, pass ``deduplicated``
+untouched.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from reelgauge.llm.tables import numbered, place, row_tag, without, written
 from reelgauge.llm.words import squeezed, whole
 
 #: No 64-bit id is above this; it stands for a null id.
@@ -64,16 +65,23 @@ def membership(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns: one for each distinct normalised text.
 
-    The text itself is shuffled once more, by id, to meet the ids that stay.
+    Decisions are made on narrow rows, one for each id and text. Whole rows then meet the tags that go in one join.
     """
-    keep = groups(docs, text, doc_id).select(F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_norm_sha", F.sha2(squeezed(F.col(f"`{text}`")).cast("binary"), 256))
-    hit = marked[doc_id].cast("long").eqNullSafe(F.col("_keep")) & (F.col("_norm_sha") == F.col("_sha"))
-    # Rows that repeat both id and text meet here; the longest text is first, and one row stays.
-    one = Window.partitionBy("_keep", "_sha").orderBy(F.length(whole(F.col(f"`{text}`"))).desc(), F.col(f"`{text}`"))
-    return (
-        marked.join(keep, hit)
-        .withColumn("_row", F.row_number().over(one))
-        .where("_row = 1")
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
+    base = numbered(docs)
+    name, whole_text = place(docs, doc_id).cast("long"), place(docs, text)
+    rows = base.select(
+        name.alias("doc_id"),
+        row_tag(name, whole_text).alias("tag"),
+        F.length(whole(whole_text)).alias("chars"),
+        F.unhex(F.sha2(squeezed(whole_text).cast("binary"), 256)).alias("sha"),
+    )
+    rows = written(rows.groupBy("tag", "doc_id", "chars", "sha").agg(F.count("*").alias("n")), "exact-rows")
+    keep = groups(docs, text, doc_id).select(F.unhex("text_sha256").alias("sha"), "keep_id")
+    rows = written(
+        rows.join(keep, "sha").select("sha", "tag", "chars", "n", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("named")), "exact-named"
     )
+    # Rows that repeat the id, too: the longest text stays, then the one with the larger tag.
+    best = rows.where("named").groupBy("sha").agg(F.max(F.struct("chars", "tag")).alias("best"), F.count("*").alias("tags"))
+    tied = written(rows.where("named").join(best.where("tags > 1"), "sha").where("tag <> best.tag").select("tag"), "exact-ties")
+    gone = rows.where("NOT named").select("tag").unionByName(tied)
+    return without(docs, row_tag(name, whole_text), gone, rows.where("named AND n > 1").select("tag"))

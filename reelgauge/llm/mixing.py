@@ -13,8 +13,8 @@ md5(seed:epoch:id) and cut into 4096 blocks by the first three digits. Block tot
 the end of the prefix, and only that block is summed document by document, so no leaf is ever in one task.
 
 Cases: null tokens count as words of the text, null names are the empty name; documents without words
-follow their place in the order; rows with equal ids are taken or left together; a weight of 0 excludes a
-node; an empty table gives an empty result; other columns, and names that clash with the tree's,
+follow their place in the order; a row without an id is ordered by the digest of its text; rows with equal ids, or without
+ids and with equal texts, are taken or left together; a weight of 0 excludes a node; an empty table gives an empty result; other columns, and names that clash with the tree's,
 pass ``mixed`` untouched.
 """
 
@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelgauge.llm.tables import written
-from reelgauge.llm.words import word_array
+from reelgauge.llm.tables import place, written
+from reelgauge.llm.words import whole, word_array
 
 
 @dataclass(frozen=True)
@@ -102,12 +102,17 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], mix: Mix) -> DataFram
     return budget.withColumn("budget", F.col("budget").cast("long"))
 
 
-def _key(seed: int, epoch: Column, doc_id: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def _name(doc_id: Column, text: Column) -> Column:
+    """What a document is ordered by: its id, or the digest of its text if it has none."""
+    return F.coalesce(doc_id.cast("string"), F.md5(whole(text).cast("binary")))
+
+
+def _key(seed: int, epoch: Column, name: Column) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), name).cast("binary"))
 
 
 def leaf_cuts(rows: DataFrame, levels: Sequence[str], mix: Mix) -> DataFrame:
-    """doc_id, levels..., n_tokens -> levels..., tokens, budget, epochs, cut.
+    """name, levels..., n_tokens -> levels..., tokens, budget, epochs, cut.
 
     A document of the leaf is taken ``epochs`` times, and once more if its key in that epoch is <= ``cut``.
     """
@@ -122,7 +127,7 @@ def leaf_cuts(rows: DataFrame, levels: Sequence[str], mix: Mix) -> DataFrame:
         "mix-plan",
     )
     keyed = rows.join(plan.where("left > 0").select(*levels, "epochs", "left"), levels).withColumn(
-        "key", _key(mix.seed, F.col("epochs"), F.col("doc_id"))
+        "key", _key(mix.seed, F.col("epochs"), F.col("name"))
     )
     keyed = keyed.withColumn("block", F.substring("key", 1, 3))
     run = Window.partitionBy(*levels).orderBy("block")
@@ -134,9 +139,11 @@ def leaf_cuts(rows: DataFrame, levels: Sequence[str], mix: Mix) -> DataFrame:
         .select(*levels, "block", (F.col("left") - (F.col("upto") - F.col("n"))).alias("room")),
         "mix-ends",
     )
-    inside = Window.partitionBy(*levels).orderBy("key")  # equal keys are summed together
+    inside = Window.partitionBy(*levels).orderBy("key")
     cut = (
         keyed.join(ends, [*levels, "block"])
+        .groupBy(*levels, "block", "room", "key")  # equal keys are one, however many rows have them
+        .agg(F.sum("n_tokens").alias("n_tokens"))
         .withColumn("upto", F.sum("n_tokens").over(inside))
         .groupBy(*levels, "block")
         .agg(F.max(F.when(F.col("upto") <= F.col("room"), F.col("key"))).alias("last"))
@@ -147,10 +154,12 @@ def leaf_cuts(rows: DataFrame, levels: Sequence[str], mix: Mix) -> DataFrame:
 
 
 def _narrow(docs: DataFrame, levels: Mapping[str, Column], text: str, doc_id: str) -> DataFrame:
+    name, whole_text = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
     return docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"),
-        *(F.coalesce(c, F.lit("")).alias(name) for name, c in levels.items()),
-        F.size(word_array(F.col(f"`{text}`"))).cast("long").alias("n_tokens"),
+        name.alias("doc_id"),
+        _name(name, whole_text).alias("name"),
+        *(F.coalesce(c, F.lit("")).alias(level) for level, c in levels.items()),
+        F.size(word_array(whole_text)).cast("long").alias("n_tokens"),
     )
 
 
@@ -164,7 +173,7 @@ def copies(docs: DataFrame, levels: Mapping[str, Column] | None = None, mix: Mix
     # Texts are read once; counts and keys are made from the narrow table.
     rows = written(_narrow(docs, levels, text, doc_id), "mix-rows")
     cuts = leaf_cuts(rows, list(levels), mix)
-    once_more = F.coalesce(_key(mix.seed, F.col("epochs"), F.col("doc_id")) <= F.col("cut"), F.lit(False))
+    once_more = F.coalesce(_key(mix.seed, F.col("epochs"), F.col("name")) <= F.col("cut"), F.lit(False))
     return rows.join(cuts, list(levels)).select(
         "doc_id", *levels, "n_tokens", F.col("tokens").alias("leaf_tokens"), F.col("budget").alias("leaf_budget"),
         (F.col("epochs") + once_more.cast("long")).alias("copies"),
@@ -179,11 +188,17 @@ def mixed(docs: DataFrame, levels: Mapping[str, Column] | None = None, mix: Mix
     levels = levels or tree_of_documents()
     rows = written(_narrow(docs, levels, text, doc_id), "mix-rows")
     cuts = leaf_cuts(rows, list(levels), mix)
-    names = {n: f"_leaf_{i}" for i, n in enumerate(levels)}
-    cuts = cuts.select(*(F.col(n).alias(names[n]) for n in levels), F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"))
-    once_more = F.coalesce(_key(mix.seed, F.col("_epochs"), F.col(f"`{doc_id}`")) <= F.col("_cut"), F.lit(False))
-    taken = docs.withColumns({names[n]: F.coalesce(c, F.lit("")) for n, c in levels.items()}).join(cuts, list(names.values()))
-    taken = taken.withColumn("_copies", F.col("_epochs") + once_more.cast("long")).where("_copies > 0")
+    # Columns by number: no name of the table's own can clash with a helper's.
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    leaf = [f"leaf{i}" for i in range(len(levels))]
+    cuts = cuts.select(*(F.col(n).alias(x) for n, x in zip(levels, leaf, strict=True)), "epochs", "cut")
+    taken = docs.select(
+        *(F.col(f"`{c}`").alias(x) for c, x in zip(docs.columns, columns, strict=True)),
+        *(F.coalesce(c, F.lit("")).alias(x) for c, x in zip(levels.values(), leaf, strict=True)),
+    ).join(cuts, leaf)
+    name = _name(place(docs, doc_id), place(docs, text))
+    once_more = F.coalesce(_key(mix.seed, F.col("epochs"), name) <= F.col("cut"), F.lit(False))
+    taken = taken.withColumn("copies", F.col("epochs") + once_more.cast("long")).where("copies > 0")
     if mix.max_epochs > 1:
-        taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return taken.select(*(F.col(f"`{c}`") for c in docs.columns))
+        taken = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return taken.select(*columns).toDF(*docs.columns)

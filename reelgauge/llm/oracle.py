@@ -141,7 +141,8 @@ _DOMAIN = "CASE" + "".join(f" WHEN source IN ({', '.join(map(_quoted, v))}) THEN
 _MIXING = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, {_DOMAIN} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-    CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_W}+'), lambda x: x <> '')) AS BIGINT) AS n_tokens FROM documents),
+    CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_W}+'), lambda x: x <> '')) AS BIGINT) AS n_tokens,
+    coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS name FROM documents),
 leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL),
 v3 AS (SELECT *, {_case("source", _M.weights[2], _M.default)} AS weight FROM leaf),
 c3 AS (SELECT * EXCLUDE (tokens), CASE WHEN weight > 0 THEN tokens * {_M.max_epochs} ELSE 0 END AS cap FROM v3),
@@ -152,7 +153,7 @@ c1 AS (SELECT domain, weight, CASE WHEN weight > 0 THEN s ELSE 0 END AS cap FROM
 b0 AS (SELECT least((SELECT sum(tokens) FROM leaf) * {_M.percent} // 100, (SELECT sum(cap) FROM c1)) AS budget),{_dealt(1, "", "domain")},{_dealt(2, "domain", "lang")},{_dealt(3, "domain, lang", "source")},
 plan AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS remainder
   FROM leaf JOIN b3 USING (domain, lang, source)),
-keyed AS (SELECT d.*, tokens, budget, epochs, remainder, md5('{_M.seed}:' || CAST(epochs AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM d JOIN plan USING (domain, lang, source)),
+keyed AS (SELECT d.*, tokens, budget, epochs, remainder, md5('{_M.seed}:' || CAST(epochs AS VARCHAR) || ':' || name) AS key FROM d JOIN plan USING (domain, lang, source)),
 sums AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS upto FROM keyed)
 SELECT doc_id, domain, lang, source, n_tokens, CAST(tokens AS BIGINT) AS leaf_tokens, CAST(budget AS BIGINT) AS leaf_budget,
   CAST(epochs AS BIGINT) + CASE WHEN remainder > 0 AND upto <= remainder THEN 1 ELSE 0 END AS copies FROM sums

@@ -2,7 +2,7 @@
 
 Fingerprints. A text is lower-cased (A-Z), cut into words and shingles, and each bit says whether more than half of
 the shingles' hashes have it. 64-bit fingerprints use XXH64 (seed 42). Wide ones have 128 bits (XXH3), of
-which either half finds candidates; ``near_classes`` links them by their shingle sets.
+which the first half finds candidates and both are compared.
 
 Search. ``bits`` are grouped so that correlated bits share a group (correlations are counted over all distinct
 fingerprints). If two fingerprints differ in at most r bits and the groups have thresholds t_1..t_m with
@@ -19,17 +19,20 @@ Hot buckets (more than BUCKET members) would be one task. They have leaders inst
 members linked to the leaders' main part are connected already and need only be compared with members that are not,
 while these are compared with all, in blocks. So a cluster of near copies costs what its size is, and no link is lost.
 
-Copies with one fingerprint are one node from the start, so groups of exact copies never meet pairwise.
+Copies with one fingerprint are one node from the start, so groups of exact copies never meet pairwise. Nodes are
+fingerprints and never ids, so repeated and null ids join nothing that the texts do not join.
 
-Cases: null texts are empty, and texts without words have fingerprint 0 and link like any other; ids may repeat (each
-row gets the result of its fingerprint); rows with a null id get their fingerprint's component, and a component without
-any id is null; an empty table gives an empty result; other columns pass ``deduplicated`` unread.
+Cases: null texts are empty, and texts without words have fingerprint 0 and link like any other; ids may be null or repeat
+(each row gets the result of its fingerprint); a component's id is the smallest of its rows', null if none has one; an
+empty table gives an empty result; other columns, whatever their names, pass ``deduplicated`` untouched. It keeps one row of
+each component: one with the component's id; of several such rows the one whose digest of id and text is smallest, and
+of rows equal in both any one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 
 from reelgauge.llm.components import components
 from reelgauge.llm.pieces import portions
-from reelgauge.llm.tables import written
+from reelgauge.llm.tables import numbered, place, row_tag, without, written
 
 BITS = 64
 BUCKET = 4096
@@ -60,17 +63,8 @@ class Rule:
     total: int = 128
 
 
-#: The contract's rule, and the one for near copies with a similarity of 0.8 or more on five words: two sets of
-#: similarity 0.8 have a cosine of 0.889, so about 19 of 128 bits differ.
+#: The contract's rule.
 EXACT = Rule()
-NEAR = Rule(words=5, radius=12, wide=True, total=19)
-#: Near copies share at least SHARED of every OF distinct shingles (a Jaccard similarity of 0.8).
-SHARED, OF = 4, 5
-#: Pairs whose shingle sets are compared: about 19 of 20 pairs of similarity 0.8 differ in at most 27 of 128 bits and in
-#: at most 12 of one half or of the other.
-CANDIDATES = replace(NEAR, total=27)
-#: A cheap first search that connects most of a large group.
-CLOSE = replace(NEAR, radius=4)
 
 
 def _shingled(text: str | None, rule: Rule) -> Iterator[np.ndarray]:
@@ -99,45 +93,26 @@ def _majority(pieces: list[np.ndarray] | Iterator[np.ndarray], rule: Rule) -> tu
     return halves[0], halves[1] if rule.wide else 0
 
 
-def _distinct(pieces: list[np.ndarray]) -> np.ndarray:
-    """The first 64 bits of the hashes, sorted, each once."""
-    return np.unique(np.concatenate([np.zeros(0, "<u8"), *(np.ascontiguousarray(p[:, :8]).view("<u8")[:, 0] for p in pieces)]))
-
-
 def fingerprint(text: str | None, rule: Rule = EXACT) -> tuple[int, int]:
     """Two signed 64-bit halves; the second is 0 unless the rule is wide."""
     return _majority(_shingled(text, rule), rule)
 
 
-def shingle_set(text: str | None, rule: Rule = NEAR) -> np.ndarray:
-    """Hashes (64 bits) of the text's distinct shingles, sorted."""
-    return _distinct(list(_shingled(text, rule)))
-
-
-def set_digest(hashes: np.ndarray) -> int:
-    return int(np.array(xxhash.xxh3_64_intdigest(hashes.astype("<u8").tobytes()), np.uint64).astype(np.int64))
-
-
-def similar(one: np.ndarray, other: np.ndarray) -> bool:
-    """Whether two shingle sets have a Jaccard similarity of SHARED / OF or more."""
-    low, high = sorted((len(one), len(other)))
-    if OF * low < SHARED * high:
-        return False
-    both = len(np.intersect1d(one, other, assume_unique=True))
-    return OF * both >= SHARED * (low + high - both)
-
-
-def fingerprints(docs: DataFrame, rule: Rule = EXACT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, a, b of every row."""
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def fingerprints(docs: DataFrame, rule: Rule = EXACT, text: str = "text", doc_id: str = "doc_id", tagged: bool = False) -> DataFrame:
+    """doc_id, a, b of every row; if ``tagged``, the row's tag as well."""
+    rows = numbered(docs)
+    name, whole_text = place(docs, doc_id).cast("long"), place(docs, text)
+    tag = row_tag(name, whole_text) if tagged else F.lit(None).cast("binary")
+    rows = rows.select(name.alias("doc_id"), tag.alias("tag"), whole_text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for whole in batches for p in portions(whole, 1)):
-            pairs = [fingerprint(t, rule) for t in batch.column(1).to_pylist()]
+        for batch in (p for whole in batches for p in portions(whole, 2)):
+            pairs = [fingerprint(t, rule) for t in batch.column(2).to_pylist()]
             halves = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *halves], ["doc_id", "a", "b"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *halves], ["doc_id", "tag", "a", "b"])
 
-    return rows.mapInArrow(run, "doc_id long, a long, b long")
+    found = rows.mapInArrow(run, "doc_id long, tag binary, a long, b long")
+    return found if tagged else found.drop("tag")
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -514,227 +489,29 @@ def links(nodes: DataFrame, rule: Rule, bucket: int = BUCKET) -> DataFrame:
     return found
 
 
-_KEYS = ["part", "value", "block"]
-_FIELDS = ("id", "a", "b", "known")
-_ASK = "part int, value long, " + ", ".join(f"{c} array<long>" for c in _FIELDS)
-_PAIR = "u long, v long, d int"
-
-
-def _asks(keys: dict[str, np.ndarray], fields: list[np.ndarray]) -> pa.RecordBatch:
-    """Rows that ask the same bucket as one row with lists."""
-    order = np.lexsort(list(keys.values())[::-1])
-    sorted_ = [k[order] for k in keys.values()]
-    first = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([np.diff(k) != 0 for k in sorted_])]))
-    ends = pa.array(np.append(first, len(order)), pa.int32())
-    lists = [pa.ListArray.from_arrays(ends, pa.array(f[order])) for f in fields]
-    return pa.RecordBatch.from_arrays([*(pa.array(k[first]) for k in sorted_), *lists], [*keys, *_FIELDS])
-
-
-def _met(mine: np.ndarray, theirs: np.ndarray, rule: Rule) -> Iterator[pa.RecordBatch]:
-    """u < v and their distance d for all pairs of two packs (id, a, b, known) within the rule and not known to be connected."""
-    if mine.size and theirs.size and (mine[3] == mine[3][0]).all() and (theirs[3] == mine[3][0]).all():
-        return
-    a2, b2 = theirs[1].view(np.uint64), theirs[2].view(np.uint64)
-    step = max(1, (1 << 20) // max(theirs.shape[1], 1))
-    for i in range(0, mine.shape[1], step):
-        part = mine[:, i : i + step]
-        first = np.bitwise_count(part[1].view(np.uint64)[:, None] ^ a2[None, :])
-        row, col = np.nonzero((first <= rule.radius) & (part[3][:, None] != theirs[3][None, :]))
-        d = first[row, col].astype(np.int32) + np.bitwise_count(part[2].view(np.uint64)[row] ^ b2[col])
-        near = d <= rule.total
-        u, v = part[0][row[near]], theirs[0][col[near]]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(d[near].astype(np.int32))], ["u", "v", "d"])
-
-
-def candidates(nodes: DataFrame, rule: Rule, bucket: int = BUCKET) -> DataFrame:
-    """id, a, b, known -> u, v, d: every pair within the rule, except pairs with the same ``known`` (connected already).
-
-    Unlike ``links`` this leaves no pair to a chain of others, since the pairs are still to be judged. Hot buckets come in
-    blocks. Of two members that are not connected, one is outside the bucket's largest connected group, so only those
-    members ask the other blocks.
-    """
-    plan = make_plan(nodes, rule.radius)
-    used = [(k, g, t) for k, (g, t) in enumerate(zip(plan.groups, plan.thresholds, strict=True)) if t >= 0]
-    names = ["part", "value", *_FIELDS]
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fields = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            for k, group, _ in used:
-                out = [np.full(batch.num_rows, k, np.int32), values_of(fields[1], group), *fields]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names)
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fields = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            for k, group, t in used:
-                value = values_of(fields[1], group)
-                flips = [sum(1 << p for p in c) for size in range(1, t + 1) for c in combinations(range(len(group)), size)]
-                for i in range(0, len(flips), 16):
-                    near = value[:, None] ^ np.array(flips[i : i + 16], np.int64)[None, :]
-                    row, col = np.nonzero(near > value[:, None])
-                    if len(row):
-                        yield _asks({"part": np.full(len(row), k, np.int32), "value": near[row, col]}, [f[row] for f in fields])
-
-    def ask_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-                yield _asks(dict(zip(_KEYS, columns[:3], strict=True)), columns[3:])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [np.stack([_lists(batch, c, at, np.int64) for c in _FIELDS]).astype("<i8").tobytes() for at in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], [*_KEYS, "bucket"])
-
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                found = [m.filter(pa.array(m.column(0).to_numpy() < m.column(1).to_numpy())) for m in _met(_opened(data), _opened(data), rule)]
-                yield from found
-
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                mine = np.stack([_lists(batch, c, at, np.int64) for c in _FIELDS])
-                yield from _met(mine, _opened(batch.column("bucket")[at].as_py()), rule)
-
-    rows = nodes.select(*_FIELDS)
-    own = rows.mapInArrow(place, "part int, value long, " + ", ".join(f"{c} long" for c in _FIELDS))
-    hot = written(own.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "simhash-sizes")
-    blocked, loose = own.withColumn("block", F.lit(0)), None
-    if not hot.isEmpty():
-        groups = own.join(hot, ["part", "value"]).groupBy("part", "value", "known", "n").agg(F.count("*").alias("size"))
-        main = written(groups.groupBy("part", "value", "n").agg(F.max_by("known", F.struct("size", "known")).alias("main")), "simhash-main")
-        blocked = own.join(main, ["part", "value"], "left").withColumn(
-            "block", F.expr(f"int(pmod(xxhash64(id, 2), 1 + coalesce(n div {bucket}, 0)))")
-        )
-        loose = (
-            blocked.where("n IS NOT NULL AND known <> main")
-            .withColumn("block", F.explode(F.expr(f"filter(sequence(0, int(n div {bucket})), x -> x <> block)")))
-            .select(*_KEYS, *_FIELDS).mapInArrow(ask_block, _ASK.replace("value long,", "value long, block int,"))
-        )
-    gathered = blocked.groupBy(*_KEYS).agg(F.collect_list(F.struct(*_FIELDS)).alias("members"))
-    arrays = gathered.select(*_KEYS, *(F.col(f"members.{c}").alias(c) for c in _FIELDS))
-    buckets = written(arrays.mapInArrow(pack, "part int, value long, block int, bucket binary"), "simhash-buckets")
-    found = buckets.where(F.length("bucket") > 32).select("bucket").mapInArrow(inside, _PAIR)
-    if loose is not None:
-        found = found.unionByName(loose.join(buckets, _KEYS).select(*_FIELDS, "bucket").mapInArrow(across, _PAIR))
-    if any(t > 0 for *_, t in used):
-        asked = rows.mapInArrow(ask, _ASK).join(buckets, ["part", "value"])
-        found = found.unionByName(asked.select(*_FIELDS, "bucket").mapInArrow(across, _PAIR))
-    return found.distinct()
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """u, v of the pairs whose shingle sets are similar; docs: _h (hash of the text), _text.
-
-    Sets are made only for nodes of these pairs, from a text with the node's hash.
-    """
-    pairs = written(pairs, "simhash-pairs")
-    ends = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    wanted = written(nodes.join(ends, "id", "left_semi").select("id", "s", F.col("h").alias("_h")), "simhash-wanted")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
-        for batch in (p for whole in batches for p in portions(whole, 2)):
-            ids, sets = [], []
-            for i, s, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                if i not in done:
-                    hashes = shingle_set(text, rule)
-                    if set_digest(hashes) == s:
-                        done.add(i)
-                        ids.append(i)
-                        sets.append(hashes.astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["id", "hashes"])
-
-    sets = docs.join(wanted, "_h").select("id", "s", "_text").mapInArrow(cut, "id long, hashes binary")
-    sets = written(sets.groupBy("id").agg(F.min("hashes").alias("hashes")), "simhash-sets")
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [
-                similar(np.frombuffer(batch.column(2)[i].as_py(), "<u8"), np.frombuffer(batch.column(3)[i].as_py(), "<u8"))
-                for i in range(batch.num_rows)
-            ]
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    one, other = (sets.select(F.col("id").alias(c), F.col("hashes").alias(f"of_{c}")) for c in "uv")
-    both = pairs.select("u", "v").join(one, "u").join(other, "v").select("u", "v", "of_u", "of_v")
-    return written(both.mapInArrow(judge, _LINK), "simhash-links")
-
-
-def _known(nodes: DataFrame, links_: DataFrame) -> DataFrame:
-    """nodes with ``known``, the component by the links; written."""
-    found = components(links_).withColumnRenamed("node", "id")
-    named = nodes.drop("known").join(found, "id", "left")
-    return written(named.withColumn("known", F.coalesce("component", "id")).drop("component"), "simhash-known")
-
-
-def _apart(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose ends are not known to be connected, with the components ku and kv of the ends."""
-    ku, kv = (nodes.select(F.col("id").alias(c), F.col("known").alias(f"k{c}")) for c in "uv")
-    return pairs.join(ku, "u").join(kv, "v").where("ku <> kv")
-
-
-def near_classes(docs: DataFrame, rule: Rule = NEAR, text: str = "text", doc_id: str = "doc_id", bucket: int = BUCKET) -> DataFrame:
-    """doc_id, a, b, component_id of every row; links are pairs with a Jaccard similarity of 0.8 or more of their shingle sets.
-
-    Nodes are distinct shingle sets. Large groups are connected first by links to representatives, each of them verified
-    (CLOSE). Then all candidate pairs between what is not yet connected are listed, from both halves of the fingerprint.
-    Of these the closest pair of each node and component is judged first, and then all that are still apart.
-    """
-    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
-    texts = texts.withColumn("_h", F.xxhash64("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for whole in batches for p in portions(whole, 1)):
-            out = []
-            for t in batch.column(1).to_pylist():
-                pieces = list(_shingled(t, rule))
-                out.append((*_majority(pieces, rule), set_digest(_distinct(pieces))))
-            columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["doc_id", "h", "a", "b", "s"])
-
-    rows = written(texts.select("doc_id", "_text", "_h").mapInArrow(run, "doc_id long, h long, a long, b long, s long"), "simhash-rows")
-    nodes = rows.groupBy("a", "b", "s").agg(F.min("doc_id").alias("least"), F.min("h").alias("h"))
+def _grouped(rows: DataFrame, rule: Rule, bucket: int) -> DataFrame:
+    """doc_id, a, b, ... -> the same with ``group`` (a number of the component) and ``component_id``."""
+    nodes = rows.groupBy("a", "b").agg(F.min("doc_id").alias("least"))
+    # Written, so that a lost executor can't number the nodes anew.
     nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
-    content = texts.select("_h", "_text")
-    links_ = _verified(links(nodes, replace(rule, radius=min(rule.radius, CLOSE.radius)), bucket).distinct(), nodes, content, rule)
-    nodes = _known(nodes, links_)
-    loose = replace(rule, total=CANDIDATES.total)
-    turned = nodes.select("id", F.col("b").alias("a"), F.col("a").alias("b"), "known")
-    pairs = written(candidates(nodes, loose, bucket).unionByName(candidates(turned, loose, bucket)).distinct(), "simhash-candidates")
-    ends = _apart(pairs, nodes)
-    ends = ends.select("u", "v", "d", "u", "kv").toDF("u", "v", "d", "one", "other").unionByName(
-        ends.select("u", "v", "d", "v", "ku").toDF("u", "v", "d", "one", "other")
-    )
-    closest = ends.groupBy("one", "other").agg(F.min(F.struct("d", "u", "v")).alias("p")).select("p.u", "p.v").distinct()
-    links_ = links_.unionByName(_verified(closest, nodes, content, rule))
-    rest = pairs.select("u", "v").join(closest, ["u", "v"], "left_anti")
-    nodes = _known(nodes, links_)
-    links_ = links_.unionByName(_verified(_apart(rest, nodes).select("u", "v"), nodes, content, rule))
-    nodes = _known(nodes, links_)
-    names = nodes.groupBy("known").agg(F.min("least").alias("component_id"))
-    named = nodes.join(names, "known").select("a", "b", "s", "component_id")
-    return rows.join(named, ["a", "b", "s"], "left").select("doc_id", "a", "b", "component_id")
+    found = components(links(nodes.select("id", "a", "b"), rule, bucket))
+    named = nodes.join(found, nodes["id"] == found["node"], "left").withColumn("group", F.coalesce("component", "id"))
+    names = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    return rows.join(named.select("a", "b", "group").join(names, "group"), ["a", "b"], "left")
 
 
 def classes(docs: DataFrame, rule: Rule = EXACT, text: str = "text", doc_id: str = "doc_id", bucket: int = BUCKET) -> DataFrame:
     """doc_id, a, b, component_id of every row."""
-    if rule.wide:
-        return near_classes(docs, rule, text, doc_id, bucket)
     rows = written(fingerprints(docs, rule, text, doc_id), "simhash-rows")
-    nodes = written(rows.groupBy("a", "b").agg(F.min("doc_id").alias("id")).where("id IS NOT NULL"), "simhash-nodes")
-    found = components(links(nodes, rule, bucket))
-    named = nodes.join(found, nodes["id"] == found["node"], "left").select("a", "b", F.coalesce("component", "id").alias("component_id"))
-    return rows.join(named, ["a", "b"], "left").select("doc_id", "a", "b", "component_id")
-
-
-def deduplicated(docs: DataFrame, rule: Rule = NEAR, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The document with the smallest id of every component, and all rows without an id; all columns.
-
-    Rows that repeat the kept id all stay: equal rows are the exact operator's task.
-    """
-    gone = classes(docs, rule, text, doc_id).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id].cast("long") == F.col("_gone"), "left_anti")
+    return _grouped(rows, rule, bucket).select("doc_id", "a", "b", "component_id")
+
+
+def deduplicated(docs: DataFrame, rule: Rule = EXACT, text: str = "text", doc_id: str = "doc_id", bucket: int = BUCKET) -> DataFrame:
+    """One row of every component, with all its columns."""
+    rows = written(fingerprints(docs, rule, text, doc_id, tagged=True), "simhash-rows")
+    rows = written(_grouped(rows, rule, bucket).select("doc_id", "tag", "group", "component_id"), "simhash-groups")
+    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    several = rows.where(named).groupBy("group").agg(F.count("*").alias("n"), F.min("tag").alias("keep")).where("n > 1")
+    tied = written(rows.where(named).join(several, "group").groupBy("tag", "keep").agg(F.count("*").alias("n")), "simhash-ties")
+    gone = rows.where(~named).select("tag").unionByName(tied.where("tag <> keep").select("tag")).distinct()
+    return without(docs, row_tag(place(docs, doc_id).cast("long"), place(docs, text)), gone, tied.where("tag = keep AND n > 1").select("tag"))

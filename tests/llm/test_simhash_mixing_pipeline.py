@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelgauge.llm import components, mixing, simhash
+from reelgauge.llm import components, exact_dedup, mixing, simhash
 from reelgauge.llm.simhash import Rule
 
 SF = "/root/testdata/sf0.001"
@@ -136,30 +136,57 @@ def test_classes_of_odd_documents(spark, plain_docs, odd_texts, words):
     assert simhash.classes(plain_docs([])).count() == 0
 
 
-def shingles(text, k=5):
-    w = text.lower().split()
-    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
-
-
-def test_near_rule_follows_similarity(plain_docs, words):
-    """Pairs of known similarity: nearly all at 0.9 or more are found, none below 0.6, and no unrelated texts."""
-    rng, rows, pairs = random.Random(3), [], []
-    for i in range(150):
-        w = words(300, f"n{i}")
-        v = list(w)
-        for at in rng.sample(range(300), rng.choice([1, 2, 12, 20, 30])):
-            v[at] = "zz" + v[at]
-        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
-        a, b = shingles(rows[-1][1]), shingles(rows[-2][1])
-        pairs.append((2 * i, len(a & b) / len(a | b)))
-    got = {r.doc_id: r.component_id for r in simhash.classes(plain_docs(rows), simhash.NEAR).collect()}
-    assert all(c in (d - d % 2, d) for d, c in got.items())
-    close = [got[i + 1] == i for i, s in pairs if s >= 0.9]
-    far = [got[i + 1] == i for i, s in pairs if s < 0.6]
-    assert len(close) > 20 and sum(close) >= 0.95 * len(close)
-    assert len(far) > 20 and not any(far)
-    kept = {r.doc_id for r in simhash.deduplicated(plain_docs(rows)).collect()}
-    assert kept == {d for d, c in got.items() if c == d}
+HELPERS = ["a", "b", "c0", "c1", "tag", "row", "n", "sha", "best", "keep", "group", "named", "name", "leaf0", "epochs", "cut", "copies", "copy", "_row", "_keep", "_sha", "_gone", "_copies", "_cut", "domain", "key"]
+
+
+@pytest.fixture(scope="module")
+def crowded(plain_docs):
+    """A documents table with an extra column for every helper name, each with a value of its own."""
+
+    def make(rows):
+        docs = plain_docs(rows)
+        return docs.select(*(F.lit(f"mine {h}").alias(h) for h in HELPERS[:9]), *docs.columns, *(F.lit(f"mine {h}").alias(h) for h in HELPERS[9:]))
+
+    return make
+
+
+def untouched(frame):
+    return all(r[h] == f"mine {h}" for r in frame.collect() for h in HELPERS)
+
+
+@pytest.mark.parametrize("bucket", [4096, 4])
+def test_one_document_of_each_group_stays(crowded, words, bucket):
+    """Repeated ids, null ids and repeated rows; the same id may be in two groups."""
+    one, other, third = (" ".join(words(300, x)) for x in "abc")
+    rows = [(5, one), (9, one.upper()), (2, other), (5, other + " "), (None, one), (None, third), (None, third), (None, third.upper()), (7, ""), (7, None), (8, " ")]
+    rows += [(100 + i, other.replace(" ", "  ", i)) for i in range(12)]
+    docs = crowded(rows)
+    got = simhash.deduplicated(docs, bucket=bucket)
+    assert got.columns == docs.columns and untouched(got)
+    kept = [(r.doc_id, (r.text or "").lower().strip()) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted([(5, one), (2, other), (None, third), (7, "")], key=str)
+    assert simhash.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_exact_copies_keep_ids_and_names(crowded):
+    rows = [(5, "one text"), (5, "two text"), (3, "two  text"), (3, "two  text"), (5, "onetext"), (None, "x y"), (None, "x y"), (None, "xy"), (1, None), (2, "")]
+    docs = crowded(rows)
+    got = exact_dedup.deduplicated(docs)
+    assert got.columns == docs.columns and untouched(got)
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert kept == sorted([(5, "one text"), (3, "two  text"), (None, "x y"), (1, None)], key=str)
+
+
+def test_mixing_without_ids(crowded):
+    """A third of a leaf has no ids; budgets are met to one document, whatever the columns are called."""
+    rows = [(i if i % 3 else None, " ".join([f"w{i}"] * 10)) for i in range(2100)]
+    docs = crowded(rows)
+    for percent in (43, 71):
+        mix = mixing.Mix(percent=percent, max_epochs=1)
+        got = mixing.mixed(docs, {"part": F.lit("p")}, mix)
+        assert got.columns == docs.columns and untouched(got)
+        assert got.count() == 21 * percent
+        assert sum(r.copies for r in mixing.copies(docs, {"part": F.lit("p")}, mix).collect()) == 21 * percent
 
 
 def waterfill(budget, children):
@@ -268,8 +295,8 @@ def test_pipeline_against_brute_force(spark):
     for i, t in rows.items():
         groups["".join(c for c in t if c not in " \t\n\x0b\x0c\r")].append((-len(t), i))
     rows = {min(g)[1]: rows[min(g)[1]] for g in groups.values()}
-    prints = [(i, tuple(x % (1 << 64) for x in simhash.fingerprint(t, simhash.NEAR))) for i, t in sorted(rows.items())]
-    near = brute_components(prints, lambda x, y: (d := (x[0] ^ y[0]).bit_count()) <= 12 and d + (x[1] ^ y[1]).bit_count() <= 19)
+    prints = [(i, brute_fingerprint(t)) for i, t in sorted(rows.items())]
+    near = brute_components(prints, lambda x, y: (x ^ y).bit_count() <= 2)
     left = {i for i, c in near.items() if i == c}
     kept = docs.where(F.col("doc_id").isin(list(left)))
     want = {r.doc_id for r in mixing.copies(kept, mix=corpus_pipeline.MIX).collect() if r.copies}
