@@ -33,9 +33,9 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies (five words, similarity 0.8 or more)."""
+    """One document of every group of near copies (three-word shingles, at most 2 of 64 bits apart)."""
     ship_package(spark)
-    return simhash.deduplicated(docs)
+    return simhash.deduplicated(docs, simhash.EXACT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
