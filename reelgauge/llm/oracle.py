@@ -159,6 +159,82 @@ SELECT doc_id, domain, lang, source, n_tokens, CAST(tokens AS BIGINT) AS leaf_to
   CAST(epochs AS BIGINT) + CASE WHEN remainder > 0 AND upto <= remainder THEN 1 ELSE 0 END AS copies FROM sums
 """
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.k AS anchor, a.vec_id AS anchor_id, v.k, v.vec_id, v.label = a.label AS same,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.q, v.q), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.vec_id % 100 = 0 AND a.k <> v.k),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf(text: str) -> str:
+    values = [f"CAST({f} AS VARCHAR)" for f in _FIELDS[:-1]] + [text]
+    return "sha256(" + " || ".join(f"coalesce(CAST(octet_length(encode({v})) AS VARCHAR) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _merkle(levels: int) -> str:
+    """Trees of up to 8 ** levels leaves, and as many groups; a level is a pair of tables."""
+    # The checksum byte by byte: a step xors a byte, eight shift.
+    crc = (
+        "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),"
+        " lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda r, x: CASE WHEN x >= 0 THEN xor(r, x)"
+        " ELSE xor(r >> 1, (r & 1) * 3988292384) END), 4294967295::BIGINT)"
+    )
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"""d AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {_leaf(lowered)} END AS shown FROM documents),
+w0 AS (
+  SELECT row_number() OVER () AS k, doc_id, lang, leaf, coalesce(shown, leaf) AS folded, '' AS proof,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+n0 AS (SELECT lang, pos, n, leaf AS hash FROM w0)"""
+    ]
+
+    def climb(at: int, group: str) -> str:
+        """Nodes and ways of the next level; ``group`` names the tree."""
+        same = f"r.{group} IS NOT DISTINCT FROM w.{group}"
+        return f"""
+r{at} AS (SELECT {group}, pos // 8 AS up, max(n) AS n, array_agg(hash ORDER BY pos) AS hashes FROM n{at - 1} GROUP BY ALL),
+n{at} AS (SELECT {group}, up AS pos, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(array_to_string(hashes, '')) ELSE hashes[1] END AS hash FROM r{at}),
+w{at} AS (
+  SELECT w.* EXCLUDE (folded, proof, pos, n), w.pos // 8 AS pos, (w.n + 7) // 8 AS n,
+    CASE WHEN w.n > 1 THEN sha256(array_to_string(hashes[:w.pos % 8], '') || folded || array_to_string(hashes[w.pos % 8 + 2:], '')) ELSE folded END AS folded,
+    CASE WHEN w.n > 1 THEN proof || array_to_string(hashes[:w.pos % 8], '') || array_to_string(hashes[w.pos % 8 + 2:], '') ELSE proof END AS proof
+  FROM w{at - 1} AS w JOIN r{at} AS r ON {same} AND r.up = w.pos // 8)"""
+
+    parts += [climb(at, "lang") for at in range(1, levels + 1)]
+    top = levels + 1
+    parts.append(
+        f"""
+t AS (SELECT lang, hash, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM n{levels}),
+n{top} AS (SELECT 0 AS tree, pos, n, hash FROM t),
+w{top} AS (SELECT w.k, w.doc_id, w.leaf, t.hash AS subroot, 0 AS tree, w.folded, w.proof, t.pos, t.n FROM w{levels} AS w JOIN t ON w.lang IS NOT DISTINCT FROM t.lang)"""
+    )
+    parts += [climb(at, "tree") for at in range(top + 1, top + levels + 1)]
+    last = top + levels
+    return (
+        "WITH "
+        + ",".join(parts)
+        + f"""
+SELECT doc_id, leaf, subroot, hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = hash AS verified
+FROM w{last} AS w JOIN n{last} AS n ON n.pos = w.pos
+"""
+    )
+
+
 ORACLE = {
     "op3_chat_format": _CHAT,
     "op4_source_mixing": _MIXING,
@@ -166,4 +242,6 @@ ORACLE = {
     "op7_license_scan": _LICENSES,
     "op8_quality_rules": _QUALITY,
     "op9_url_filter": _URLS,
+    "op11_hard_negatives": _NEGATIVES,
+    "op12_merkle_manifest": _merkle(7),
 }

@@ -12,7 +12,10 @@ from reelgauge.llm import (
     bpe,
     chat_format,
     exact_dedup,
+    hard_negatives,
+    language_id,
     license_scan,
+    merkle,
     mixing,
     quality_classifier,
     quality_rules,
@@ -20,6 +23,7 @@ from reelgauge.llm import (
     token_store,
     url_filter,
 )
+from reelgauge.llm.words import lower_ascii
 from reelgauge.session import scratch_path
 
 
@@ -95,6 +99,31 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claimed = F.when(tampered, merkle.leaf_of(docs, fields, text=lower_ascii(F.col("text"))))
+    proofs = merkle.proofs(merkle.manifest(docs, fields, group="lang", order="doc_id", claimed=claimed))
+    return proofs.select(
+        F.col("order").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs, held_out=1)).select(
+        "doc_id", F.coalesce(language_id.in_fold(F.col("doc_id"), 1), F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,5 +137,8 @@ QUERIES = {
         op8_quality_rules,
         op9_url_filter,
         op10_bpe,
+        op11_hard_negatives,
+        op12_merkle_manifest,
+        op13_language_id,
     )
 } | {"pipeline": corpus_pipeline.run}
