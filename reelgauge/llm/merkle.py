@@ -187,10 +187,9 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, cla
     nodes = nodes.withColumns({c: F.when(~arrived, F.col(c)) for c in ("pt", "plevel", "ppos")})
     nodes = _jumped(written(nodes, "merkle-nodes"), height, height - 1 + over)
     subroots = tops.withColumnRenamed("hash", "subroot").select("t", "subroot")
-    return Manifest(
-        runs, nodes.where(f"t <> {TOP} AND level = 1").select("t", "pos", "way"),
-        trees.select("t", "group").join(subroots, "t"), None if first is None else first["hash"],
-    )
+    # One row per group, of a size that Spark knows: runs need not be shuffled by group to meet it.
+    trees = written(trees.select("t", "group").join(subroots, "t"), "merkle-groups")
+    return Manifest(runs, nodes.where(f"t <> {TOP} AND level = 1").select("t", "pos", "way"), trees, None if first is None else first["hash"])
 
 
 def proofs(found: Manifest) -> DataFrame:
