@@ -276,10 +276,31 @@ def _opened(bucket: bytes) -> np.ndarray:
     return np.frombuffer(bucket, "<i8").reshape(4, -1)
 
 
-def _gathered(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Buckets with the part of each member, packed. Groups are bounded: hot values come in blocks."""
+def _members(rows: DataFrame) -> DataFrame:
+    """Buckets as arrays of their members. Groups are bounded: hot values come in blocks."""
     grouped = rows.groupBy("part", "value", "block").agg(F.collect_list(F.struct("id", "a", "b")).alias("members"))
-    arrays = grouped.select("part", "value", "block", *(F.col(f"members.{c}").alias(c) for c in ("id", "a", "b")))
+    return grouped.select("part", "value", "block", *(F.col(f"members.{c}").alias(c) for c in ("id", "a", "b")))
+
+
+def _spanning(rows: DataFrame, rule: Rule) -> DataFrame:
+    """A link from every member of a bucket to the first of its part, in one pass over buckets that nobody else asks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for at in range(batch.num_rows):
+                ids, a, b = (_lists(batch, c, at) for c in ("id", "a", "b"))
+                us.append(ids.view(np.int64))
+                vs.append(ids.view(np.int64)[parts_of(a, b, rule)])
+            u, v = np.concatenate(us), np.concatenate(vs)
+            yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
+
+    return _members(rows).where(F.size("id") > 1).select("id", "a", "b").mapInArrow(run, _LINK)
+
+
+def _gathered(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Buckets with the part of each member, packed."""
+    arrays = _members(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -479,14 +500,14 @@ def links(nodes: DataFrame, rule: Rule, bucket: int = BUCKET) -> DataFrame:
     if not hot.isEmpty():
         found = _hot_links(own, asks, hot, rule, bucket)
         cold, cold_asks = (rows.join(hot, ["part", "value"], "left_anti") for rows in (own, asks))
-    buckets = _gathered(cold.withColumn("block", F.lit(0)), rule)
-    if reach:
-        buckets = written(buckets, "simhash-buckets")
+    cold = cold.withColumn("block", F.lit(0))
+    if not reach:
+        inner = _spanning(cold, rule)
+        return inner if found is None else found.unionByName(inner)
+    buckets = written(_gathered(cold, rule), "simhash-buckets")
     inner = _inner_links(buckets)
     found = inner if found is None else found.unionByName(inner)
-    if reach:
-        found = found.unionByName(_probe(cold_asks, buckets, rule))
-    return found
+    return found.unionByName(_probe(cold_asks, buckets, rule))
 
 
 def _grouped(rows: DataFrame, rule: Rule, bucket: int) -> DataFrame:
