@@ -42,7 +42,7 @@ def unsafe_member(path: Column) -> Column:
 
 def checked_member(path: Column) -> Column:
     """The path itself; the query fails when it is unsafe."""
-    message = F.concat(F.lit("Unsafe tar member path: "), path)
+    message = F.concat(F.lit("member "), path, F.lit(" would leave the target folder"))
     return F.when(unsafe_member(path), F.raise_error(message)).otherwise(path)
 
 

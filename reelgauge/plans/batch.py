@@ -11,7 +11,7 @@ from reelgauge.functions import numeric, paths, text
 from reelgauge.functions.ids import uuid5
 from reelgauge.operators import audit, batched, captions, gallery, inventory, planning, ranking, resources, runs, stages
 from reelgauge.plans import bindings as b
-from reelgauge.plans import fixtures
+from reelgauge.plans import fixtures, run_folder
 from reelgauge.session import scratch_path
 from reelgauge.sources import files, sinks, tar
 
@@ -38,11 +38,11 @@ def _big(name: str) -> Column:
 
 @query
 def media_inventory(spark, sf):
-    listed = fixtures.mixed_listing(spark, sf)
-    found = listed.where(paths.is_media(F.col("media_path")))
-    return found.select("media_path", "size_bytes", F.lower(paths.suffix(F.col("media_path"))).alias("suffix")).orderBy(
-        "media_path"
-    )
+    folder = scratch_path(spark, "media")
+    fixtures.write_media(spark, sf, folder)
+    found = files.media_inventory(spark, folder)
+    relative = F.substring("media_path", F.length(paths.plain_path(F.lit(folder))) + 2, F.length("media_path"))
+    return found.select(relative.alias("media_path"), "size_bytes", F.lower(paths.suffix(F.col("media_path"))).alias("suffix"))
 
 
 @query
@@ -62,6 +62,13 @@ def tar_members(spark, sf):
     )
 
 
+def _window_text(window: Column) -> Column:
+    """Frames, caption key and the digest of the caption text of a window."""
+    captions = F.map_filter(window, lambda k, _: ~k.isin("start_frame", "end_frame"))
+    key, caption = F.map_keys(captions)[0], F.map_values(captions)[0]
+    return F.concat_ws(":", window["start_frame"], window["end_frame"], key, F.md5(caption.cast("binary")))
+
+
 @query
 def clip_meta_read(spark, sf):
     folder = scratch_path(spark, "metas")
@@ -74,7 +81,7 @@ def clip_meta_read(spark, sf):
         F.col("duration_span")[0].alias("start_s"),
         F.col("duration_span")[1].alias("end_s"),
         F.size("windows").cast("bigint").alias("n_windows"),
-        F.col("windows")[0]["end_frame"].alias("first_end_frame"),
+        F.array_join(F.transform("windows", _window_text), " ").alias("windows_text"),
         F.coalesce("valid", F.lit(False)).alias("valid"),
         F.array_join(F.map_keys(failures), ",").alias("error_stages"),
         F.array_join(F.map_values(failures), ",", "none").alias("error_messages"),
@@ -137,13 +144,33 @@ def gpu_samples_csv(spark, sf):
 
 @query
 def run_report_write(spark, sf):
-    folder = scratch_path(spark, "reports")
-    sinks.run_report_write(fixtures.run_reports(spark, sf), folder)
+    """Two runs write the files of a run folder by stages; the second one fails before its last stage."""
+    reports, tables = scratch_path(spark, "reports"), fixtures.run_tables(spark, sf)
+    for run_id in ("whole", "broken"):
+        folder = scratch_path(spark, "run")
+        try:
+            with run_folder.recorded_run(spark, folder, reports, run_id, "batch") as stages_:
+                for stage, rows in tables.items():
+                    if run_id == "broken" and stage == "markers":
+                        raise RuntimeError("worker lost")
+                    stages_.run(stage, rows, lambda df, at=folder: fixtures.write_files(df, at), chars=F.sum(F.length("body")))
+        except RuntimeError:
+            pass
     line = F.col("value")
-    return spark.read.text(folder).select(
+    number = lambda path, name: F.get_json_object(line, f"$.{path}").cast("double").cast("bigint").alias(name)
+    return spark.read.text(reports).select(
         F.get_json_object(line, "$.run_id").alias("run_id"),
+        F.get_json_object(line, "$.status").alias("status"),
+        F.get_json_object(line, "$.error").alias("error"),
         F.array_join(F.json_object_keys(line), ",").alias("report_keys"),
-        F.get_json_object(line, "$.artifacts.clip_files").cast("double").alias("clip_files"),
+        number("artifacts.clip_files", "clip_files"),
+        number("artifacts.file_count", "file_count"),
+        number("stage_metrics.clips_written", "clips_written"),
+        number("stage_metrics.videos_done", "videos_done"),
+        number("stage_metrics.clips_rows", "clips_rows"),
+        number("stage_metrics.clips_chars", "clips_chars"),
+        number("stage_metrics.metas_rows", "metas_rows"),
+        number("stage_metrics.markers_rows", "markers_rows"),
     )
 
 

@@ -23,19 +23,57 @@ def _suffixed(doc_id):
     return F.element_at(options, (doc_id % 7 + 1).cast("int"))
 
 
-def mixed_listing(spark: SparkSession, sf: str) -> DataFrame:
-    """A file listing with media and other suffixes in either case."""
-    docs = b.table(spark, sf, "documents")
-    path = F.concat(F.lit("/input/"), "source", F.lit("/"), F.col("doc_id").cast("string"), _suffixed(F.col("doc_id")))
-    return docs.select(path.alias("media_path"), (F.col("n_chars") * 37).alias("size_bytes"))
-
-
 def write_input_list(spark: SparkSession, sf: str, folder: str) -> None:
     """Padded paths with a blank line after every entry."""
     lines = F.array(F.concat(F.lit("  "), "media_path", F.lit(" \t")), F.lit("   "))
     b.media(spark, sf).select(F.explode(lines).alias("value")).write.text(folder)
 
 
+def _file_writer(folder: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        made: set[str] = set()
+        for frame in frames:
+            for name, body in zip(frame["name"], frame["body"], strict=True):
+                parent, final = f"{inner}/{name}".rsplit("/", 1)[0], f"{inner}/{name}"
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with system.open_output_stream(final) as sink:
+                    sink.write(body.encode())
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    return write
+
+
+def write_files(rows: DataFrame, folder: str) -> None:
+    """One file for each row of (name, body); a repeated task writes the same files again."""
+    named = rows.select("name", "body").repartition("name")
+    named.mapInPandas(_file_writer(folder), "n bigint").write.format("noop").mode("overwrite").save()
+
+
+def write_media(spark: SparkSession, sf: str, folder: str) -> None:
+    """A file for each document, below a folder for each source, media and others in either case."""
+    docs = b.table(spark, sf, "documents")
+    name = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), _suffixed(F.col("doc_id")))
+    write_files(docs.select(name.alias("name"), F.col("text").alias("body")), folder)
+
+
+def run_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The files of a run folder as (name, body) by stage: metadata documents, clips, markers of the sources."""
+    docs = b.clip_docs(spark, sf).drop("metadata_path")
+    clips = docs.where("clip_no % 10 <> 0")
+    done = docs.where("clip_no % 4 <> 0").select("source_video").distinct()
+    mark = F.concat(F.lit("processed_videos/"), F.regexp_extract("source_video", r"(\d+)", 1), F.lit(".json"))
+    return {
+        "metas": docs.select(F.concat(F.lit("metas/v0/"), "span_uuid", F.lit(".json")).alias("name"), F.to_json(F.struct(*[c for c in docs.columns if c != "clip_no"])).alias("body")),
+        "clips": clips.select(F.concat(F.lit("clips/"), "span_uuid", F.when(F.col("clip_no") % 9 == 0, ".part").otherwise(".mp4")).alias("name"), F.col("span_uuid").alias("body")),
+        "markers": done.select(mark.alias("name"), F.to_json(F.struct(F.col("source_video").alias("video"))).alias("body")),
+    }
+
+
 def _tar_writer(folder: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs

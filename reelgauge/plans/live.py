@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgauge.plans import bindings as b
@@ -26,20 +28,26 @@ def _source(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return m.file_stream(spark, path, known.schema)
 
 
-def _captions(spark: SparkSession, sf: str) -> DataFrame:
-    return b.caption_columns(b.event_columns(_source(spark, sf, "events")))
+def _captions(raw: DataFrame) -> DataFrame:
+    return b.caption_columns(b.event_columns(raw))
 
 
-def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    target, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-cp")
-    m.drain(stream, target, checkpoint)
-    return spark.read.schema(stream.schema).parquet(target)
+def _fed(spark: SparkSession, rows: DataFrame, part: Column, drain: Callable[[DataFrame], object]) -> None:
+    """Three parts of a table (numbered 0 to 2) come one after the other, and each is drained by a start of its own."""
+    folder = scratch_path(spark, "stream-in")
+    for number in range(3):
+        rows.where(part == number).write.mode("append").parquet(folder)
+        drain(m.file_stream(spark, folder, rows.schema))
 
 
-def _updated(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
-    """Every window with its newest figures, the open ones included."""
-    target = scratch_path(spark, "stream-out")
-    m.drain_batches(stream, target, scratch_path(spark, "stream-cp"), mode="update")
+#: Thirds of the month.
+THIRD = "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"
+
+
+def _updated(spark: SparkSession, sf: str, shape: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """Every window with its newest figures, the open ones included, over three batches."""
+    target, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-cp")
+    _fed(spark, b.table(spark, sf, "events"), F.expr(THIRD), lambda raw: m.drain_batches(shape(_captions(raw)), target, checkpoint, mode="update"))
     return m.newest(spark.read.parquet(target), keys)
 
 
@@ -51,31 +59,36 @@ def _windows_as_text(df: DataFrame) -> DataFrame:
 def stream_clip_plan(spark, sf):
     manifest = b.media_columns(_source(spark, sf, "documents"))
     plan = m.stream_clip_plan(manifest).select("media_path", "clip_index", "start_s", "end_s")
-    return _drained(spark, plan)
+    target = scratch_path(spark, "stream-out")
+    m.drain(plan, target, scratch_path(spark, "stream-cp"))
+    return spark.read.schema(plan.schema).parquet(target)
 
 
 @query
 def stream_dedup_media(spark, sf):
-    target = scratch_path(spark, "paths-out")
-    m.drain_new_paths(_captions(spark, sf), target, scratch_path(spark, "paths-cp"))
+    """Paths come again in later batches, which compare with what the earlier ones planned."""
+    target, checkpoint = scratch_path(spark, "paths-out"), scratch_path(spark, "paths-cp")
+    _fed(spark, b.table(spark, sf, "events"), F.expr(THIRD), lambda raw: m.drain_new_paths(_captions(raw), target, checkpoint))
     return spark.read.parquet(target).select("media_path")
 
 
 @query
 def stream_tumbling_rates(spark, sf):
-    return _windows_as_text(_updated(spark, m.stream_tumbling_rates(_captions(spark, sf)), ["window_start", "ip"]))
+    return _windows_as_text(_updated(spark, sf, m.stream_tumbling_rates, ["window_start", "ip"]))
 
 
 @query
 def stream_sliding_rates(spark, sf):
-    return _windows_as_text(_updated(spark, m.stream_sliding_rates(_captions(spark, sf)), ["window_start"]))
+    return _windows_as_text(_updated(spark, sf, m.stream_sliding_rates, ["window_start"]))
 
 
 @query
 def stream_idle_sessions(spark, sf):
-    closed = _drained(spark, m.stream_idle_sessions(_captions(spark, sf)))
-    tail = m.open_sessions(b.caption_events(spark, sf), closed)
-    return _windows_as_text(closed.unionByName(tail))
+    """Sessions the stream gave out, and those it still holds; nothing is computed from the table itself."""
+    target, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-cp")
+    _fed(spark, b.table(spark, sf, "events"), F.expr(THIRD), lambda raw: m.drain(m.stream_idle_sessions(_captions(raw)), target, checkpoint))
+    tail = m.open_sessions(spark, checkpoint)
+    return _windows_as_text(spark.read.schema(tail.schema).parquet(target).unionByName(tail))
 
 
 @query
@@ -105,25 +118,22 @@ def stream_transitions(spark, sf):
 
 @query
 def stream_idempotent_sink(spark, sf):
+    """Three batches; before the second and the third start the last batch loses its commit, so it is replayed."""
     target, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "sink-cp")
-    for _ in range(2):  # the second start finds its checkpoint and nothing left to do
-        m.drain_batches(_captions(spark, sf), target, checkpoint)
+
+    def start(raw):
+        m.forget_last_commit(spark, checkpoint)
+        m.drain_batches(_captions(raw), target, checkpoint)
+
+    _fed(spark, b.table(spark, sf, "events"), F.expr(THIRD), start)
     written = spark.read.parquet(target).drop("batch_id")
     return written.withColumn("ts", when_text("ts", micros=True))
 
 
 @query
 def stream_late_drop(spark, sf):
-    """The second half of the month arrives first, so all of the first half is late."""
-    folder, target, checkpoint = (scratch_path(spark, n) for n in ("late-in", "late-out", "late-cp"))
-    events = b.events(spark, sf).select("ts")
-    cut = F.lit("2024-01-16").cast("timestamp")
-    late = 0
-    for part in (events.where(F.col("ts") >= cut), events.where(F.col("ts") < cut)):
-        part.write.mode("append").parquet(folder)
-        counts = m.stream_counts(m.file_stream(spark, folder, events.schema))
-        late += m.dropped_by_watermark(m.drain_batches(counts, target, checkpoint, mode="update"))
-    updates = spark.read.parquet(target)
-    newest = updates.groupBy("window_start").agg(F.max_by("n", "batch_id").alias("n"))
-    kept = newest.select(when_text("window_start").alias("window_start"), "n")
-    return kept.withColumn("saw_late_rows", F.lit(late > 0))
+    """Every fifth event comes one third later than it should; those whose window has ended by then are counted apart."""
+    target, checkpoint = scratch_path(spark, "late-out"), scratch_path(spark, "late-cp")
+    part = F.least(F.lit(2), F.expr(THIRD) + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0))
+    _fed(spark, b.table(spark, sf, "events"), part, lambda raw: m.drain_counts(b.event_columns(raw).select("ts"), target, checkpoint))
+    return m.window_counts(spark, target).select(when_text("window_start").alias("window_start"), "n", "n_late")

@@ -173,14 +173,14 @@ _UNIT_TOTALS = ", ".join(
 _MINUTES = "CAST(epoch_us({0}) - epoch_us({1}) AS DOUBLE) / 6e7"
 
 ORACLE: dict[str, str] = {
-    "media_inventory": f"""SELECT '/input/' || source || '/' || doc_id || {_SUFFIX} AS media_path, n_chars * 37 AS size_bytes, {_LAST_SUFFIX} AS suffix
+    "media_inventory": f"""SELECT source || '/' || doc_id || {_SUFFIX} AS media_path, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, {_LAST_SUFFIX} AS suffix
         FROM documents WHERE doc_id % 7 NOT IN (3, 4)""",
     "input_list": _with(_MEDIA) + "SELECT media_path FROM media",
     "tar_members": f"""SELECT CASE WHEN doc_id % 10 = 9 THEN '../' ELSE '60s/' END || doc_id || {_SUFFIX} AS member_path, {_LAST_SUFFIX} AS suffix,
         CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, doc_id % 10 = 9 AS is_unsafe, CASE WHEN doc_id % 10 <> 9 THEN sha256(text) END AS checksum
         FROM documents WHERE doc_id % 7 NOT IN (3, 4)""",
     "clip_meta_read": _with(_CLIPS) + """SELECT span_uuid, source_video, start_s, end_s, n_windows,
-        CAST((SELECT min(place) FROM turns t WHERE t.clip_id = span_uuid) * 256 + 256 AS VARCHAR) AS first_end_frame, valid,
+        (SELECT string_agg(place * 256 || ':' || (place + 1) * 256 || ':' || caption_key || ':' || md5(text), ' ' ORDER BY place) FROM turns t WHERE t.clip_id = span_uuid) AS windows_text, valid,
         CASE WHEN clip_no % 6 = 0 THEN stage END AS error_stages,
         CASE WHEN clip_no % 12 = 0 THEN 'none' WHEN clip_no % 6 = 0 THEN message END AS error_messages FROM docs""",
     "processed_read": _with(_MEDIA, _PROCESSED) + "SELECT DISTINCT media_path FROM processed",
@@ -196,8 +196,12 @@ ORACLE: dict[str, str] = {
         CAST(0 AS BIGINT) AS slots_empty, round(tasks_per_actor_s, 6) AS tasks_per_actor_s FROM state""",
     "gpu_samples_csv": _with(_GPU) + f"""SELECT {_text('ts', True)} AS ts, gpu, CAST(utilization AS DOUBLE) AS utilization, CAST(memory_used AS DOUBLE) AS memory_used,
         CAST(memory_total AS DOUBLE) AS memory_total, CAST(power AS DOUBLE) AS power FROM samples""",
-    "run_report_write": _with(_RUNS) + """SELECT run_id, 'artifacts,config,environment,' || CASE WHEN failures > windows THEN 'error,' ELSE '' END || 'output_tasks,run_id,status,wall_time_s' AS report_keys,
-        CAST(clips AS DOUBLE) AS clip_files FROM runs""",
+    "run_report_write": _with(_CLIPS) + """, n AS (SELECT count(*) AS metas, count(*) FILTER (WHERE clip_no % 10 <> 0) AS clips, count(*) FILTER (WHERE clip_no % 10 <> 0 AND clip_no % 9 <> 0) AS videos,
+        count(DISTINCT source_video) FILTER (WHERE clip_no % 4 <> 0) AS markers, coalesce(sum(length(span_uuid)) FILTER (WHERE clip_no % 10 <> 0), 0) AS chars FROM docs)
+        SELECT run_id, CASE WHEN ok THEN 'succeeded' ELSE 'failed' END AS status, CASE WHEN NOT ok THEN 'RuntimeError: worker lost' END AS error,
+        'artifacts,config,' || CASE WHEN ok THEN '' ELSE 'error,' END || 'execution_mode,output_tasks,run_id,stage_metrics,status,throughput_clips_per_s,throughput_videos_per_s,wall_time_s' AS report_keys,
+        videos AS clip_files, metas + clips + CASE WHEN ok THEN markers ELSE 0 END AS file_count, videos AS clips_written, CASE WHEN ok THEN markers ELSE 0 END AS videos_done,
+        clips AS clips_rows, CAST(chars AS BIGINT) AS clips_chars, metas AS metas_rows, CASE WHEN ok THEN markers END AS markers_rows FROM n, (VALUES ('whole', true), ('broken', false)) v(run_id, ok)""",
     "run_report_read": _with(_RUNS) + """SELECT run_id, CASE WHEN failures > windows THEN 'failed' ELSE 'succeeded' END AS status, CAST(seconds AS DOUBLE) AS wall_time_s,
         videos AS output_tasks, 'clip_files,windows' AS artifact_names, CASE WHEN failures > windows THEN failures || ' failures' END AS error,
         round(CAST(videos AS DOUBLE) / seconds, 6) AS videos_per_s, round(CAST(clips AS DOUBLE) / seconds, 6) AS clips_per_s FROM runs""",
@@ -397,6 +401,9 @@ ORACLE: dict[str, str] = {
     "stream_stage_gap": """SELECT CASE WHEN ts < TIMESTAMP '2024-01-21' THEN 'main' ELSE 'resume' END AS run_id, count(*) FILTER (WHERE event_type = 'signup') AS up_completed,
         count(*) FILTER (WHERE event_type = 'view') AS down_completed, greatest(count(*) FILTER (WHERE event_type = 'signup') - count(*) FILTER (WHERE event_type = 'view'), 0) AS gap FROM events GROUP BY 1""",
     "stream_idempotent_sink": _with(_CAPTION_EVENTS) + f"SELECT ip, {_text('ts', True)} AS ts, n_captions, media_path FROM caption_events",
-    "stream_late_drop": f"SELECT {_text('w')} AS window_start, n, true AS saw_late_rows FROM (SELECT date_trunc('hour', ts) AS w, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY 1)",
+    "stream_late_drop": f"""WITH p AS (SELECT ts, least(2, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) AS part FROM events WHERE ts IS NOT NULL),
+        m AS (SELECT a.part, max(b.ts) - INTERVAL '10 minutes' AS mark FROM (SELECT DISTINCT part FROM p) a JOIN p b ON b.part < a.part GROUP BY 1),
+        w AS (SELECT date_trunc('hour', ts) AS w, coalesce(date_trunc('hour', ts) + INTERVAL '1 hour' <= mark, false) AS late FROM p LEFT JOIN m USING (part))
+        SELECT {_text('w')} AS window_start, count(*) FILTER (WHERE NOT late) AS n, count(*) FILTER (WHERE late) AS n_late FROM w GROUP BY w""",
 }
 ORACLE["stream_transitions"] = ORACLE["ready_transitions"]

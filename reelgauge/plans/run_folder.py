@@ -6,18 +6,20 @@ The folder holds ``clips/``, ``metas/v0/``, ``processed_videos/`` and
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from reelgauge.functions.paths import plain_path
 from reelgauge.operators import audit, gallery, inventory, planning, stages
 from reelgauge.schemas import CLIP_DOCUMENT, RUN_REPORT
-from reelgauge.sources import files
+from reelgauge.sources import files, sinks
 
 
 def _or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: str | StructType) -> DataFrame:
@@ -72,9 +74,9 @@ def pending_media(spark: SparkSession, input_path: str, run_dir: str) -> DataFra
 
 
 def processed_chunks(spark: SparkSession, run_dir: str) -> DataFrame:
-    """One row per chunk marker with the source it belongs to; markers have the shape of video markers."""
+    """One row per chunk marker file with the source it belongs to; markers have the shape of video markers."""
     folder = f"{run_dir.rstrip('/')}/processed_clip_chunks"
-    return _or_empty(spark, lambda: files.processed_read(spark, folder), "media_path string")
+    return _or_empty(spark, lambda: files.marker_read(spark, folder), "media_path string, marker_path string")
 
 
 def selected_inputs(spark: SparkSession, folder: str, listed: str | None = None, first: int | None = None) -> DataFrame:
@@ -102,15 +104,15 @@ def input_problems(spark: SparkSession, folder: str, listed: str | None = None)
 
 def run_report(
     spark: SparkSession, run_dir: str, run_id: str, wall_time_s: float, execution_mode: str, settings: Mapping[str, str] | None = None,
-    error: str | None = None,
+    error: str | None = None, stage_sums: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """One report row computed from what the run left in its folder: artifacts, throughput, state of its stages."""
+    """One report row computed from what the run left in its folder: artifacts and throughput; ``stage_sums`` come from the run itself."""
     listing, docs = run_listing(spark, run_dir), run_documents(spark, run_dir)
     figures = audit.artifact_metrics(listing, docs)
     named = figures.select(F.concat_ws("_", "metric", "suffix").alias("name"), F.col("value").cast("double").alias("value"))
     artifacts = named.agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("artifacts"))  # one entry per file suffix
     done = processed_media(spark, run_dir).agg(F.count(F.lit(1)).alias("videos"))
-    clips = listing.agg(F.count_if(F.col("relative_path").startswith("clips/")).alias("clips"))
+    clips = listing.agg(F.count_if(F.col("relative_path").startswith("clips/") & F.col("relative_path").endswith(".mp4")).alias("clips"))
     per_s = lambda n: F.try_divide(n.cast("double"), F.lit(float(wall_time_s)))
     both = artifacts.select("artifacts", done.select("videos").scalar().alias("videos"), clips.select("clips").scalar().alias("clips"))
     known = {
@@ -120,7 +122,10 @@ def run_report(
         "execution_mode": F.lit(execution_mode),
         "output_tasks": F.col("videos"),
         "run_id": F.lit(run_id),
-        "stage_metrics": F.create_map(F.lit("videos_done"), F.col("videos").cast("double"), F.lit("clips_written"), F.col("clips").cast("double")),
+        "stage_metrics": F.create_map(
+            F.lit("videos_done"), F.col("videos").cast("double"), F.lit("clips_written"), F.col("clips").cast("double"),
+            *[F.lit(x) for name, value in sorted((stage_sums or {}).items()) for x in (name, float(value))],
+        ),
         "status": F.lit("failed" if error else "succeeded"),
         "throughput_clips_per_s": per_s(F.col("clips")),
         "throughput_videos_per_s": per_s(F.col("videos")),
@@ -129,6 +134,46 @@ def run_report(
     return both.select(*[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in RUN_REPORT.fields])
 
 
+class StageSums:
+    """Sums that the stages of a run report while they are written."""
+
+    def __init__(self) -> None:
+        self.sums: dict[str, float] = {}
+
+    def run(self, stage: str, df: DataFrame, action: Callable[[DataFrame], object], **measures: Column) -> None:
+        """Do ``action`` (which has to run the table, such as a write) and add the stage's rows, seconds and measures.
+
+        Spark takes the sums while the action's tasks run; the table is not read again.
+        """
+        seen, begin = Observation(), time.monotonic()
+        action(df.observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(name) for name, m in measures.items())))
+        for name, value in {**seen.get, "seconds": time.monotonic() - begin}.items():
+            self.sums[f"{stage}_{name}"] = self.sums.get(f"{stage}_{name}", 0.0) + float(value or 0)
+
+
+@contextmanager
+def recorded_run(
+    spark: SparkSession, run_dir: str, reports: str, run_id: str, execution_mode: str, settings: Mapping[str, str] | None = None
+) -> Iterator[StageSums]:
+    """Append the run's report to ``reports`` when the block ends, however it ends.
+
+    A block that raises leaves a ``failed`` report with its error, the artifacts written so far and the sums of the stages that were
+    done, and the error goes on.
+    """
+    stages_, begin = StageSums(), time.monotonic()
+
+    def write(error: str | None) -> None:
+        row = run_report(spark, run_dir, run_id, time.monotonic() - begin, execution_mode, settings, error, stages_.sums)
+        sinks.run_report_write(row, reports)
+
+    try:
+        yield stages_
+    except BaseException as error:
+        write(f"{type(error).__name__}: {error}")
+        raise
+    write(None)
+
+
 def conservation(spark: SparkSession, run_dir: str, media: DataFrame, rule: planning.PlanRule = planning.PlanRule()) -> DataFrame:
     """Planned against written clips, metadata, chunk and video markers per source, with errors as the explanation.
 
@@ -149,7 +194,7 @@ def conservation(spark: SparkSession, run_dir: str, media: DataFrame, rule: plan
         .agg(F.count("_file").alias("clips"), F.count(F.lit(1)).alias("metas"))
     )
     marked = processed_media(spark, run_dir).select("media_path", F.lit("videos").alias("kind")).unionByName(
-        processed_chunks(spark, run_dir).select("media_path", F.lit("chunks").alias("kind"))
+        processed_chunks(spark, run_dir).distinct().select("media_path", F.lit("chunks").alias("kind"))
     )
     marked = marked.groupBy("media_path").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("chunks", "videos")])
     written = written.join(marked, "media_path", "full").na.fill(0, ["clips", "metas", "chunks", "videos"])

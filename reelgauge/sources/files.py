@@ -59,12 +59,18 @@ def clip_meta_read(spark: SparkSession, root: str, recursive: bool = True, lines
     return docs.select("*", plain_uri(F.col("_metadata.file_path")).alias("metadata_path"))
 
 
-def processed_read(spark: SparkSession, root: str, lines: bool = False) -> DataFrame:
-    """Paths marked as processed; unreadable documents and ones without a path are skipped."""
+def marker_read(spark: SparkSession, root: str, lines: bool = False) -> DataFrame:
+    """The path each marker document names, and the marker's file; unreadable documents and ones without a path are skipped."""
     reader = spark.read.schema(PROCESSED_MARKER).option("multiLine", not lines).option("mode", "DROPMALFORMED")
     glob = "*" if lines else "*.json"
     marks = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(root)
-    return marks.where(F.coalesce("video", F.lit("")) != "").select(F.col("video").alias("media_path")).distinct()
+    named = marks.where(F.coalesce("video", F.lit("")) != "")
+    return named.select(F.col("video").alias("media_path"), plain_uri(F.col("_metadata.file_path")).alias("marker_path"))
+
+
+def processed_read(spark: SparkSession, root: str, lines: bool = False) -> DataFrame:
+    """Paths marked as processed, each once, however many markers name it."""
+    return marker_read(spark, root, lines).select("media_path").distinct()
 
 
 def read_log_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

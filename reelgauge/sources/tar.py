@@ -79,7 +79,7 @@ class ShardReader(DataSourceReader):
                 kept += 1
                 unsafe = member.name.startswith("/") or ".." in member.name.split("/")
                 if unsafe and self.strict:
-                    raise ValueError(f"Unsafe tar member path: {member.name}")
+                    raise ValueError(f"member {member.name} would leave the target folder")
                 payload = archive.extractfile(member).read() if self.with_payload and not unsafe else None
                 yield (shard, index, member.name, ending, member.size, unsafe, payload)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from reelgauge.operators.ordered import attach, previous_value, running_sum, time_block
+from reelgauge.operators.ordered import attach, previous_value, time_block
 from reelgauge.operators.planning import fixed_stride_spans
 
 
@@ -42,6 +42,16 @@ def drain(stream: DataFrame, target: str, checkpoint: str, mode: str = "append")
     return query
 
 
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Leave a checkpoint as a driver does that is lost after a batch has written and before it has committed; if there is none, do nothing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(folder):
+        batches = [int(f.getPath().getName()) for f in system.listStatus(folder) if f.getPath().getName().isdigit()]
+        if batches:
+            _remove(spark, f"{checkpoint}/commits/{max(batches)}")
+
+
 def drain_batches(
     stream: DataFrame,
     target: str,
@@ -135,20 +145,13 @@ def stream_idle_sessions(events: DataFrame, idle: str = "30 minutes", delay: str
     return _flat_window(sessions.agg(F.count(F.lit(1)).alias("n_videos"), F.sum("n_captions").alias("n_captions")))
 
 
-def open_sessions(events: DataFrame, closed: DataFrame, idle_minutes: int = 30) -> DataFrame:
-    """Sessions of a batch of events that a drained stream has not given out: the open tail of each host.
-
-    Times of a host are compared and numbered block by block, so a busy host is no hot spot.
-    """
-    idle = F.make_dt_interval(mins=F.lit(idle_minutes))
-    moments = events.groupBy("ip", "ts").agg(F.count(F.lit(1)).alias("n"), F.sum("n_captions").alias("c"))
-    paired = previous_value(moments.withColumn("_block", time_block(F.col("ts"))), "ts", ["ip"], "_block", ["ts"], "_prev")
-    begins = F.col("_prev").isNull() | (F.col("ts") - F.col("_prev.value") >= idle)
-    numbered = running_sum(paired.withColumn("_begins", begins.cast("bigint")).drop("_prev"), "_begins", ["ip"], "_block", ["ts"], "_session")
-    every = numbered.groupBy("ip", "_session").agg(
-        F.sum("n").alias("n_videos"), F.sum("c").alias("n_captions"), F.min("ts").alias("window_start"), (F.max("ts") + idle).alias("window_end")
+def open_sessions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The sessions a drained ``stream_idle_sessions`` query still holds: the open tail of each host, out of its state store."""
+    held = spark.read.format("statestore").load(checkpoint).select("value.*")
+    window = F.col("session_window")
+    return held.select(
+        "ip", F.col("count").alias("n_videos"), F.col("sum").alias("n_captions"), window["start"].alias("window_start"), window["end"].alias("window_end")
     )
-    return every.drop("_session").join(closed.select("ip", "window_start"), ["ip", "window_start"], "left_anti")
 
 
 def stream_stage_gap(events: DataFrame, upstream: str, downstream: str, keys: tuple[str, ...] = ("run_id",)) -> DataFrame:
@@ -171,12 +174,64 @@ def stream_counts(events: DataFrame, delay: str = "10 minutes", window: str = "1
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows the state operators reported; aggregations count them after map-side combine."""
+    """Late rows the state operators reported; aggregations count them after map-side combine, so this is a lower bound.
+
+    ``drain_counts`` counts them exactly.
+    """
     return sum(
         operator.numRowsDroppedByWatermark for progress in query.recentProgress for operator in progress.stateOperators
     )
 
 
+def drain_counts(events: DataFrame, target: str, checkpoint: str, delay: str = "10 minutes", window: str = "1 hour") -> StreamingQuery:
+    """Events per window, with every late row counted and kept.
+
+    The watermark is carried beside the counts: it is the newest time of all earlier batches less ``delay``, as Spark's own.
+    A row is late if its window had ended by then. So all rows of a window in one batch are late or none is, and
+    rows can fold map-side before they are told apart; a busy window is no hot spot. Each batch writes its counts, its late rows
+    and the carried time to folders of its own, and replaces them if it is replayed. Read with ``window_counts``; ``late_rows``
+    has the rows themselves, for a second pass.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = None
+        if batch_id > 0:
+            mark = spark.read.schema("ts timestamp").parquet(f"{target}/mark/batch_id={batch_id - 1}").first()["ts"]
+        held = F.lit(mark).cast("timestamp")
+        rows = batch.where(F.col("ts").isNotNull()).persist()
+        late = F.coalesce(F.window("ts", window)["end"] <= held - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        rows.where(late).write.mode("overwrite").parquet(f"{target}/late/batch_id={batch_id}")
+        counts = rows.groupBy(F.window("ts", window)).agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("newest"))
+        is_late = F.coalesce(F.col("window_end") <= held - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        _flat_window(counts).withColumn("late", is_late).write.mode("overwrite").parquet(f"{target}/counts/batch_id={batch_id}")
+        rows.unpersist()
+        written = spark.read.schema("newest timestamp").parquet(f"{target}/counts/batch_id={batch_id}")
+        written.agg(F.greatest(F.max("newest"), held).alias("ts")).coalesce(1).write.mode("overwrite").parquet(f"{target}/mark/batch_id={batch_id}")
+
+    writer = events.writeStream.trigger(availableNow=True).foreachBatch(apply)
+    query = writer.option("checkpointLocation", checkpoint).start()
+    query.awaitTermination()
+    return query
+
+
+def window_counts(spark: SparkSession, target: str) -> DataFrame:
+    """window_start, window_end, n (rows in time) and n_late of a drained ``drain_counts``."""
+    counts = spark.read.schema("n long, window_start timestamp, window_end timestamp, late boolean, batch_id long").parquet(f"{target}/counts")
+    return counts.groupBy("window_start", "window_end").agg(
+        F.sum(F.when(~F.col("late"), F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("n_late")
+    )
+
+
+def late_rows(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(f"{target}/late").drop("batch_id")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stream_transitions(
     samples: DataFrame,
     target: str,
@@ -188,7 +243,8 @@ def stream_transitions(
 
     Inside a batch the series is compared block by block in event-time order, so a hot
     stage is spread over tasks instead of being fed to one keyed function. Only the latest
-    value per stage is carried to the next batch, as a table versioned by batch id. Samples
+    value per stage is carried to the next batch, as a table versioned by batch id: a replay needs
+    the version before its own, so the one before that is removed. Each batch is read once. Samples
     older than the carried time of their stage are late and dropped.
     """
     key_list = list(keys)
@@ -197,7 +253,7 @@ def stream_transitions(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         slim = batch.select(*key_list, "ts", F.col("actors_ready").cast("bigint").alias("ready"))
-        slim = slim.withColumn("_block", time_block(F.col("ts"), block_seconds))
+        slim = slim.withColumn("_block", time_block(F.col("ts"), block_seconds)).persist()
         state_schema = slim.select(*key_list, "ts", "ready").schema
         if batch_id == 0:
             before = spark.createDataFrame([], state_schema)
@@ -214,6 +270,8 @@ def stream_transitions(
         merged = before.unionByName(fresh.select(*key_list, "ts", "ready"))
         latest = merged.groupBy(*key_list).agg(F.max_by(F.struct("ts", "ready"), F.col("ts")).alias("_s"))
         latest.select(*key_list, "_s.*").write.mode("overwrite").parquet(f"{state_dir}/batch_id={batch_id}")
+        slim.unpersist()
+        _remove(spark, f"{state_dir}/batch_id={batch_id - 2}")
 
     writer = samples.writeStream.trigger(availableNow=True).foreachBatch(apply)
     query = writer.option("checkpointLocation", checkpoint).start()

@@ -1,9 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelgauge.operators import gallery, planning, runs
 from reelgauge.plans import run_folder
+from reelgauge.sources import files
 
 
 def put(root, entries):
@@ -106,6 +108,54 @@ def test_report_is_computed_from_the_folder(spark, run):
     assert clips > 0 and row.throughput_clips_per_s == clips / 10.0 and row.artifacts
 
 
+def test_only_clips_count_as_clips(spark, run):
+    put(run, {"clips/c9.mp4.part": "half", "clips/deep/c8.mp4": "clip", "clips/notes.txt": "no"})
+    row = run_folder.run_report(spark, str(run), "r1", 10.0, "batch").first()
+    assert (row.artifacts["clip_files"], row.stage_metrics["clips_written"], row.throughput_clips_per_s) == (3, 3, 0.3)
+
+
+def test_every_run_leaves_a_report(spark, run, tmp_path):
+    """Sums of the stages that were done, whether the run ends well or not; the error goes on."""
+    rows = spark.range(100).withColumn("s", F.col("id") * 0.5)
+
+    def work(recorder, fail):
+        for part in range(2):
+            recorder.run("transcode", rows.where(F.col("id") % 2 == part), lambda df, at=part: df.write.mode("overwrite").parquet(f"{tmp_path}/t{at}"), busy=F.sum("s"))
+        if fail:
+            recorder.run("caption", rows, lambda df: df.select(F.raise_error(F.lit("no model"))).collect())
+        recorder.run("write", rows.limit(0), lambda df: df.write.mode("overwrite").parquet(f"{tmp_path}/w"), busy=F.sum("s"))
+
+    with run_folder.recorded_run(spark, str(run), f"{tmp_path}/reports", "good", "streaming", {"a": "b"}) as recorder:
+        work(recorder, False)
+    with pytest.raises(Exception, match="no model"), run_folder.recorded_run(spark, str(run), f"{tmp_path}/reports", "bad", "batch") as recorder:
+        work(recorder, True)
+    with pytest.raises(KeyboardInterrupt), run_folder.recorded_run(spark, f"{tmp_path}/nowhere", f"{tmp_path}/reports", "stopped", "batch"):
+        raise KeyboardInterrupt
+    got = {r.run_id: r for r in files.run_report_read(spark, f"{tmp_path}/reports", lines=True).collect()}
+    assert {k: r.status for k, r in got.items()} == {"good": "succeeded", "bad": "failed", "stopped": "failed"}
+    assert "no model" in got["bad"].error and got["good"].error is None and got["good"].config == {"a": "b"}
+    sums = {k: v for k, v in got["good"].stage_metrics.items() if not k.endswith("seconds")}
+    assert sums == {"transcode_rows": 100, "transcode_busy": 2475, "write_rows": 0, "write_busy": 0, "videos_done": 1, "clips_written": 2}
+    assert got["good"].stage_metrics["transcode_seconds"] > 0
+    assert "write_rows" not in got["bad"].stage_metrics and got["bad"].stage_metrics["transcode_rows"] == 100
+    assert got["good"].artifacts["clip_files"] == 2 and got["stopped"].output_tasks == 0
+
+
+def test_markers_of_a_long_source(spark, tmp_path):
+    """Ninety clips in chunks of 32 have three markers, and all of them count."""
+    root = tmp_path / "run"
+    source = "/in/long.mp4"
+    entries = {f"metas/v0/c{i}.json": document(root, f"c{i}", source, 10 * i) for i in range(90)} | {f"clips/c{i}.mp4": "x" for i in range(90)}
+    entries |= {f"processed_clip_chunks/long_{k}.json": json.dumps({"video": source}) for k in range(3)} | {"processed_videos/long.json": json.dumps({"video": source})}
+    put(root, entries)
+    media = spark.createDataFrame([(source, 900.0, 30.0)], "media_path string, duration_s double, fps double")
+    row = run_folder.conservation(spark, str(root), media).first()
+    assert (row.expected_chunks, row.written_chunks, row.missing_clips, row.status) == (3, 3, 0, "closed")
+    (root / "processed_clip_chunks/long_1.json").unlink()
+    row = run_folder.conservation(spark, str(root), media).first()
+    assert (row.written_chunks, row.missing_chunks, row.status) == (2, 1, "unexplained")
+
+
 def test_progress(spark, run, tmp_path):
     (tmp_path / "run.log").write_text("Caption for clip x\n\x1b[31mERR\x1b[0mOR boom\nGenerated 4 captions for video /a chunk-0\nTraceback\n")
     r = run_folder.progress(spark, str(run), str(tmp_path / "run.log")).first()

@@ -69,16 +69,17 @@ def test_member_paths(spark):
     flagged = {r.p: r.u for r in df.select("p", paths.unsafe_member(F.col("p")).alias("u")).collect()}
     assert flagged == {"a/b.mp4": False, "/a": True, "../x": True, "a/../b": True, "a..b/c": False}
     assert df.where("p like 'a/b%'").select(paths.checked_member(F.col("p"))).first()[0] == "a/b.mp4"
-    with pytest.raises(Exception, match="Unsafe tar member"):
+    with pytest.raises(Exception, match="would leave the target folder"):
         df.select(paths.checked_member(F.col("p"))).collect()
 
 
 def test_tar_cap_suffixes_and_payload(spark, tmp_path):
-    shard = make_tar(tmp_path / "s.tar", [("60s/a.mp4", b"a"), ("60s/b.webm", b"bb"), ("60s/meta.json", b"{}")])
-    first = tar.tar_members(spark, shard, max_members=1).collect()
-    assert [(r.member_path, r.payload, r.member_index) for r in first] == [("60s/a.mp4", b"a", 0)]
+    entries = [("list.csv", b"n,1"), ("deep/er/One Two.MKV", b"12345"), ("deep/er/notes", b""), ("three.Avi", b""), ("four.mp4.part", b"x"), ("é.mov", b"\x00\xff")]
+    shard = make_tar(tmp_path / "s.tar", entries)
+    first = tar.tar_members(spark, shard, max_members=2).collect()
+    assert [(r.member_path, r.payload, r.member_index) for r in first] == [("deep/er/One Two.MKV", b"12345", 1), ("three.Avi", b"", 3)]
     names = tar.tar_members(spark, shard, with_payload=False).orderBy("member_index").collect()
-    assert [(r.member_path, r.size_bytes, r.payload) for r in names] == [("60s/a.mp4", 1, None), ("60s/b.webm", 2, None)]
+    assert [(r.member_path, r.size_bytes, r.payload) for r in names] == [("deep/er/One Two.MKV", 5, None), ("three.Avi", 0, None), ("é.mov", 2, None)]
     with pytest.raises(ValueError):
         tar.tar_members(spark, shard, max_members=0)
 
@@ -99,7 +100,7 @@ def test_unsafe_members_are_marked_or_fail(spark, tmp_path):
     shard = make_tar(tmp_path / "s.tar", [("../notes.txt", b"skip"), ("../escape.mp4", b"x"), ("ok.mp4", b"y")])
     got = {r.member_path: (r.is_unsafe, r.payload) for r in tar.tar_members(spark, shard).collect()}
     assert got == {"../escape.mp4": (True, None), "ok.mp4": (False, b"y")}
-    with pytest.raises(Exception, match="Unsafe tar member"):
+    with pytest.raises(Exception, match="would leave the target folder"):
         tar.tar_members(spark, shard, strict=True).collect()
 
 

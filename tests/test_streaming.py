@@ -1,4 +1,6 @@
 import datetime as dt
+import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,14 +84,6 @@ def test_open_windows_are_in_the_newest_updates(spark, place, batches):
     assert {(r.window_start - START).seconds // 60: r.n_videos for r in got} == {0: 3, 10: 1, 20: 1, 40: 1}
 
 
-def test_open_sessions_are_the_tail(spark, place):
-    batch = events(spark, [0, 10, 20, 60, 61, 200])
-    batch.write.parquet(place("in"))
-    monitors.drain(monitors.stream_idle_sessions(live(spark, place("in"), EVENTS)), place("out"), place("cp"))
-    tail = monitors.open_sessions(batch, spark.read.parquet(place("out"))).collect()
-    assert [((r.window_start - START).seconds // 60, (r.window_end - START).seconds // 60, r.n_videos) for r in tail] == [(200, 230, 1)]
-
-
 def test_streams_read_tables_that_are_folders(spark, place):
     """Each table as one file and as a folder of part files gives the same rows."""
     from reelgauge.plans import live as registered
@@ -116,6 +110,20 @@ def test_idle_sessions_split_on_silence(spark, place):
     assert got == [(0, 50, 3), (60, 91, 2)]
 
 
+def test_open_sessions_come_from_the_state(spark, place):
+    """What the stream has given out and what it holds are all sessions; without the stream there is nothing to read."""
+    for part in ([0, 10, 20], [25, 60, 61], [200, 205, 210]):
+        events(spark, part).write.mode("append").parquet(place("in"))
+        sessions = monitors.stream_idle_sessions(live(spark, place("in"), EVENTS))
+        monitors.drain(sessions, place("out"), place("cp"))
+    tail = monitors.open_sessions(spark, place("cp"))
+    spans = lambda df: sorted(((r.window_start - START).seconds // 60, (r.window_end - START).seconds // 60, r.n_videos, r.n_captions) for r in df.collect())
+    assert spans(tail) == [(200, 240, 3, 6)]
+    assert spans(spark.read.schema(tail.schema).parquet(place("out"))) == [(0, 55, 4, 8), (60, 91, 2, 4)]
+    with pytest.raises(Exception):
+        monitors.open_sessions(spark, place("nowhere")).collect()
+
+
 def test_late_rows_are_dropped_and_reported(spark, place):
     late = 0
     for minutes in (range(120, 180), range(0, 60)):
@@ -126,6 +134,40 @@ def test_late_rows_are_dropped_and_reported(spark, place):
     assert newest.agg(F.sum("n")).first()[0] == 60 and late > 0
 
 
+LATE_PARTS = [[130, 125, 131, 5], [200, 59, 119, 121, 121, 60], [], [10, 11, 189, 190, 250, 239], [250, 251, 181]]
+
+
+@pytest.mark.parametrize("replayed", [False, True])
+def test_late_rows_are_counted_exactly(spark, place, replayed):
+    """Equal to counting by hand, over batches with late rows, an empty one, and batches replayed after a crash."""
+    want, newest, late_minutes = {}, None, []
+    for part in LATE_PARTS:
+        frame = events(spark, part)
+        frame.unionByName(frame.limit(1).withColumn("ts", F.lit(None).cast("timestamp"))).write.mode("append").parquet(place("in"))
+        if replayed:
+            monitors.forget_last_commit(spark, place("cp"))
+        monitors.drain_counts(live(spark, place("in"), EVENTS), place("out"), place("cp"))
+        for m in part:
+            is_late = newest is not None and 60 * (m // 60 + 1) <= newest - 10
+            n, n_late = want.get(m // 60, (0, 0))
+            want[m // 60] = (n + (not is_late), n_late + is_late)
+            late_minutes += [m] * is_late
+        newest = max([*part, *([] if newest is None else [newest])])
+    got = {int((r.window_start - START).total_seconds()) // 3600: (r.n, r.n_late) for r in monitors.window_counts(spark, place("out")).collect()}
+    assert got == want and sum(n for _, n in want.values()) == len(late_minutes) > 3
+    kept = monitors.late_rows(spark, place("out"))
+    assert sorted((r.ts - START).total_seconds() / 60 for r in kept.collect()) == sorted(late_minutes)
+
+
+def test_a_lost_commit_replays_the_batch(spark, place):
+    for part in (range(0, 5), range(5, 20), range(20, 30)):
+        events(spark, part).write.mode("append").parquet(place("in"))
+        monitors.forget_last_commit(spark, place("cp"))
+        monitors.drain_batches(live(spark, place("in"), EVENTS), place("out"), place("cp"))
+    assert spark.read.parquet(place("out")).groupBy("batch_id").count().count() == 3
+    assert spark.read.parquet(place("out")).count() == 30
+
+
 def test_stage_gap_updates_across_batches(spark, place):
     schema = "run_id string, stage_short string"
     for part in ([("r", "up")] * 5 + [("r", "down")], [("r", "down")] * 2, [("q", "down")]):
@@ -155,3 +197,20 @@ def test_transitions_carry_over_batches_and_drop_late_samples(spark, place):
     batch = sorted(((r.ts - START).total_seconds() / 60, r.stage_short, r.ready, r.ready_before) for r in stages.ready_transitions(state).collect())
     key = lambda r: (r[0], r[1])
     assert sorted(got, key=key) == sorted(batch, key=key)
+    versions = sorted(p.name for p in pathlib.Path(place("out"), "state").iterdir())
+    assert versions == ["batch_id=1", "batch_id=2"]
+
+
+def test_transition_state_stays_flat(spark, place):
+    """Fifty batches leave two versions of one row per stage, and give what one batch gives."""
+    schema = "ts timestamp, stage_short string, actors_ready double"
+    rng = random.Random(4)
+    rows = [(START + dt.timedelta(seconds=30 * i), "st"[i % 2], float(rng.randrange(3))) for i in range(200)]
+    for k in range(50):
+        spark.createDataFrame(rows[4 * k : 4 * k + 4], schema).coalesce(1).write.mode("append").parquet(place("in"))
+    monitors.stream_transitions(live(spark, place("in"), schema, files_per_trigger=1), place("out"), place("cp"))
+    folders = sorted(pathlib.Path(place("out"), "state").iterdir())
+    assert len(folders) == 2 and [spark.read.parquet(str(f)).count() for f in folders] == [2, 2]
+    got = sorted((r.ts, r.stage_short, r.ready, r.ready_before or 0) for r in monitors.read_transitions(spark, place("out")).collect())
+    batch = stages.ready_transitions(spark.createDataFrame(rows, schema)).collect()
+    assert got == sorted((r.ts, r.stage_short, r.ready, r.ready_before or 0) for r in batch)
