@@ -70,17 +70,25 @@ _SENTENCE_ROWS = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in license_s
 _marks: dict[str, str] = {}
 _matched = "ids"
 for _name, _sequence in license_scan.RULES:
-    _mark = _marks.setdefault(_name, f"@{len(_marks)}@")
-    _matched = f"replace({_matched}, ' {'  '.join(_sequence)} ', ' {_mark} ')"
+    _mark = "" if _name is None else " " + _marks.setdefault(_name, f"@{len(_marks)}@") + " "
+    _matched = f"replace({_matched}, ' {'  '.join(_sequence)} ', '{_mark}')"
 _MARK_ROWS = ", ".join(f"({_quoted(m)}, {_quoted(n)})" for n, m in _marks.items())
+# Every line stands between \x01 and \x02, and \x03 between sentences, so a known sentence is whole lines by one pattern.
+_KNOWN = "|".join(s.replace(" ", "(?: |\x02\x01)") for s in sorted(license_scan.SENTENCES, key=lambda x: (-len(x), x)))
 _LICENSES = rf"""
 WITH known(s, id) AS (VALUES {_SENTENCE_ROWS}), marks(m, name) AS (VALUES {_MARK_ROWS}),
+c AS (
+  SELECT row_number() OVER () AS k, doc_id,
+    regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '(?m)^[ \t]*[#*/;!%''|>-]+', '', 'g'), '(?m)^[ \t]*(?:dnl|rem)([ \t])', '\1', 'g'), 'spdx-license-identifier *:', 'spdx license identifier ', 'g') AS t FROM documents),
 d AS (
-  SELECT row_number() OVER () AS k, doc_id, regexp_replace(regexp_replace(
-    regexp_replace(lower(coalesce(text, '')), '[.;:!?]+([\x20\x09-\x0D]|$)', chr(10) || '\1', 'g'), '[^\n\p{{L}}\p{{N}}]+', ' ', 'g'), ' ?\n ?', chr(10), 'g') AS t
-  FROM documents),
-s AS (SELECT k, unnest(string_split(t, chr(10))) AS s, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
-f AS (SELECT k, string_agg(' ' || id || ' ', '' ORDER BY i) AS ids, string_agg(id, ' ' ORDER BY i) AS sentence_ids FROM s JOIN known ON trim(s.s) = known.s GROUP BY k),
+  SELECT k, doc_id, regexp_replace(regexp_replace(
+    regexp_replace(t, '[.;:!?]+([\x20\x09-\x0D]|$)', chr(10) || chr(10) || '\1', 'g'), '[^\n\p{{L}}\p{{N}}]+', ' ', 'g'), ' ?\n ?', chr(10), 'g') AS t FROM c),
+b AS (SELECT k, doc_id, chr(1) || replace(regexp_replace(trim(t, ' '), '\n\n+', chr(2) || chr(3) || chr(1), 'g'), chr(10), chr(2) || chr(1)) || chr(2) AS t FROM d),
+h AS (SELECT k, regexp_extract_all(t, '\x01(?:{_KNOWN})\x02') AS hits FROM b),
+u AS (SELECT k, unnest(hits) AS s, generate_subscripts(hits, 1) AS i FROM h),
+f AS (
+  SELECT k, string_agg(' ' || id || ' ', '' ORDER BY i) AS ids, string_agg(id, ' ' ORDER BY i) AS sentence_ids
+  FROM u JOIN known ON replace(replace(replace(u.s, chr(2) || chr(1), ' '), chr(1), ''), chr(2), '') = known.s GROUP BY k),
 tok AS (SELECT k, sentence_ids, list_filter(regexp_split_to_array({_matched}, ' +'), lambda x: x <> '') AS ts FROM f),
 e AS (SELECT k, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM tok),
 n AS (SELECT k, i, coalesce(name, 'UNKNOWN') AS name FROM e LEFT JOIN marks ON t = m),

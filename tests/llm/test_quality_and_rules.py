@@ -151,7 +151,7 @@ def test_licences(plain_docs, odd_texts):
     ]
     docs = plain_docs([*cases, *enumerate(odd_texts, 10)]).withColumn("licenses", F.lit("mine"))
     got = {r.doc_id: (r.licenses, r.n_unmatched) for r in license_scan.scan(docs).collect()}
-    assert got[1] == ("Apache-2.0", 0) and got[2] == ("MIT Proprietary", 0) and got[3] == ("GPL-3.0-or-later", 0)
+    assert got[1] == ("Apache-2.0", 0) and got[2] == ("MIT", 0) and got[3] == ("GPL-3.0-or-later", 0)
     assert got[4] == ("UNKNOWN", 1) and got[5] == ("", 0) and got[6] == ("CC-BY-NC-4.0", 0)
     assert all(got[i] == ("", 0) for i in range(10, 10 + len(odd_texts)))
     assert license_scan.scan(docs.limit(0)).count() == 0

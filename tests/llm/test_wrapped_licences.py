@@ -1,8 +1,11 @@
 """Whole published notices, wrapped and in comments, inside documents."""
 
+import random
+import re
 import textwrap
 
 import pytest
+import regex
 
 from reelgauge.llm import license_scan
 
@@ -34,7 +37,12 @@ APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you
 the License. You may obtain a copy of the License at
 
 http://www.apache.org/licenses/LICENSE-2.0"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies."""
 NOTICES = {
+    "ISC": [ISC, "Copyright (c) 2020, Someone\n" + ISC],
+    "AGPL-3.0-or-later": [GPL.replace("GNU", "GNU Affero").format(mark=":", stop=", ", n=3), GPL.replace("GNU", "GNU Affero").format(mark=":", stop="; ", n=3)],
+    "LGPL-2.1-or-later": [GPL.replace("GNU", "GNU Lesser").replace("program is free", "library is free").format(mark=";", stop=";", n=2.1)],
     "MIT": [MIT],
     "BSD-2-Clause": [BSD2, "Copyright (c) 2020, Someone\nAll rights reserved.\n\n" + BSD2],
     "BSD-3-Clause": [BSD3, "Copyright (c) 2020, Someone\nAll rights reserved.\n\n" + BSD3],
@@ -69,6 +77,45 @@ def test_lines_and_other_sentences(plain_docs):
         "It is not licensed under the MIT License\nhere": "",
         "Released under\n\nthe MIT License": "",
         "Released under; the MIT License": "",
+        "// SPDX-License-Identifier: MIT\ncode": "MIT",
+        "# spdx-license-identifier:GPL-3.0-or-later": "GPL-3.0-or-later",
+        "/* SPDX-License-Identifier: Unheard-1.0 */": "",
+        "Copyright 2020 Y. All rights reserved.": "",
+        "Licensed under\nthe MIT License\nreleased under\nthe MIT License": "MIT",
     }
     got = {r.doc_id: r.licenses for r in license_scan.scan(plain_docs(list(enumerate(cases)))).collect()}
     assert got == dict(enumerate(cases.values()))
+
+
+def brute(text, sentences):
+    """Identifiers of whole lines within sentences, by comparing every run of lines with every known sentence."""
+    flat = re.sub(r"(?m)^[ \t]*(?:[#*/;!%'|>-]+|(?:dnl|rem)(?=[ \t]))", "", text.lower())
+    flat = re.sub(r"[.;:!?]+(?=[\x20\x09-\x0D]|\Z)", "\n\n", flat)
+    flat = re.sub(r" ?\n ?", "\n", regex.sub(r"[^\n\p{L}\p{N}]+", " ", flat)).strip(" ")
+    out = []
+    for sentence in re.split("\n\n+", flat):
+        lines, at = sentence.split("\n"), 0
+        while at < len(lines):
+            runs = [(" ".join(lines[at:to]), to) for to in range(len(lines), at, -1)]
+            hit = next((r for r in runs if r[0] in sentences), None)
+            out += [sentences[hit[0]]] if hit else []
+            at = hit[1] if hit else at + 1
+    return out
+
+
+def test_random_lines_against_brute_force(plain_docs):
+    """Known sentences that begin with each other, broken over lines and sentences at random."""
+    sentences = {"a b c": "A", "a b c d": "B", "a b": "C", "c d": "D", "d": "E", "a b c d a b": "F", "longest": "G"}
+    rng = random.Random(11)
+    rows = [(i, "longest " + "".join(rng.choice(["a", "b", "c", "d", "x", "a b", "a\nb c", "a b c\nd", "a b\nc d a b"]) + rng.choice([" ", " ", "\n", "\n# ", ". ", "\n\n", ", "]) for _ in range(rng.randrange(60)))) for i in range(400)]
+    got = {r.doc_id: r.sentence_ids.split() for r in license_scan.scan(plain_docs(rows), sentences=sentences).collect()}
+    assert got == {i: brute(t, sentences) for i, t in rows}
+    assert len({x for ids in got.values() for x in ids}) >= 6
+
+
+def test_a_long_table(plain_docs):
+    """Two thousand more sentences change no result."""
+    many = license_scan.SENTENCES | {f"clause {i} of the agreement number {i % 7} holds": f"X{i}" for i in range(2000)}
+    text = "Clause 1234 of the\nagreement number 2 holds.\n" + MIT
+    got = license_scan.scan(plain_docs([(1, text)]), sentences=many).first()
+    assert got.sentence_ids == "X1234 MITGrant MITNotice" and got.licenses == "UNKNOWN MIT"
