@@ -54,8 +54,9 @@ def gallery_search(items: DataFrame, query: str) -> DataFrame:
 def gallery_page(items: DataFrame, page: int, size: int = PAGE_SIZE) -> DataFrame:
     """One page with page number, page count and filtered count; the number is clamped.
 
-    Rows get their place from one distributed sort, so a page deep inside a large index
-    costs the same as the first and nothing passes through the driver.
+    For a table that is not stored: rows get their place from one distributed sort, so a page deep inside a large index
+    costs the same as the first and nothing passes through the driver. An index that is asked for more than one page is
+    better stored by ``sources.ranked``, whose pages need no sort.
     """
     if size <= 0:
         raise ValueError("size must be positive")

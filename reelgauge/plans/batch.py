@@ -13,7 +13,7 @@ from reelgauge.operators import audit, batched, captions, gallery, inventory, pl
 from reelgauge.plans import bindings as b
 from reelgauge.plans import fixtures, run_folder
 from reelgauge.session import scratch_path
-from reelgauge.sources import files, sinks, tar
+from reelgauge.sources import files, ranked, sinks, tar
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -614,8 +614,10 @@ def gallery_search(spark, sf):
 
 @query
 def gallery_page(spark, sf):
-    found = gallery.gallery_search(_items(spark, sf), "/input/1")
-    return _flat_items(gallery.gallery_page(found, page=2))
+    """The second page of what a search finds, out of its stored index."""
+    found, folder = gallery.gallery_search(_items(spark, sf), "/input/1"), scratch_path(spark, "gallery")
+    ranked.write_ranked(found, folder, gallery.INDEX_ORDER)
+    return _flat_items(ranked.ranked_page(spark, folder, 2, gallery.PAGE_SIZE))
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from reelgauge.operators import captions, gallery, resources, runs
 from reelgauge.operators.batched import _batches, batched_map
-from reelgauge.sources import sinks
+from reelgauge.sources import ranked, sinks
 
 TEXTS = {
     "good": "A man walks.  \n",
@@ -154,6 +154,29 @@ def test_pages_are_clamped_slices_of_the_index(spark):
         gallery.gallery_page(table, 1, size=0)
 
 
+@pytest.mark.parametrize("n,size,per_file", [(0, 10, 5), (1, 10, 100), (203, 10, 25), (203, 7, 1000), (203, 50, 9), (400, 1, 20)])
+def test_stored_pages_equal_sorted_ones(spark, tmp_path, plan, n, size, per_file):
+    """Every page, without a sort, from a few files where files are not smaller than a page."""
+    table = items(spark, n) if n else items(spark, 1).limit(0)
+    ordered = [r.id for r in gallery.gallery_index(table, "run").collect()]
+    ranked.write_ranked(table.repartition(3), str(tmp_path / "index"), gallery.INDEX_ORDER, per_file)
+    pages = max(1, -(-n // size))
+    for asked in (-1, 1, 2, pages // 2, pages, pages + 5):
+        got = ranked.ranked_page(spark, str(tmp_path / "index"), asked, size)
+        page = min(max(asked, 1), pages)
+        rows = sorted(got.collect(), key=lambda r: r.position)
+        assert [r.id for r in rows] == ordered[(page - 1) * size : page * size]
+        assert [r.position for r in rows] == list(range((page - 1) * size, min(n, page * size)))
+        assert {(r.page, r.pages, r.filtered_count) for r in rows} <= {(page, pages, n)}
+        assert n == 0 or ("Exchange" not in plan(got) and "Sort" not in plan(got))
+        low = (page - 1) * size
+        if size <= per_file and n > 4 * per_file:
+            # The last file of each range may be small, so a page can meet three.
+            assert len(ranked.files_of(spark, str(tmp_path / "index"), low, low + size)) <= 3
+    with pytest.raises(ValueError):
+        ranked.ranked_page(spark, str(tmp_path / "index"), 1, 0)
+
+
 def test_search(spark):
     table = items(spark)
     assert gallery.gallery_search(table, "  ").count() == 23
