@@ -314,7 +314,7 @@ def test_oracle_of_every_text_query(spark):
     from reelgauge.llm.queries import QUERIES
 
     base = duckdb.connect()
-    for table in ("documents", "pages", "labels", "conversations"):
+    for table in ("documents", "pages", "labels", "conversations", "embeddings"):
         base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     for name, sql in ORACLE.items():
         df = QUERIES[name](spark, SF)
