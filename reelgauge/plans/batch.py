@@ -69,6 +69,15 @@ def _window_text(window: Column) -> Column:
     return F.concat_ws(":", window["start_frame"], window["end_frame"], key, F.md5(caption.cast("binary")))
 
 
+@query
+def tar_members_split(spark, sf):
+    """The same members out of shards that many tasks share."""
+    folder = scratch_path(spark, "shards")
+    fixtures.write_shards(spark, sf, folder)
+    members = tar.split_members(tar.tar_index(spark, folder), split_bytes=1 << 20)
+    return members.select("member_path", "suffix", "size_bytes", "is_unsafe", F.sha2("payload", 256).alias("checksum"))
+
+
 @query
 def clip_meta_read(spark, sf):
     folder = scratch_path(spark, "metas")

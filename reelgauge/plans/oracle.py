@@ -406,4 +406,5 @@ ORACLE: dict[str, str] = {
         w AS (SELECT date_trunc('hour', ts) AS w, coalesce(date_trunc('hour', ts) + INTERVAL '1 hour' <= mark, false) AS late FROM p LEFT JOIN m USING (part))
         SELECT {_text('w')} AS window_start, count(*) FILTER (WHERE NOT late) AS n, count(*) FILTER (WHERE late) AS n_late FROM w GROUP BY w""",
 }
+ORACLE["tar_members_split"] = ORACLE["tar_members"]
 ORACLE["stream_transitions"] = ORACLE["ready_transitions"]

@@ -96,6 +96,31 @@ def test_tar_cap_counts_matches_per_shard_and_reads_folders(spark, tmp_path):
     assert got == [(s, m) for s in ("s0.tar", "s1.tar", "s2.tar", "z.tar.gz") for m in ("A.MOV", "b.mp4")]
 
 
+@pytest.mark.parametrize("split", [1, 700, 5000, 1 << 30])
+def test_split_shards_equal_streams(spark, tmp_path, split):
+    """Plain shards are shared by tasks, compressed ones are not; members of any size, long names, links and folders between."""
+    folder = tmp_path / "shards"
+    folder.mkdir()
+    entries = [("d", None), ("x" * 150 + "/long.mp4", b"n" * 300), ("../up.mp4", b"u"), ("empty.mov", b""), ("a.txt", b"t" * 3000)]
+    entries += [(f"{i}.mp4", bytes([i]) * (i * 53)) for i in range(40)]
+    make_tar(folder / "one.tar", entries)
+    make_tar(folder / "two.tar", [("b.mkv", b"m" * 9000)])
+    make_tar(folder / "none.tar", [])
+    make_tar(folder / "three.tar.gz", entries[:12], "w:gz")
+    (folder / "named.tar").write_bytes(gzip.compress((folder / "two.tar").read_bytes()))  # compressed, whatever its name says
+    index = tar.tar_index(spark, str(folder))
+    assert {r.shard.rsplit("/")[-1] for r in index.where("offset IS NULL").collect()} == {"three.tar.gz", "named.tar"}
+    parts = tar.split_members(index, split)
+    assert parts.schema == tar.tar_members(spark, str(folder)).schema
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, tar.tar_members(spark, str(folder)).collect()))
+    if split == 700:
+        assert parts.where(F.col("shard").endswith("one.tar")).select(F.spark_partition_id()).distinct().count() > 10
+    some = tar.split_members(tar.tar_index(spark, str(folder), max_members=2), split)
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, tar.tar_members(spark, str(folder), max_members=2).collect()))
+    with pytest.raises(Exception, match="would leave the target folder"):
+        tar.tar_index(spark, str(folder), strict=True).collect()
+
+
 def test_unsafe_members_are_marked_or_fail(spark, tmp_path):
     shard = make_tar(tmp_path / "s.tar", [("../notes.txt", b"skip"), ("../escape.mp4", b"x"), ("ok.mp4", b"y")])
     got = {r.member_path: (r.is_unsafe, r.payload) for r in tar.tar_members(spark, shard).collect()}
