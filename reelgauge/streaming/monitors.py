@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from reelgauge.operators.ordered import attach, previous_value, time_block
 from reelgauge.operators.planning import fixed_stride_spans
+from reelgauge.streaming import seen
 
 
 def file_stream(
@@ -82,19 +83,22 @@ def stream_clip_plan(manifest: DataFrame, **params) -> DataFrame:
 def drain_new_paths(arrivals: DataFrame, target: str, checkpoint: str, path: str = "media_path") -> StreamingQuery:
     """Plan every arriving path once, however late it comes again and however input is cut into batches.
 
-    The paths planned so far are the table itself. Each batch folds its repeats (map-side, so a path
-    that keeps re-arriving is no hot spot), leaves out what earlier batches have written, and replaces its own
-    folder when it is replayed.
+    Each batch folds its repeats (map-side, so a path that keeps re-arriving is no hot spot), leaves out what earlier
+    batches have planned, and replaces its own folder when it is replayed. Planned paths are known by ``seen``, whose index
+    lies in ``_index`` of the target, which readers of the table pass over: a batch without repeats opens filters only.
     """
+    index = f"{target}/_index"
 
-    def fresh(batch: DataFrame, batch_id: int) -> DataFrame:
-        paths = batch.select(path).distinct()
-        if batch_id == 0:
-            return paths
-        planned = batch.sparkSession.read.schema(f"`{path}` string, batch_id long").parquet(target)
-        return paths.join(planned.where(F.col("batch_id") < batch_id).select(path), path, "left_anti")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = batch.select(path).distinct().persist()
+        folder = f"{target}/batch_id={batch_id}"
+        seen.unseen(paths, path, index, batch_id).write.mode("overwrite").parquet(folder)
+        seen.remember(batch.sparkSession.read.schema(paths.schema).parquet(folder), path, index, batch_id)
+        paths.unpersist()
 
-    return drain_batches(arrivals, target, checkpoint, shape=fresh)
+    query = arrivals.writeStream.trigger(availableNow=True).foreachBatch(write).option("checkpointLocation", checkpoint).start()
+    query.awaitTermination()
+    return query
 
 
 def newest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
