@@ -49,7 +49,8 @@ def timestamp_carry(lines: DataFrame) -> DataFrame:
     return filled.withColumn("timestamp", F.coalesce("timestamp", F.lit("")))
 
 
-def _block_mark() -> Column:
+def block_mark() -> Column:
+    """True on a line that opens a table, false on one that closes it, else null."""
     return F.when(F.col("line") == STATE_HEADER, F.lit(True)).when(
         F.col("line").startswith(STATE_CLOSER), F.lit(False)
     )
@@ -57,12 +58,23 @@ def _block_mark() -> Column:
 
 def table_block_state(lines: DataFrame) -> DataFrame:
     """Adds ``in_table``: between a state header and the next closing border."""
-    marked = lines.withColumn("in_table", _block_mark())
+    marked = lines.withColumn("in_table", block_mark())
     filled = carry_forward(marked, ["in_table"], LINE_KEYS, "block", LINE_ORDER)
     is_header = F.col("line") == STATE_HEADER
     return filled.withColumn("in_table", F.coalesce("in_table", F.lit(False)) & ~is_header)
 
 
+def _is_table_row() -> Column:
+    return F.col("line").startswith(STAGE_ROW_START)
+
+
+def table_lines(lines: DataFrame) -> DataFrame:
+    """The lines that ``stage_log_parse`` looks at, without terminal codes: rows, borders and possible timestamps."""
+    line = F.col("line")
+    is_mark = (line == STATE_HEADER) | line.startswith(STATE_CLOSER) | (F.substring(line, 5, 1) == "-")
+    return clean_lines(lines).where(_is_table_row() | is_mark)
+
+
 def stage_log_parse(lines: DataFrame) -> DataFrame:
     """Stage tables of raw logs as text rows, one column per table cell.
 
@@ -71,14 +83,12 @@ def stage_log_parse(lines: DataFrame) -> DataFrame:
     apart by prefixes and one split, so no pattern runs over the bulk of a log.
     """
     line = F.col("line")
-    is_row = line.startswith(STAGE_ROW_START)
-    is_mark = (line == STATE_HEADER) | line.startswith(STATE_CLOSER) | (F.substring(line, 5, 1) == "-")
     # Rows are cut up before the shuffle, where every file split has its own task.
-    marked = clean_lines(lines).where(is_row | is_mark).select(
+    marked = table_lines(lines).select(
         *LINE_KEYS, "block", *LINE_ORDER,
         leading_timestamp(line).alias("timestamp"),
-        _block_mark().alias("_open"),
-        F.when(is_row, F.split(line, CELL_SEPARATOR)).alias("_parts"),
+        block_mark().alias("_open"),
+        F.when(_is_table_row(), F.split(line, CELL_SEPARATOR)).alias("_parts"),
     )
     filled = carry_forward(marked, ["timestamp", "_open"], LINE_KEYS, "block", LINE_ORDER)
     # A row is bordered on both sides: '', stage, twelve cells, ''.

@@ -112,11 +112,8 @@ def probe_json(spark, sf):
     )
 
 
-@query
-def stage_log_parse(spark, sf):
-    folder = scratch_path(spark, "stage-log")
-    fixtures.write_log(b.stage_log_lines(spark, sf), folder)
-    rows = stages.typed_stage_state(stages.stage_log_parse(files.read_log_lines(spark, folder)))
+def parsed_stages(rows: DataFrame) -> DataFrame:
+    rows = stages.typed_stage_state(rows)
     return rows.select(
         "timestamp", "stage", "stage_short", when_text("ts").alias("ts"),
         *[_big(n) for n in ("actors_target", "actors_ready", "actors_running", "actors_idle", "tasks_completed")],
@@ -125,6 +122,13 @@ def stage_log_parse(spark, sf):
     )
 
 
+@query
+def stage_log_parse(spark, sf):
+    folder = scratch_path(spark, "stage-log")
+    fixtures.write_log(b.stage_log_lines(spark, sf), folder)
+    return parsed_stages(stages.stage_log_parse(files.read_log_lines(spark, folder)))
+
+
 @query
 def caption_event_parse(spark, sf):
     events = stages.caption_event_parse(b.caption_log_lines(spark, sf))

@@ -154,6 +154,13 @@ def write_log(lines: DataFrame, folder: str) -> None:
     ordered.select(F.col("line").alias("value")).write.text(folder)
 
 
+def log_bodies(lines: DataFrame) -> DataFrame:
+    """Each log as one text (name, body), for logs of bounded length such as those of a day."""
+    ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))["line"]
+    text = F.concat(F.array_join(ordered, "\n"), F.lit("\n"))
+    return lines.groupBy(F.concat("file", F.lit(".log")).alias("name")).agg(text.alias("body"))
+
+
 def stage_text(spark: SparkSession, sf: str) -> DataFrame:
     """``stage_state`` as text rows; a zero queue is left blank."""
     state = b.stage_state(spark, sf)

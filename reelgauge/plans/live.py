@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgauge.plans import bindings as b
-from reelgauge.plans.batch import Query, when_text
+from reelgauge.plans import fixtures
+from reelgauge.plans.batch import Query, parsed_stages, when_text
 from reelgauge.session import scratch_path
+from reelgauge.sources import growing
+from reelgauge.streaming import logs
 from reelgauge.streaming import monitors as m
 
 STREAMS: dict[str, Query] = {}
@@ -116,6 +119,19 @@ def stream_transitions(spark, sf):
     return m.read_transitions(spark, target).withColumn("ts", when_text("ts"))
 
 
+@query
+def stream_stage_log(spark, sf):
+    """Logs grow between three starts and end in the middle of a line; the last batch is replayed by each start."""
+    folder, target, checkpoint = scratch_path(spark, "growing"), scratch_path(spark, "log-out"), scratch_path(spark, "log-cp")
+    bodies = fixtures.log_bodies(b.stage_log_lines(spark, sf))
+    for share in (0.4, 0.75, 1.0):
+        written = F.substring("body", F.lit(1), F.ceil(F.length("body") * share).cast("int"))
+        fixtures.write_files(bodies.withColumn("body", written), folder)
+        m.forget_last_commit(spark, checkpoint)
+        logs.drain_stage_rows(growing.log_stream(spark, folder), target, checkpoint)
+    return parsed_stages(logs.stage_rows(spark, target))
+
+
 @query
 def stream_idempotent_sink(spark, sf):
     """Three batches; before the second and the third start the last batch loses its commit, so it is replayed."""

@@ -43,14 +43,24 @@ def drain(stream: DataFrame, target: str, checkpoint: str, mode: str = "append")
     return query
 
 
+def _last_batch(spark: SparkSession, folder: str) -> int:
+    """The highest batch id of a log in a checkpoint, -1 if there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(where)] if system.exists(where) else []
+    return max([int(n) for n in names if n.isdigit()], default=-1)
+
+
+def replay_due(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether the last batch of a stream was planned and not committed, so that its next start does it again."""
+    return _last_batch(spark, f"{checkpoint}/offsets") > _last_batch(spark, f"{checkpoint}/commits")
+
+
 def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
     """Leave a checkpoint as a driver does that is lost after a batch has written and before it has committed; if there is none, do nothing."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if system.exists(folder):
-        batches = [int(f.getPath().getName()) for f in system.listStatus(folder) if f.getPath().getName().isdigit()]
-        if batches:
-            _remove(spark, f"{checkpoint}/commits/{max(batches)}")
+    last = _last_batch(spark, f"{checkpoint}/commits")
+    if last >= 0:
+        _remove(spark, f"{checkpoint}/commits/{last}")
 
 
 def drain_batches(
