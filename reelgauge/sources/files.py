@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelgauge.functions.numeric import rate
 from reelgauge.functions.paths import MEDIA_SUFFIXES, is_media, plain_path, plain_uri
 from reelgauge.schemas import CLIP_DOCUMENT, GPU_TEXT, PROCESSED_MARKER, RUN_REPORT, STAGE_TEXT
+from reelgauge.sources.listing import can_list, list_levels
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -27,8 +28,15 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 def media_inventory(
     spark: SparkSession, root: str, suffixes: Sequence[str] = MEDIA_SUFFIXES, required: bool = True
 ) -> DataFrame:
-    """Media files below ``root`` in path order; an empty result is an error when ``required``."""
-    found = list_files(spark, root).where(is_media(F.col("path"), suffixes))
+    """Media files below ``root`` in path order; an empty result is an error when ``required``.
+
+    Folders are listed by executors level by level. A root that workers can't open, or that has wildcards or doesn't exist, goes to Spark's
+    own listing, which passes through the driver (and names a missing root).
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    spread = can_list(root) and where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    listed = list_levels(spark, root) if spread else list_files(spark, root)
+    found = listed.withColumn("path", plain_path(F.col("path"))).where(is_media(F.col("path"), suffixes))
     if required and found.isEmpty():
         raise RuntimeError(f"No supported media found under {root}.")
     return found.withColumnRenamed("path", "media_path").orderBy("media_path")
