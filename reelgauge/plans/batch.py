@@ -13,7 +13,7 @@ from reelgauge.operators import audit, batched, captions, gallery, inventory, pl
 from reelgauge.plans import bindings as b
 from reelgauge.plans import fixtures, run_folder
 from reelgauge.session import scratch_path
-from reelgauge.sources import files, ranked, sinks, tar
+from reelgauge.sources import files, ranked, sinks, tar, trigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -625,6 +625,14 @@ def gallery_search(spark, sf):
     return _flat_items(gallery.gallery_search(_items(spark, sf), "  /INPUT/1 "))
 
 
+@query
+def gallery_search_indexed(spark, sf):
+    """The same search out of a stored index of three-letter pieces."""
+    folder, fields = scratch_path(spark, "search"), ("id", "source_video")
+    trigram.write_search_index(_items(spark, sf), folder, fields, gallery.INDEX_ORDER)
+    return _flat_items(trigram.search(spark, folder, "  /INPUT/1 ", fields))
+
+
 @query
 def gallery_page(spark, sf):
     """The second page of what a search finds, out of its stored index."""

@@ -409,3 +409,4 @@ ORACLE: dict[str, str] = {
 ORACLE["tar_members_split"] = ORACLE["tar_members"]
 ORACLE["stream_transitions"] = ORACLE["ready_transitions"]
 ORACLE["stream_stage_log"] = ORACLE["stage_log_parse"]
+ORACLE["gallery_search_indexed"] = ORACLE["gallery_search"]
