@@ -13,7 +13,7 @@ from reelgauge.operators import audit, batched, captions, gallery, inventory, pl
 from reelgauge.plans import bindings as b
 from reelgauge.plans import fixtures, run_folder
 from reelgauge.session import scratch_path
-from reelgauge.sources import files, ranked, sinks, tar, trigram
+from reelgauge.sources import commits, files, ranked, sinks, tar, trigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -201,6 +201,15 @@ def run_report_read(spark, sf):
     )
 
 
+@query
+def replaced_documents(spark, sf):
+    """All documents, then a third of them in a new form: what readers see after the second commit."""
+    target, docs = scratch_path(spark, "replaced"), b.table(spark, sf, "documents").select("doc_id", "text")
+    commits.replace(docs, "doc_id", target)
+    commits.replace(docs.where("doc_id % 3 = 0").withColumn("text", F.concat("text", F.lit("!"))), "doc_id", target)
+    return commits.committed(spark, target, "doc_id").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 @query
 def idempotent_write(spark, sf):
     target = scratch_path(spark, "artifacts")

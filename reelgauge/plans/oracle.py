@@ -410,3 +410,4 @@ ORACLE["tar_members_split"] = ORACLE["tar_members"]
 ORACLE["stream_transitions"] = ORACLE["ready_transitions"]
 ORACLE["stream_stage_log"] = ORACLE["stage_log_parse"]
 ORACLE["gallery_search_indexed"] = ORACLE["gallery_search"]
+ORACLE["replaced_documents"] = "SELECT doc_id, md5(CASE WHEN doc_id % 3 = 0 THEN text || '!' ELSE text END) AS digest FROM documents"
