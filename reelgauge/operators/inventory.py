@@ -9,8 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelgauge.functions.numeric import frame_rate, pixels, rate, ratio, resolution
-from reelgauge.operators.ordered import attach, global_position
-from reelgauge.operators.ranking import median, nearest_rank
+from reelgauge.operators.ordered import attach, key_position
+from reelgauge.operators.ranking import median, ranks_by_sets
+from reelgauge.session import ensure_checkpoint_dir
 
 
 def video_limit(media: DataFrame, n: int | None, order: str = "media_path") -> DataFrame:
@@ -125,52 +126,45 @@ def size_stats(
 def position_groups(
     media: DataFrame, n: int = 58, path: str = "media_path", out: str = "position_group"
 ) -> DataFrame:
-    """Consecutive groups of n files in path order, numbered from 1."""
-    placed = global_position(media, [path])
+    """Consecutive groups of n files in path order, numbered from 1. Only paths are sorted and checkpointed."""
+    placed = key_position(media, path)
     return placed.withColumn(out, (F.floor(F.col("position") / n) + 1).cast("bigint"))
 
 
-def _labelled(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Each row once per grouping column, and once for the whole set."""
-    options = F.array(
-        *[F.struct(F.lit(name).alias("kind"), F.col(name).cast("string").alias("label")) for name in labels],
-        F.struct(F.lit("all").alias("kind"), F.lit("all").alias("label")),
-    )
-    return df.withColumn("_label", F.explode(options)).select("*", "_label.*").drop("_label")
-
-
 def distribution_by_group(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Count, mean and nearest-rank median of size and bit rate, mean pixels per group.
 
-    ``labels`` are grouping columns; grouping sets give each of them and the total in
-    one aggregation.
+    ``labels`` are grouping columns; each of them alone and the total give groups, as (kind, label). Rows are folded
+    to sums per combination of labels first, and only these sums are shared out to the groups. Labels and measures are
+    checkpointed, since they are read four times.
     """
-    tagged = df.withColumn("_pixels", pixels(F.col("width"), F.col("height")))
-    sets = [[label] for label in labels] + [[]]
-    means = tagged.groupingSets(sets, *labels).agg(
-        F.grouping_id().alias("_set"),
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("size_bytes"), 6).alias("size_mean"),
-        F.round(F.avg("bitrate"), 6).alias("bitrate_mean"),
-        F.round(F.avg("_pixels"), 6).alias("pixels_mean"),
-    )
-    width = len(labels)
-    kind, label = F.lit("all"), F.lit("all")
-    for i, name in enumerate(labels):
-        alone = (1 << width) - 1 - (1 << (width - 1 - i))
-        kind = F.when(F.col("_set") == alone, F.lit(name)).otherwise(kind)
-        label = F.when(F.col("_set") == alone, F.col(name).cast("string")).otherwise(label)
-    means = means.select(
-        kind.alias("kind"), label.alias("label"), "n", "size_mean", "bitrate_mean", "pixels_mean"
+    ensure_checkpoint_dir(df.sparkSession)
+    measured = df.select(
+        *labels,
+        F.col("size_bytes").cast("bigint").alias("size"),
+        F.col("bitrate").cast("bigint").alias("bitrate"),
+        pixels(F.col("width"), F.col("height")).alias("pixels"),
+    ).checkpoint()
+    parts = ("size", "bitrate", "pixels")
+    sums = [f(name).alias(f"_{how}_{name}") for name in parts for how, f in (("sum", F.sum), ("n", F.count))]
+    folded = measured.groupBy(*labels).agg(F.count(F.lit(1)).alias("_n"), *sums)
+    groups = F.array(
+        *[F.struct(F.lit(name).alias("kind"), F.col(name).cast("string").alias("label")) for name in labels],
+        F.struct(F.lit("all").alias("kind"), F.lit("all").alias("label")),
     )
-    slim = df.select(*labels, F.col("size_bytes").cast("bigint"), F.col("bitrate").cast("bigint"))
-    measures = F.array(
-        *[F.struct(F.lit(f"{m}_p50").alias("measure"), F.col(c).alias("value")) for m, c in (("size", "size_bytes"), ("bitrate", "bitrate"))]
+    means = (
+        folded.withColumn("_of", F.explode(groups))
+        .groupBy("_of")
+        .agg(
+            F.sum("_n").alias("n"),
+            *[F.round(F.try_divide(F.sum(f"_sum_{m}"), F.sum(f"_n_{m}")), 6).alias(f"{m}_mean") for m in parts],
+        )
+        .select("_of.*", "n", *[f"{m}_mean" for m in parts])
     )
-    long = _labelled(slim, labels).select("kind", "label", F.inline(measures))
-    middle = nearest_rank(long, "value", ["kind", "label", "measure"], {"p50": 0.5})
-    pick = lambda name: F.max(F.when(F.col("measure") == name, F.col("p50"))).alias(name)
-    wide = middle.groupBy("kind", "label").agg(pick("size_p50"), pick("bitrate_p50"))
+    ranked = ranks_by_sets(measured, ["size", "bitrate"], labels, {"p50": 0.5})
+    kind = F.coalesce(F.get(F.array(*[F.lit(name) for name in labels]), F.col("set")), F.lit("all")) if labels else F.lit("all")
+    pick = lambda name: F.max(F.when(F.col("measure") == name, F.col("p50"))).alias(f"{name}_p50")
+    wide = ranked.groupBy(kind.alias("kind"), "label").agg(pick("size"), pick("bitrate"))
     return attach(means, wide, ["kind", "label"])
 
 

@@ -125,3 +125,16 @@ def global_position(df: DataFrame, order: Sequence[Column | str], out: str = "po
     # One row per shuffle partition: the hint is safe whatever the table holds.
     placed = tagged.join(F.broadcast(offsets), "_part")
     return placed.withColumn(out, local + F.col("_offset")).drop("_part", "_tag", "_offset")
+
+
+def key_position(df: DataFrame, key: str, out: str = "position") -> DataFrame:
+    """Number of rows with a smaller ``key``: the 0-based place of every row in order of a unique key.
+
+    Rows that share a key share the place of the first; null comes first. Only keys with their counts are
+    range-partitioned and checkpointed; other columns move once, in the join that brings the places back.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    cut = keys.repartitionByRange("_key").withColumn("_part", F.spark_partition_id()).checkpoint()
+    placed = running_sum(cut, "_rows", [], "_part", ["_key"], "_upto")
+    return attach(df, placed.select(F.col("_key").alias(key), (F.col("_upto") - F.col("_rows")).alias(out)), [key])

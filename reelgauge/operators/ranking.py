@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelgauge.operators.ordered import attach
+from reelgauge.session import ensure_checkpoint_dir
 
 _BLOCKS_PER_OCTAVE = 256
 _FINE = 4096
@@ -55,6 +56,42 @@ def _located(blocks: DataFrame, keys: Sequence[str], block: str, counted: bool =
     return blocks.where((rest >= 0) & (rest < F.col("_block_n"))).withColumn("_rest", rest)
 
 
+def _targets(whole: DataFrame, keys: Sequence[str], ranks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """The block of each named rank, out of the totals of all blocks."""
+    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(i).alias("place")) for i, n in enumerate(ranks)])
+    total = F.sum("_block_n").over(W.partitionBy(*keys))
+    rank_of = F.element_at(F.array(*[r(F.col("_total")) for r in ranks.values()]), F.col("_want.place") + 1)
+    first = whole.withColumn("_total", total).withColumn("_want", F.explode(wanted))
+    return _located(first.select("*", F.col("_want.name").alias("_name"), rank_of.alias("_rank")), keys, "_block")
+
+
+def _asked_blocks(targets: DataFrame, block_keys: Sequence[str]) -> DataFrame:
+    return targets.groupBy(*block_keys).agg(F.first("_low").alias("_low"), F.first("_high").alias("_high"))
+
+
+def _picked(hit: DataFrame, targets: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The wanted values out of the rows of the wanted blocks (``hit``), one column per name."""
+    block_keys = [*keys, "_block"]
+    number, low, high = F.col("_value").cast("double"), F.col("_low"), F.col("_high")
+    place = F.floor((number - low) / (high - low) * _FINE)
+    fine = F.when((high > low) & (place < _FINE), place).when(high > low, F.lit(_FINE - 1)).otherwise(F.lit(0)).cast("int")
+    rows = hit.withColumn("_fine", fine).groupBy(*block_keys, "_fine", "_value").agg(F.sum("_n").alias("_n"))
+    parts = _totals(rows, [*block_keys, "_fine"]).drop("_low", "_high")
+    asked = targets.select(*block_keys, "_name", F.col("_rest").alias("_rank"))
+    placed = _located(attach(_upto(parts, block_keys, "_fine"), asked, block_keys, how="inner"), block_keys, "_fine", counted=True)
+    block_keys = [*block_keys, "_fine"]
+    wants = placed.groupBy(*block_keys).agg(F.collect_list(F.struct(F.col("_name").alias("name"), F.col("_rest").alias("rest"))).alias("_wants"))
+    hit = attach(rows, wants, block_keys, how="inner")
+    inside = W.partitionBy(*block_keys).orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
+    ended = hit.withColumn("_end", F.sum("_n").over(inside)).select(
+        *keys, "_value", "_n", "_end", F.explode("_wants").alias("_want")
+    )
+    chosen = ended.where((F.col("_want.rest") < F.col("_end")) & (F.col("_want.rest") >= F.col("_end") - F.col("_n")))
+    return chosen.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_want.name") == name, F.col("_value"))).alias(name) for name in names]
+    )
+
+
 def nearest_rank_index(total: Column, p: float) -> Column:
     """0-based index round((n - 1) * p), halves to even."""
     return F.bround((total - 1) * F.lit(float(p))).cast("bigint")
@@ -90,32 +127,10 @@ def values_at(
     else:
         rows = rows.where(F.col("_value").isNotNull())
     rows = rows.withColumn("_block", _block(F.col("_value")))
-    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(i).alias("place")) for i, n in enumerate(ranks)])
-    whole = _totals(rows, [*keys, "_block"])
-    total = F.sum("_block_n").over(W.partitionBy(*keys))
-    rank_of = F.element_at(F.array(*[r(F.col("_total")) for r in ranks.values()]), F.col("_want.place") + 1)
-    first = whole.withColumn("_total", total).withColumn("_want", F.explode(wanted))
-    targets = _located(first.select("*", F.col("_want.name").alias("_name"), rank_of.alias("_rank")), keys, "_block")
+    targets = _targets(_totals(rows, [*keys, "_block"]), keys, ranks)
     block_keys = [*keys, "_block"]
-    hit = attach(rows, targets.groupBy(*block_keys).agg(F.first("_low").alias("_low"), F.first("_high").alias("_high")), block_keys, how="inner")
-    number, low, high = F.col("_value").cast("double"), F.col("_low"), F.col("_high")
-    place = F.floor((number - low) / (high - low) * _FINE)
-    fine = F.when((high > low) & (place < _FINE), place).when(high > low, F.lit(_FINE - 1)).otherwise(F.lit(0)).cast("int")
-    rows = hit.withColumn("_fine", fine).groupBy(*block_keys, "_fine", "_value").agg(F.sum("_n").alias("_n"))
-    parts = _totals(rows, [*block_keys, "_fine"]).drop("_low", "_high")
-    asked = targets.select(*block_keys, "_name", F.col("_rest").alias("_rank"))
-    placed = _located(attach(_upto(parts, block_keys, "_fine"), asked, block_keys, how="inner"), block_keys, "_fine", counted=True)
-    block_keys = [*block_keys, "_fine"]
-    wants = placed.groupBy(*block_keys).agg(F.collect_list(F.struct(F.col("_name").alias("name"), F.col("_rest").alias("rest"))).alias("_wants"))
-    hit = attach(rows, wants, block_keys, how="inner")
-    inside = W.partitionBy(*block_keys).orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
-    ended = hit.withColumn("_end", F.sum("_n").over(inside)).select(
-        *keys, "_value", "_n", "_end", F.explode("_wants").alias("_want")
-    )
-    chosen = ended.where((F.col("_want.rest") < F.col("_end")) & (F.col("_want.rest") >= F.col("_end") - F.col("_n")))
-    return chosen.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_want.name") == name, F.col("_value"))).alias(name) for name in ranks]
-    )
+    hit = attach(rows, _asked_blocks(targets, block_keys), block_keys, how="inner")
+    return _picked(hit, targets, keys, list(ranks))
 
 
 def nearest_rank(
@@ -142,6 +157,52 @@ def nearest_rank(
     return filled.withColumns({name: F.coalesce(F.col(name), zero) for name in percentiles})
 
 
+def ranks_by_sets(
+    df: DataFrame, measures: Sequence[str], labels: Sequence[str], percentiles: Mapping[str, float]
+) -> DataFrame:
+    """Nearest-rank percentiles of several measures, by each label alone and over all rows.
+
+    Gives ``set`` (place of the label, or -1 for all rows), ``label`` (as text), ``measure`` and one column per
+    percentile. Measures share one type. A set without values of a measure has no row for it.
+
+    Rows are folded to counts of (labels, measure, block) before they are shared out to the sets, so only folded rows
+    are repeated. The blocks that hold the wanted ranks, a few rows per set, are checkpointed. Each combination of
+    labels then gets the blocks its sets want, in one array of at most (sets x measures x percentiles) entries, and
+    the rows meet them in one join by their own labels.
+    """
+    labels, keys = list(labels), ["_set", "_label", "_measure"]
+    ranks = {name: (lambda total, p=p: nearest_rank_index(total, p)) for name, p in percentiles.items()}
+    sets = F.explode(
+        F.array(
+            *[F.struct(F.lit(i).alias("_set"), F.col(name).cast("string").alias("_label")) for i, name in enumerate(labels)],
+            F.struct(F.lit(-1).alias("_set"), F.lit("all").alias("_label")),
+        )
+    ).alias("_of")
+    options = F.array(*[F.struct(F.lit(i).alias("_measure"), F.col(name).alias("_value")) for i, name in enumerate(measures)])
+    values = df.select(*labels, F.inline(options)).where(F.col("_value").isNotNull())
+    cells = _totals(values.withColumn("_block", _block(F.col("_value"))).withColumn("_n", F.lit(1).cast("bigint")), [*labels, "_measure", "_block"])
+    shared = cells.select(sets, "_measure", "_block", "_block_n", "_low", "_high").select("_of.*", "_measure", "_block", "_block_n", "_low", "_high")
+    whole = shared.groupBy(*keys, "_block").agg(
+        F.sum("_block_n").alias("_block_n"), F.min("_low").alias("_low"), F.max("_high").alias("_high")
+    )
+    ensure_checkpoint_dir(df.sparkSession)
+    targets = _targets(whole, keys, ranks).checkpoint()
+    asked = _asked_blocks(targets, [*keys, "_block"])
+    combinations = df.select(*labels).distinct()
+    offers = attach(combinations.select(*labels, sets).select(*labels, "_of.*"), asked, ["_set", "_label"], how="inner")
+    wants = offers.groupBy(*labels).agg(F.collect_list(F.struct(*keys, "_block", "_low", "_high")).alias("_wants"))
+    numbers = F.array(*[F.col(name) for name in measures])
+    blocks = F.array(*[_block(F.col(name)) for name in measures])
+    rows = df.select(*labels, numbers.alias("_numbers"), blocks.alias("_blocks"))
+    met = attach(rows, wants, labels, how="inner")
+    found = met.select("_numbers", F.inline(F.filter("_wants", lambda w: F.get("_blocks", w["_measure"]) == w["_block"])))
+    value = F.get("_numbers", F.col("_measure"))
+    hit = found.select(*keys, "_block", "_low", "_high", value.alias("_value"), F.lit(1).cast("bigint").alias("_n"))
+    name = F.element_at(F.array(*[F.lit(m) for m in measures]), F.col("_measure") + 1)
+    picked = _picked(hit.where(F.col("_value").isNotNull()), targets, keys, list(ranks))
+    return picked.select(F.col("_set").alias("set"), F.col("_label").alias("label"), name.alias("measure"), *percentiles)
+
+
 def median(
     df: DataFrame, value: str, keys: Sequence[str], out: str = "median", few_values: bool = False
 ) -> DataFrame:

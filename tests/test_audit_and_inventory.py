@@ -119,6 +119,31 @@ def test_last_position_group_is_short(flagged):
     assert sizes == {1: 58, 2: 58, 3: 58, 4: 58, 5: 1}
 
 
+def test_position_groups_keep_rows_of_one_path_together(spark):
+    rows = [("b", 1), ("a", 2), ("b", 3), (None, 4), ("c", 5), (None, 6)]
+    placed = inventory.position_groups(spark.createDataFrame(rows, "media_path string, v int"), n=2)
+    got = {r.v: (r.position, r.position_group) for r in placed.collect()}
+    assert got == {4: (0, 1), 6: (0, 1), 2: (2, 2), 1: (3, 2), 3: (3, 2), 5: (5, 3)}
+
+
+def test_position_groups_checkpoint_only_paths(flagged, plan):
+    text = plan(inventory.position_groups(flagged))
+    scans = [line for line in text.splitlines() if "Scan ExistingRDD" in line and "_part#" in line]
+    assert scans and all("_key#" in line and "size_bytes" not in line for line in scans)
+
+
+def test_distribution_with_nulls_and_without_rows(spark):
+    schema = "g string, size_bytes bigint, bitrate bigint, width int, height int"
+    rows = [(None, 5, None, 2, 2), (None, 7, 3, 2, 2), (None, 9, 4, None, 2), ("x", None, None, 4, 1)]
+    got = {(r.kind, r.label): r for r in inventory.distribution_by_group(spark.createDataFrame(rows, schema), ["g"]).collect()}
+    assert set(got) == {("g", None), ("g", "x"), ("all", "all")}
+    none = got["g", None]
+    assert (none.n, none.size_p50, none.bitrate_p50, none.size_mean) == (3, 7, 3, 7.0)
+    assert (got["g", "x"].n, got["g", "x"].size_p50, got["g", "x"].bitrate_mean) == (1, None, None)
+    assert (got["all", "all"].n, got["all", "all"].size_p50) == (4, 7)
+    assert inventory.distribution_by_group(spark.createDataFrame([], schema), ["g"]).count() == 0
+
+
 def test_pending_done_and_largest(spark, flagged):
     marks = flagged.where("done").select("media_path").unionAll(spark.createDataFrame([(None,), ("/gone",)], "media_path string"))
     plain = flagged.drop("done")

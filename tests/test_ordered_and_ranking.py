@@ -123,6 +123,24 @@ def test_hot_series_is_spread_over_blocks(spark, plan):
     assert main.count("Exchange") == 1 and ", b#" in main[main.index("Exchange"):]
 
 
+def test_percentiles_of_sets_match_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("aaab"), rng.randrange(40), rng.choice([None, rng.randrange(-50, 10**6)]), 10**9 + rng.randrange(3000)) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "hot string, cold int, x bigint, y bigint").repartition(5)
+    got = ranking.ranks_by_sets(df, ["x", "y"], ["hot", "cold"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    want = {}
+    for place, label in ((0, lambda r: r[0]), (1, lambda r: str(r[1])), (-1, lambda r: "all")):
+        for name, i in (("x", 2), ("y", 3)):
+            groups = {}
+            for r in rows:
+                if r[i] is not None:
+                    groups.setdefault(label(r), []).append(r[i])
+            for key, values in groups.items():
+                values.sort()
+                want[place, key, name] = tuple(values[round((len(values) - 1) * p)] for p in (0.25, 0.5, 0.75))
+    assert {(r.set, r.label, r.measure): (r.p25, r.p50, r.p75) for r in got.collect()} == want
+
+
 def test_global_position_is_a_total_order(spark):
     ids = list(range(500))
     random.Random(5).shuffle(ids)
