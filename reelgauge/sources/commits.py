@@ -26,9 +26,14 @@ def _commits(spark: SparkSession, target: str) -> list[tuple[int, str]]:
 
 
 def stage(df: DataFrame, key: str, target: str, prefer: str | None = None) -> str:
-    """Write rows, one per key as ``new_artifacts`` chooses it, where no reader looks yet; returns the folder to commit."""
+    """Write rows where no reader looks yet; returns the folder to commit.
+
+    Of several rows with one key the one with the smallest ``prefer`` is written. Without ``prefer`` rows are written as they come,
+    without a shuffle, and readers take the first of them by file and place in it, so that all see the same one.
+    """
     folder = uuid.uuid4().hex
-    new_artifacts(df, None, key, prefer).write.parquet(f"{target}/data/commit_folder={folder}")
+    rows = df if prefer is None else new_artifacts(df, None, key, prefer)
+    rows.write.parquet(f"{target}/data/commit_folder={folder}")
     return folder
 
 
@@ -48,7 +53,8 @@ def replace(df: DataFrame, key: str, target: str, prefer: str | None = None) ->
 def committed(spark: SparkSession, target: str, key: str, keep: str = "last") -> DataFrame:
     """Each key once, null among them: from the last write that has it, or with ``keep="first"`` from the first.
 
-    The writes are fixed when this is called; later ones don't show in the result. A key that every write has is folded map-side.
+    The writes are fixed when this is called; later ones don't show in the result. Rows move once, in one aggregate that folds
+    versions and repeated rows of a key map-side.
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be first or last, not {keep}")
@@ -59,6 +65,8 @@ def committed(spark: SparkSession, target: str, key: str, keep: str = "last") ->
     ranks = spark.createDataFrame([(folder, i) for i, (_, folder) in enumerate(known)], "commit_folder string, commit_rank int")
     rows = spark.read.option("mergeSchema", True).parquet(*[f"{target}/data/commit_folder={folder}" for _, folder in known])
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"commit_folder=([0-9a-f]+)/", 1)
-    ranked = rows.select(*columns, folder.alias("commit_folder")).join(ranks, "commit_folder")
-    choose = F.max_by if keep == "last" else F.min_by
-    return ranked.groupBy(F.col(key).alias("commit_key")).agg(choose(F.struct(*columns), "commit_rank").alias("commit_row")).select("commit_row.*")
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # One row per write, and the driver has just listed all of them: without the hint rows would be dealt by folder.
+    ranked = rows.select(*columns, folder.alias("commit_folder"), place.alias("commit_place")).join(F.broadcast(ranks), "commit_folder")
+    order = F.struct(F.col("commit_rank") * F.lit(-1 if keep == "last" else 1), "commit_place")
+    return ranked.groupBy(F.col(key).alias("commit_key")).agg(F.min_by(F.struct(*columns), order).alias("commit_row")).select("commit_row.*")

@@ -29,6 +29,26 @@ def test_a_document_is_swapped_whole(spark, tmp_path):
     assert commits.committed(spark, target, "id").count() == 4
 
 
+def test_repeated_rows_of_a_write_show_as_one_and_the_same(spark, tmp_path, plan):
+    """A third of the rows share a key; every read gives the same row; ``prefer`` decides at the write; a write doesn't shuffle."""
+    target = str(tmp_path / "docs")
+    rows = [("hot" if i % 3 == 0 else f"k{i}", f"t{i:03d}") for i in range(300)]
+    commits.replace(spark.createDataFrame(rows, ROW).repartition(7), "id", target)
+    first = shown(spark, target)
+    assert set(first) == {i for i, _ in rows} and all((i, t) in rows for i, t in first.items())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("1", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            assert shown(spark, target) == first
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert plan(commits.committed(spark, target, "id")).count("Exchange hashpartitioning") == 1
+    commits.replace(spark.createDataFrame(rows, ROW), "id", target, prefer="text")
+    assert shown(spark, target)["hot"] == "t000"
+    assert commits.committed(spark, target, "id").count() == len(set(first))
+
+
 def test_concurrent_writers_leave_each_key_once(spark, tmp_path):
     target, writers = str(tmp_path / "docs"), 4
     frames = [spark.createDataFrame([(f"k{i}", f"w{w}") for i in range(20)], ROW) for w in range(writers)]
