@@ -48,9 +48,13 @@ def _file_writer(folder: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
     return write
 
 
-def write_files(rows: DataFrame, folder: str) -> None:
-    """One file for each row of (name, body); a repeated task writes the same files again."""
-    named = rows.select("name", "body").repartition("name")
+def write_files(rows: DataFrame, folder: str, deal: bool = True) -> None:
+    """One file for each row of (name, body); a repeated task writes the same files again.
+
+    Rows are dealt by name, so that a name is written by one task; with unique names ``deal=False`` saves that shuffle.
+    """
+    named = rows.select("name", "body")
+    named = named.repartition("name") if deal else named
     named.mapInPandas(_file_writer(folder), "n bigint").write.format("noop").mode("overwrite").save()
 
 
@@ -58,7 +62,7 @@ def write_media(spark: SparkSession, sf: str, folder: str) -> None:
     """A file for each document, below a folder for each source, media and others in either case."""
     docs = b.table(spark, sf, "documents")
     name = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), _suffixed(F.col("doc_id")))
-    write_files(docs.select(name.alias("name"), F.col("text").alias("body")), folder)
+    write_files(docs.select(name.alias("name"), F.col("text").alias("body")), folder, deal=False)
 
 
 def run_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
