@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -78,8 +79,15 @@ class IdStore:
         self.begin.frombytes((len(self.flat) + np.cumsum(lengths)).astype(np.int64).tobytes())
         self.flat.frombytes(ids.astype(np.uint32).tobytes())
 
+    def find(self, pieces: list[bytes]) -> np.ndarray:
+        """The pieces' places, -1 where unknown."""
+        return np.fromiter(map(self.slot.get, pieces, repeat(-1)), np.int64, len(pieces))
+
     def slices(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pool, start, length) of the pieces' ids."""
-        slots = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
+        return self.slices_at(np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces)))
+
+    def slices_at(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for the pieces at these places."""
         begin, pool = np.array(self.begin, np.int64), np.array(self.flat, np.uint32)
         return pool, begin[slots], begin[slots + 1] - begin[slots]

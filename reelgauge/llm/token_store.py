@@ -15,8 +15,9 @@ tells unknown keys apart (one in four thousand million passes). A look-up reads
 however large the shard is.
 
 Ids come from the tokenizers library. Texts are cut at ASCII white space, which this kind of tokenizer drops and
-never merges across, so the ids of a text are those of its pieces in order; each distinct piece is encoded once
-per worker while a bounded cache has room. ``Encoder`` refuses tokenizers for which that does not hold.
+never merges across, and between letters and ASCII symbols or digits, where a token always ends, so the ids of a
+text are those of its pieces in order; each distinct piece is encoded once per worker while a bounded cache has
+room. ``Encoder`` refuses tokenizers for which that does not hold.
 
 Cases: null texts are empty and have only the end id; a null key can't be indexed and is stored under the
 smallest int64; rows with equal keys are all stored in key order, and the index points to the first; a text longer
@@ -135,18 +136,31 @@ class Index:
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Letters that neither normalisation nor lower case turns into anything else than one letter.
 _LETTERS = re.compile("[a-zÀ-ÖØ-öø-įı-ſ]+")
-
-
-def _table(members: bytes) -> np.ndarray:
-    table = np.zeros(256, bool)
-    table[list(members)] = True
+#: Letters that normalisation and lower case leave as they are.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+#: Kinds of bytes. A letter next to a symbol is the border of two tokens; about other bytes nothing is known.
+_SPACE, _LETTER, _SYMBOL, _OTHER = 0, 1, 2, 4
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+#: Second bytes of the letters that begin with the byte C3.
+_LATIN = np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
+
+def _kind_table(uncut: str) -> np.ndarray:
+    """The kind of each byte; characters of ``uncut`` and apostrophes, which may begin a token with letters, are no symbols."""
+    table = np.full(256, _OTHER, np.uint8)
+    table[list(b" \t\n\x0b\x0c\r")] = _SPACE
+    for byte in range(0x21, 0x7F):
+        if chr(byte).isalpha():
+            table[byte] = _LETTER
+        elif chr(byte) not in uncut + "'":
+            table[byte] = _SYMBOL
     return table
 
 
-_SPACE, _STOP = _table(b" \t\n\x0b\x0c\r"), _table(b".,")
-_ASCII_LETTER = _table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-
-
 class Encoder:
     """Ids of whole texts, batch by batch, through the tokenizers library."""
 
@@ -154,7 +168,7 @@ class Encoder:
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         described = json.loads(spec)
         before = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -169,6 +183,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        #: The same model for words that need no normaliser and no pattern.
+        self.plain = Tokenizer(self.tokenizer.model)
+        later = [self.tokenizer.pre_tokenizer[i] for i in range(1, len(before))]
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), *later])
+        self.kinds = _kind_table("".join(t["content"] for t in added))
         #: Put between pieces, a special token gives one call's pieces back.
         self.mark = min(added, key=lambda t: t["id"])
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
@@ -180,15 +199,17 @@ class Encoder:
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Ids of pieces that are not known, many in one call of the library."""
-        call, mark = self.tokenizer.encode_batch_fast, self.mark["content"]
+        mark = self.mark["content"]
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        word = [_LETTERS.fullmatch(t) is not None for t in texts]
-        for chosen, between in ((True, " "), (False, mark)):
-            usual = [i for i, w in enumerate(word) if w is chosen and b"<" not in pieces[i]]
-            groups = [usual[i : i + 500] for i in range(0, len(usual), 500)]
-            for g, e in zip(groups, call([between.join(texts[i] for i in g) for g in groups], add_special_tokens=False), strict=True):
+        plain, words, others, rest = [], [], [], []
+        for i, t in enumerate(texts):
+            (plain if _PLAIN.fullmatch(t) else words if _LETTERS.fullmatch(t) else rest if "<" in t else others).append(i)
+        for chosen, between, tokenizer in ((plain, " ", self.plain), (words, " ", self.tokenizer), (others, mark, self.tokenizer)):
+            groups = [chosen[i : i + 500] for i in range(0, len(chosen), 500)]
+            encoded = tokenizer.encode_batch_fast([between.join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
+            for g, e in zip(groups, encoded, strict=True):
                 ids = np.array(e.ids, np.uint32)
-                if chosen:  # a word of letters has one token that ends a word, its last
+                if between == " ":  # a word of letters has one token that ends a word, its last
                     ends = np.flatnonzero(self.ends_word[ids]) + 1
                     begins = np.concatenate([[0], ends[:-1]])
                 else:
@@ -198,29 +219,53 @@ class Encoder:
                     raise ValueError("pieces and ids disagree")
                 length = ends - begins
                 self.known.add_all([pieces[i] for i in g], spread(ids, begins, length), length)
-        rest = [i for i, p in enumerate(pieces) if b"<" in p]
-        for i, e in zip(rest, call([texts[i] for i in rest], add_special_tokens=False), strict=True):
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
             self.known.add_all([pieces[i]], np.array(e.ids, np.uint32), np.array([len(e.ids)]))
 
+    def _kind(self, data: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The kind of each byte. ``first`` are the texts' first bytes, which belong to no character before them."""
+        kind = self.kinds[data]
+        pair = data[:-1] == 0xC3
+        pair &= _LATIN[data[1:]]
+        pair[first[first > 0] - 1] = False
+        kind[:-1][pair] = kind[1:][pair] = _LETTER
+        return kind
+
+    @staticmethod
+    def _lower(data: np.ndarray, kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """A-Z in lower case, as the tokenizer has it.
+
+        Pieces that may be a special token stay, as it counts in its own spelling only, and so do letters before a mark:
+        some compose with it in lower case only, and the tokenizer composes first.
+        """
+        lower, tags = _LOWER[data], np.flatnonzero(data == ord("<"))
+        np.copyto(lower[:-1], data[:-1], where=(kind[1:] == _OTHER) & (data[1:] > 0x7F))
+        if len(tags):
+            kept = np.zeros(len(starts), bool)
+            kept[np.searchsorted(starts, tags, side="right") - 1] = True
+            np.copyto(lower[starts[0] :], data[starts[0] :], where=np.repeat(kept, np.diff(np.append(starts, len(data)))))
+        return lower
+
     def batch(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
         data, edges = text_bytes(texts)
-        visible = ~_SPACE[data]
-        begins = visible.copy()
-        begins[1:] &= ~visible[:-1]
-        begins[1:] |= _STOP[data[1:]] & _ASCII_LETTER[data[:-1]]  # a full stop or comma after a letter is a token's begin
         first = edges[:-1][edges[:-1] < len(data)]
+        kind = self._kind(data, first)
+        visible = kind != _SPACE
+        begins = visible.copy()
+        begins[1:] &= (kind[:-1] == _SPACE) | (kind[:-1] ^ kind[1:] == _LETTER | _SYMBOL)
         begins[first] |= visible[first]  # texts touch in the buffer
         starts = np.flatnonzero(begins)
-        codes, pieces = distinct(data, starts)
-        # The tokenizer has lower case only; a special token counts in its own spelling only.
-        pieces = [q.lower() if b"<" not in q else q for q in (p.strip(b" \t\n\x0b\x0c\r") for p in pieces)]
-        slot = self.known.slot
-        new = [p for p in pieces if p not in slot]
+        codes, pieces = distinct(self._lower(data, kind, starts)[visible], np.flatnonzero(begins[visible]))
+        at = self.known.find(pieces)
+        new = np.flatnonzero(at < 0)
         if not self.known.room_for(len(new)):
-            new = pieces
-        self._learn(list(dict.fromkeys(new)))
-        pool, begin, length = self.known.slices(pieces)
+            new = np.arange(len(pieces))
+        if len(new):
+            fresh = [pieces[i] for i in new.tolist()]
+            self._learn(fresh)
+            at[new] = self.known.find(fresh)
+        pool, begin, length = self.known.slices_at(at)
         counts = per_text(starts, edges)
         if end_id is not None:  # one more piece, after the last piece of every text
             begin, length, pool = np.append(begin, len(pool)), np.append(length, 1), np.append(pool, np.uint32(end_id))

@@ -125,6 +125,48 @@ def test_word_bpe_equals_the_library(word_pair, given_texts):
         at += n
 
 
+#: What may stand next to a letter: symbols with and without meaning to special tokens, digits, marks that combine, letters of two bytes.
+BORDERS = ["a", "Ab", "s", "t", "é", "É", "ß", "ÿ", "×", "÷", "ā", "$", "$$", "(", ")", "=", "%", "#", "'", "'s", "<", "|", ">", "<|", "|>", "endoftext",
+           "<|endoftext|>", "0", "12", "²", "€", "\u0301", "\u0338", "\u20e3", "\x7f", "\x01", "Ω", "Σ", "中", ".", ",", " "]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(BORDERS), max_size=10).map("".join), max_size=12))
+def test_cuts_at_symbols_equal_the_library(word_pair, given_texts):
+    encoder, reference = word_pair
+    ids, counts = encoder.batch(pa.array(given_texts, pa.string()), None)
+    want = [reference.encode(text, add_special_tokens=False).ids for text in given_texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_are_learned_once_whatever_stands_next_to_them():
+    encoder, reference = token_store.Encoder(WORD), Tokenizer.from_str(WORD)
+    text = "Valley valley, VALLEY\n(valley) valley$$$ valley%\tvalley9 caf\u00e9 caf\u00e9, caf\u00e9! valley"
+    ids, _ = encoder.batch(pa.array([text]), None)
+    assert ids.tolist() == reference.encode(text, add_special_tokens=False).ids
+    assert sorted(encoder.known.slot) == sorted([b"valley", "caf\u00e9".encode(), *b", ( ) $$$ % 9 !".split()])
+
+
+def test_letters_compose_with_marks_before_they_get_lower_case():
+    """There is one character for h and this mark, and none for H and it."""
+    encoder, reference = token_store.Encoder(WORD), Tokenizer.from_str(WORD)
+    for text in ["H\u0331", "AT\u0308a", "W\u030a Y\u030a J\u030c", "H\u05b0\u0331", "h\u0331 H\u0331"]:
+        ids, _ = encoder.batch(pa.array([text, "\u0331"]), None)
+        assert ids.tolist() == [i for t in (text, "\u0331") for i in reference.encode(t, add_special_tokens=False).ids]
+
+
+def test_texts_that_touch_share_no_character():
+    """Bytes that are no UTF-8 are replacement characters, also where the next text would complete them."""
+    encoder, reference = token_store.Encoder(WORD), Tokenizer.from_str(WORD)
+    parts = [b"a$\xc3", b"\xa9$ b", b"\xc3", b"\xa9a", b"", b"x\xc3\xa9$"]
+    data, edges = b"".join(parts), np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    texts = pa.StringArray.from_buffers(len(parts), pa.py_buffer(edges), pa.py_buffer(data))
+    ids, counts = encoder.batch(texts, None)
+    want = [reference.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids for p in parts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.sets(st.integers(-(1 << 63), (1 << 63) - 1), max_size=300), st.integers(0, 5))
 def test_hash_index_is_minimal_and_perfect(keys, seed):
